@@ -16,6 +16,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.langid import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, fit(docs))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op7_language": op7_language,
+    "op8_toxicity": op8_toxicity,
 }
