@@ -30,8 +30,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
+    "op9_minhash": op9_minhash,
 }
