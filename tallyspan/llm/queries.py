@@ -16,6 +16,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.brown import class_bigram_scores
+
+    return class_bigram_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyspan.llm.langid import fit, predict
 
@@ -38,6 +44,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op5_brown": op5_brown,
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
