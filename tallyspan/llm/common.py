@@ -43,12 +43,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 _WRITTEN: dict[str, list[str]] = {}
 
 
-def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """df written to the shared folder as Parquet and read again: its lineage is
     cut, and a lost executor costs no recomputation of what lies before."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).partitionBy(*partition_by).parquet(path)
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -16,6 +16,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.media import store_and_read
+
+    read = store_and_read(table(spark, sf_dir, "documents"))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_chunks")
+
+
 def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyspan.llm.brown import class_bigram_scores
 
@@ -44,6 +51,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_media": op4_media,
     "op5_brown": op5_brown,
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
