@@ -16,6 +16,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyspan.llm.media import store_and_read
 
@@ -51,6 +57,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_licenses": op3_licenses,
     "op4_media": op4_media,
     "op5_brown": op5_brown,
     "op7_language": op7_language,
