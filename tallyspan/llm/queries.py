@@ -55,6 +55,12 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.order_minhash import compare_with_edited
+
+    return compare_with_edited(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_licenses": op3_licenses,
@@ -63,4 +69,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
+    "op10_order_minhash": op10_order_minhash,
 }
