@@ -16,6 +16,57 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures: a fetch time from page_id, spread over two years."""
+    from pyspark.sql import functions as F
+
+    second = F.pmod(F.col("page_id") * 86_477, F.lit(730 * 86_400))
+    fetched = F.expr("timestamp_ntz'2023-01-01 00:00:00'") + F.make_dt_interval(secs=second)
+    return table(spark, sf_dir, "pages").select("page_id", "url", fetched.alias("fetched"))
+
+
+def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dated list: the named hosts below, and the hosts of pages whose md5
+    starts with 0 or 1, which are listed, taken off again and, if the next digit
+    is even, listed once more."""
+    from pyspark.sql import functions as F
+
+    from tallyspan.llm.url_lists import host_of
+
+    at = "timestamp_ntz'2023-01-01 00:00:00' + make_dt_interval(%s)"
+    named = spark.createDataFrame(NAMED_ENTRIES, "key string, action string, category string, day int")
+    day = lambda a, b: (F.conv(F.substring(F.md5("key"), a, 2), 16, 10).cast("int") + b)
+    hosts = table(spark, sf_dir, "pages").select(host_of(F.col("url")).alias("key")).where("key is not null").distinct().where(F.substring(F.md5("key"), 1, 1).isin("0", "1"))
+    even = F.substring(F.md5("key"), 2, 1).isin(*"02468ace")
+    steps = F.array(
+        F.struct(F.lit("add").alias("action"), F.lit("listed").alias("category"), day(3, 0).alias("day")),
+        F.struct(F.lit("remove").alias("action"), F.lit("listed").alias("category"), day(5, 256).alias("day")),
+        F.when(even, F.struct(F.lit("add").alias("action"), F.lit("relisted").alias("category"), day(7, 450).alias("day"))),
+    )
+    from_pages = hosts.select("key", F.explode(F.filter(steps, lambda x: x.isNotNull())).alias("x")).select("key", "x.action", "x.category", "x.day")
+    return named.union(from_pages).select("key", "action", "category", F.expr(at % "day").alias("at"))
+
+
+#: (key, action, category, day from 2023-01-01).
+NAMED_ENTRIES = [
+    ("cheap-pills.example.com", "add", "pharma", 30),
+    ("spam-farm.example.org", "add", "spam", 0),
+    ("spam-farm.example.org", "remove", "spam", 365),
+    ("spam-farm.example.org", "add", "spam", 500),
+    ("adult-x.example.net", "add", "adult", 10),
+    ("free-bets.example.com", "add", "gambling", 90),
+    ("casino-win.example.org", "add", "gambling", 100),
+    ("casino-win.example.org", "remove", "gambling", 600),
+    ("ads-track.example.org", "add", "tracking", 200),
+]
+
+
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.url_lists import active_entries
+
+    return active_entries(captures(spark, sf_dir), list_entries(spark, sf_dir), capture_id="page_id", url="url", fetched="fetched")
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyspan.llm.licenses import scan
 
@@ -63,6 +114,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_url_lists": op2_url_lists,
     "op3_licenses": op3_licenses,
     "op4_media": op4_media,
     "op5_brown": op5_brown,
