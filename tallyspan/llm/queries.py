@@ -80,6 +80,29 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_chunks")
 
 
+#: Weights of domains, and of languages within each; sources weigh alike.
+DOMAIN_WEIGHTS = {"d0": 4.0, "d1": 3.0, "d2": 2.0, "d3": 1.0}
+LANG_WEIGHTS = {"en": 5.0, "de": 2.0, "fr": 2.0, "es": 1.0}
+
+
+def mixture_weights() -> dict[tuple[str | None, ...], float]:
+    return {(d,): w for d, w in DOMAIN_WEIGHTS.items()} | {(d, x): w for d in DOMAIN_WEIGHTS for x, w in LANG_WEIGHTS.items()}
+
+
+def domain_of_source():
+    """Sources are dealt to the four domains by their md5."""
+    from pyspark.sql import functions as F
+
+    return F.concat(F.lit("d"), F.conv(F.substring(F.md5("source"), 1, 1), 16, 10).cast("int") % 4)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.mixing import mix
+
+    chosen = mix(table(spark, sf_dir, "documents"), domain=domain_of_source(), weights=mixture_weights(), fraction=0.6, epochs=2)
+    return chosen.select("doc_id", "lang", "source", "n_chars", "tokens", "epoch", "leaf_budget")
+
+
 def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyspan.llm.brown import class_bigram_scores
 
@@ -118,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licenses": op3_licenses,
     "op4_media": op4_media,
     "op5_brown": op5_brown,
+    "op6_mixing": op6_mixing,
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
