@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,8 @@ def written(df: DataFrame, name: str, compression: str = "zstd", partition_by: t
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).partitionBy(*partition_by).parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -69,6 +72,61 @@ def drop_tables(spark: SparkSession, since: int = 0, until: int | None = None) -
             paths[i] = ""
 
 
+class Bitmap:
+    """A set of ids as bits of their hashes, of a fixed size whatever the number
+    of ids. Ids outside the set may seem inside (all do, once it is full), none
+    inside seems outside, so it is only ever used to spare rows a shuffle before
+    an exact join."""
+
+    def __init__(self, ids: DataFrame, column: str, bits: int = 25) -> None:
+        self.column, self.bits = column, bits
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = np.zeros(1 << (bits - 3), dtype=np.uint8)
+            for batch in batches:
+                at = self._at(batch.column(0).drop_null())
+                np.bitwise_or.at(own, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+            words = own.view(np.int64)
+            at = np.flatnonzero(words)
+            for i in range(0, len(at), 100_000):
+                part = at[i : i + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(words[part])], names=["at", "word"])
+
+        got = ids.select(F.col(column).cast("long")).mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+        words = np.zeros(1 << (bits - 6), dtype=np.int64)
+        words[got.column("at").to_numpy()] = got.column("word").to_numpy()
+        self.sent = ids.sparkSession.sparkContext.broadcast(words.view(np.uint8))
+
+    def __getstate__(self) -> dict:
+        return {"column": self.column, "bits": self.bits}
+
+    def _at(self, ids: pa.Array) -> np.ndarray:
+        h = ids.cast(pa.int64()).to_numpy(zero_copy_only=False).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def split(self, df: DataFrame, inside: bool) -> DataFrame:
+        """Rows of df whose id may be inside, or those surely outside (null too)."""
+        sent, at, column = self.sent, self._at, self.column
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column(column)
+                where = at(ids.fill_null(0))
+                found = (sent.value[where >> 3] >> (where & 7).astype(np.uint8)) & 1 == 1
+                found &= ids.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(found if inside else ~found))
+
+        return df.mapInArrow(run, df.schema)
+
+
+def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """df without the rows whose id is in ids (column of that name). Rows surely
+    outside are not shuffled; the rest meet the ids in an exact anti-join."""
+    gone = written(ids.select(column).where(F.col(column).isNotNull()).distinct(), "gone")
+    bitmap = Bitmap(gone, column)
+    return bitmap.split(df, False).union(bitmap.split(df, True).join(gone, column, "left_anti").select(*df.columns))
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a string column, null as empty, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -68,6 +68,24 @@ class Model:
         size = np.sqrt(np.maximum(present.sum(1), 1))
         return ((present @ self.landmarks) / size[:, None] / self.roots[None, :]) @ self.weights
 
+    def predict(self, texts: list[bytes], block: int) -> tuple[list[str], list[float]]:
+        places = self.landmarks.shape[0]
+        here, flags = np.empty((block, places), np.float32), np.empty(places, np.uint8)
+        langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+        todo = [i for i, t in enumerate(texts) if self.langs and has_letter(t)]
+        for start in range(0, len(todo), block):
+            some = todo[start : start + block]
+            for k, i in enumerate(some):
+                flags[:] = 0
+                presence(texts[i], flags)
+                here[k] = flags
+            f = self.scores(here[: len(some)])
+            best = f.argmax(1)
+            for k, i in enumerate(some):
+                langs[i] = self.langs[best[k]]
+                scores[i] = float(min(1.0, max(0.0, (f[k, best[k]] + 1) / 2)))
+        return langs, scores
+
 
 def _inverse_root(k: np.ndarray) -> np.ndarray:
     values, vectors = np.linalg.eigh(k)
@@ -114,24 +132,22 @@ def predict(docs: DataFrame, model: Model, *, fold: int = 5, block: int = 64) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = sent.value
-        places = own.landmarks.shape[0]
-        here, flags = np.empty((block, places), np.float32), np.empty(places, np.uint8)
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-            todo = [i for i, t in enumerate(texts) if own.langs and has_letter(t)]
-            for start in range(0, len(todo), block):
-                some = todo[start : start + block]
-                for k, i in enumerate(some):
-                    flags[:] = 0
-                    presence(texts[i], flags)
-                    here[k] = flags
-                f = own.scores(here[: len(some)])
-                best = f.argmax(1)
-                for k, i in enumerate(some):
-                    langs[i] = own.langs[best[k]]
-                    scores[i] = float(min(1.0, max(0.0, (f[k, best[k]] + 1) / 2)))
+            langs, scores = own.predict(as_bytes(batch.column("text")), block)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % fold == 0, F.lit(True)).alias("held_out")
     return docs.select("doc_id", held, "text").mapInArrow(run, PREDICTED)
+
+
+def rows_in(docs: DataFrame, model: Model, langs: tuple[str, ...], least_score: float, *, block: int = 64) -> DataFrame:
+    """The rows of docs, with all of their columns, whose text predict() puts
+    into one of langs with at least least_score."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = zip(*sent.value.predict(as_bytes(batch.column("text")), block))
+            yield batch.filter(pa.array([x in langs and s >= least_score for x, s in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

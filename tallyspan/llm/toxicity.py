@@ -179,3 +179,17 @@ def score(docs: DataFrame, model: Model, *, toxic_from: float = 0.5) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=[x.split()[0] for x in SCORES.split(", ")])
 
     return docs.select("doc_id", "text").mapInArrow(run, SCORES)
+
+
+def clean_rows(docs: DataFrame, model: Model, *, toxic_from: float = 0.5) -> DataFrame:
+    """The rows of docs, with all of their columns, that score() finds not toxic."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: Model = sent.value
+        blank = own.above([])[0]
+        for batch in batches:
+            x = [own.features(words(t)) for t in as_bytes(batch.column("text"))]
+            yield batch.filter(pa.array([(own.above(f)[0] if f else blank) < toxic_from for f in x], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
