@@ -1,0 +1,18 @@
+"""Batch increments: whether a landing zone has changed since the last run. The
+engine has no stream operators; inputs arrive as files and are read in batches."""
+
+from __future__ import annotations
+
+import json
+import os
+
+from tallyspan.sources.landing import audited
+
+
+def landing_changed(root: str, report_path: str, field: str = "files_read") -> bool:
+    """Whether the zone holds another number of files than the last report says
+    (true if there is no report)."""
+    if not os.path.exists(report_path):
+        return True
+    with open(report_path, encoding="utf-8") as f:
+        return json.load(f).get(field) != audited(root)
