@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspan.llm.common import drop_tables, table, table_mark, without_ids, written
 
 LANGUAGES = ("en", "de", "fr", "es")
-LEAST_LANGUAGE_SCORE = 0.55
+LEAST_LANGUAGE_SCORE = 0.35
 MIX_FRACTION = 0.9
 
 
