@@ -9,7 +9,6 @@ from tallyspan.functions.columns import OPENING, blank_to_null, surrogate_key
 from tallyspan.operators.rows import as_of, enrich, richest_per_key
 
 
-
 def _opened(df: DataFrame) -> DataFrame:
     """With the interval of a first and only version."""
     return df.withColumns({"valid_from": F.lit(OPENING).cast("timestamp"), "valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)})

@@ -26,6 +26,11 @@ def sorted_slice(df: DataFrame, path: str, order: Sequence[str], codec: str = "z
     df.orderBy(*order).write.mode("overwrite").option("compression", codec).parquet(path)
 
 
+def json_lines(df: DataFrame, path: str) -> None:
+    """A snapshot as lines of JSON, compressed."""
+    df.write.mode("overwrite").option("compression", "gzip").json(path)
+
+
 def write_json(path: str, value: Any) -> None:
     """JSON by way of a temporary file and a rename, so no reader sees a part."""
     folder = os.path.dirname(path) or "."

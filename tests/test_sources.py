@@ -93,6 +93,8 @@ def test_lake_slice_and_manifest(spark, tmp_path):
     sinks.lake(df, str(tmp_path / "lake"), "year")
     assert sorted(x for x in os.listdir(tmp_path / "lake") if x.startswith("year=")) == ["year=2019", "year=2020"]
     assert readers.parquet(spark, str(tmp_path / "lake")).where("year = 2020").count() == 10
+    sinks.json_lines(df, str(tmp_path / "lines"))
+    assert readers.json_lines(spark, [str(tmp_path / "lines")], "k long").count() == 20
     sinks.sorted_slice(df, str(tmp_path / "slice"), ["k"])
     found = sinks.artefact(spark, str(tmp_path / "slice"))
     assert found["rows"] == 20
