@@ -39,12 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes, groups, written
+from tallyspan.llm.common import Bitmap, as_bytes, groups, written
 from tallyspan.llm.components import components
 
 _U = np.uint64
 _SKETCHED = "doc_id long, n long, set_hash binary, sketch binary"
-_WORD_HASHES: dict[bytes, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -165,7 +164,7 @@ def _mates(k: int, percent: int, margin: float):
                     if near[x] and near[y]:
                         continue
                     a, b = sketches[x], sketches[y]
-                    union = np.union1d(a, b)[:k] if min(n[x], n[y]) > k else np.union1d(a, b)
+                    union = np.union1d(a, b)
                     if max(n[x], n[y]) > k:
                         union = union[:k]
                     both = np.intersect1d(a, b, assume_unique=True)
@@ -269,7 +268,9 @@ def near_duplicates(
     near = by_unit(units.join(heads, "doc_id").select("pivot", "i", "j", "doc_id", "n", "sketch")).mapInArrow(_mates(k, percent, margin), "pivot long, i int, j int, doc_id long")
     near = written(near, "minhash-near")
     wanted = near.select("doc_id").distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").withColumn("set", F.xxhash64("text")).dropDuplicates(["doc_id", "set"]).drop("set")
+    # Of all texts, only those that may be wanted are shuffled.
+    likely = Bitmap(near, "doc_id").split(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), True)
+    texts = likely.join(wanted, "doc_id", "left_semi").withColumn("set", F.xxhash64("text")).dropDuplicates(["doc_id", "set"]).drop("set")
     edges = written(by_unit(near.join(texts, "doc_id")).mapInArrow(_links(words, percent), "u long, v long"), "minhash-links")
 
     # A class takes its smallest id, its component the smallest id of a class.
