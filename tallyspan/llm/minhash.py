@@ -249,8 +249,8 @@ def near_duplicates(
     heads = written(known.join(classes, ["set_hash", "doc_id"], "left_semi").dropDuplicates(["doc_id", "set_hash"]).select("doc_id", "n", "sketch"), "minhash-heads")
 
     often = np.ones(1 << bits, dtype=np.int64)
-    for r in sketched.select("sketch").mapInArrow(_count(bits), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
-        often[r["bucket"]] += r["n"]
+    sums = sketched.select("sketch").mapInArrow(_count(bits), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    often[sums.column("bucket").to_numpy()] += sums.column("n").to_numpy()
     counts = spark.sparkContext.broadcast(often)
 
     listed = heads.mapInArrow(_prefix(counts, k, percent, bits), "value long, doc_id long, central long")
