@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspan.llm.common import table
 
@@ -18,8 +19,6 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as captures: a fetch time from page_id, spread over two years."""
-    from pyspark.sql import functions as F
-
     second = F.pmod(F.col("page_id") * 86_477, F.lit(730 * 86_400))
     fetched = F.expr("timestamp_ntz'2023-01-01 00:00:00'") + F.make_dt_interval(secs=second)
     return table(spark, sf_dir, "pages").select("page_id", "url", fetched.alias("fetched"))
@@ -29,8 +28,6 @@ def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dated list: the named hosts below, and the hosts of pages whose md5
     starts with 0 or 1, which are listed, taken off again and, if the next digit
     is even, listed once more."""
-    from pyspark.sql import functions as F
-
     from tallyspan.llm.url_lists import host_of
 
     at = "timestamp_ntz'2023-01-01 00:00:00' + make_dt_interval(%s)"
@@ -70,7 +67,7 @@ def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyspan.llm.licenses import scan
 
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,8 +88,6 @@ def mixture_weights() -> dict[tuple[str | None, ...], float]:
 
 def domain_of_source():
     """Sources are dealt to the four domains by their md5."""
-    from pyspark.sql import functions as F
-
     return F.concat(F.lit("d"), F.conv(F.substring(F.md5("source"), 1, 1), 16, 10).cast("int") % 4)
 
 

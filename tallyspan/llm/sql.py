@@ -56,4 +56,47 @@ SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id, w.doc_id
 FROM words w LEFT JOIN sizes USING (doc_id) JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) c ON c.id = w.doc_id
 """
 
-ORACLE_SQL = {"op2_url_lists": OP2, "op9_minhash": OP9}
+
+
+def _licence_templates() -> str:
+    from tallyspan.llm.licenses import _templates
+
+    text = lambda x: "'" + x + "'"
+    return ", ".join(f"({no}, {text(label)}, {base}, {text(phrase)}, {text(word)}, {rel}, {key})" for no, label, base, phrase, word, rel, key in _templates())
+
+
+OP3 = (
+    r"""
+WITH t(template, label, base, phrase, word, rel, key) AS (VALUES """
+    + _licence_templates()
+    + r"""),
+d AS (
+  SELECT row_number() OVER () AS uid, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+p AS (
+  SELECT uid, i - 1 AS pos, w[i] AS word, array_to_string(w[i:i + 15], ' ') AS here
+  FROM d, unnest(range(1, len(w) + 1)) AS r(i) WHERE w[i] IN (SELECT word FROM t)),
+df AS (SELECT word, count(DISTINCT uid) AS df FROM p GROUP BY word),
+idf AS (
+  SELECT v.word, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (coalesce(df, 0) + 0.5)) AS idf
+  FROM (SELECT DISTINCT word FROM t) v LEFT JOIN df ON df.word = v.word),
+l AS (
+  SELECT t.*, idf, row_number() OVER (PARTITION BY template ORDER BY key DESC, idf DESC, rel) = 1 AS anchor, sum(idf) OVER (PARTITION BY template) AS total
+  FROM t JOIN idf ON idf.word = t.word),
+places AS (
+  SELECT uid, template, pos - rel AS place, any_value(label) AS label, any_value(base) AS base, sum(idf) / any_value(total) AS coverage
+  FROM p JOIN l ON l.word = p.word GROUP BY 1, 2, 3
+  HAVING bool_or(anchor) AND bool_or(rel = 0 AND starts_with(here || ' ', phrase || ' ')) AND (any_value(base) OR sum(idf) / any_value(total) >= 0.5)),
+found AS (
+  SELECT uid, count(*) FILTER (WHERE base) AS n_base, min(place) FILTER (WHERE base) AS first_word, max(place) FILTER (WHERE base) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base)), ',') AS base_labels, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels,
+         round(least(1.0::DOUBLE, max(coverage)), 6) AS score
+  FROM places GROUP BY uid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN found ON found.uid = d.uid
+"""
+)
+
+ORACLE_SQL = {"op3_licenses": OP3, "op2_url_lists": OP2, "op9_minhash": OP9}
