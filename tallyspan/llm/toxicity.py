@@ -116,8 +116,11 @@ def sample(docs: DataFrame, labels: DataFrame, most_labels: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, most_labels: int = 20_000, most_terms: int = 2048, least_z: float = 3.0, least_odds: float = 3.0) -> Model:
-    """The model from labels (doc_id, toxic) and docs (doc_id, text)."""
+def fit(docs: DataFrame, labels: DataFrame, *, most_labels: int = 20_000, most_terms: int = 2048, least_z: float = 3.0, least_odds: float = 3.0, least_share: float = 0.01) -> Model:
+    """The model from labels (doc_id, toxic) and docs (doc_id, text). A term
+    must occur in least_share of the toxic texts, which keeps out the chance
+    words of single texts and their copies; it is low, as each language has
+    terms of its own and some languages are rare."""
     rows = sample(docs, labels, most_labels)
     clean, toxic = rows.agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
     none = Model({}, np.zeros(len(SHARES)), np.array([50.0, 60.0]))
@@ -128,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, most_labels: int = 20_000, most_t
     odds = F.log(t / (F.lit(toxic + 1.0) - t)) - F.log(c / (F.lit(clean + 1.0) - c))
     spread = F.sqrt(1 / t + 1 / c + 1 / (F.lit(toxic + 1.0) - t) + 1 / (F.lit(clean + 1.0) - c))
     terms = (
-        counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("toxic >= 3")
+        counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= max(3.0, least_share * toxic))
         .withColumn("odds", odds).withColumn("z", odds / spread).where((F.col("z") >= least_z) & (F.col("odds") >= least_odds))
         .orderBy(F.desc("z"), "term").limit(most_terms).collect()
     )
