@@ -19,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm.common import drop_tables, table, table_mark, without_ids, written
+from tallyspan.llm.common import drop_tables, ship_code, table, table_mark, without_ids, written
 
 LANGUAGES = ("en", "de", "fr", "es")
 LEAST_LANGUAGE_SCORE = 0.35
@@ -67,6 +67,7 @@ def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Cal
     tables that the predecessor left in the shared folder are deleted."""
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_code(spark)
         app = spark.sparkContext.applicationId
         mark = table_mark(spark)
         if app in _MARKS:

@@ -4,9 +4,11 @@ folder for intermediate tables, and grouped iteration over Arrow batches."""
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +19,31 @@ from pyspark.sql import functions as F
 _OWN: dict[str, str] = {}
 
 
+#: Applications whose executors have this package.
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application: their
+    Python does not find it by the driver's path or working folder."""
+    app, root = spark.sparkContext.applicationId, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if app in _SHIPPED or not os.path.isdir(root):
+        return
+    _SHIPPED.add(app)
+    folder = tempfile.mkdtemp(prefix="tallyspan-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    path = os.path.join(folder, "tallyspan_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for place, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(place, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -48,6 +74,7 @@ def written(df: DataFrame, name: str, compression: str = "zstd", partition_by: t
     """df written to the shared folder as Parquet and read again: its lineage is
     cut, and a lost executor costs no recomputation of what lies before."""
     spark = df.sparkSession
+    ship_code(spark)
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).partitionBy(*partition_by).parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
