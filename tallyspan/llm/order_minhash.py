@@ -37,7 +37,7 @@ def _packed(h: Column, pos: Column) -> Column:
     return F.shiftleft(h.bitwiseAND(F.lit(HASH)), POS).bitwiseOR(pos)
 
 
-def with_signatures(df: DataFrame, text: str, out: str, *, k: int = 3, length: int = 2, signatures: int = 32) -> DataFrame:
+def with_signatures(df: DataFrame, text: str, out: str, *, k: int = 3, length: int = 2, signatures: int = 64) -> DataFrame:
     """df with the array of signatures of a text column (not null)."""
     names = [f"_{out}_{x}" for x in ("hashes", "kmers", "sorted", "runs", "order")]
     hashes, kmers, sorted_, runs, order = names
@@ -107,15 +107,17 @@ def compare_with_edited(docs: DataFrame, **options) -> DataFrame:
     likeness of both, and of its own and the next document's."""
     text = F.coalesce("text", F.lit(""))
     first = F.lit(-(1 << 63)).cast("long")
-    rows = docs.select("doc_id", text.alias("text")).select("doc_id", F.coalesce(F.col("doc_id").cast("long"), first).alias("id"), F.xxhash64("text").alias("h"), F.length("text").alias("n"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    rows = rows.select("doc_id", F.coalesce("doc_id", first).alias("id"), F.xxhash64("text").alias("h"), F.length("text").alias("n"), "text")
     links = written(next_documents(rows), "order-links")
-    signed = with_signatures(rows, "text", "own", **options).repartition("id", "h")
+    # Both joins below need the same columns of this, so it is shuffled once.
+    signed = with_signatures(rows.drop("n"), "text", "own", **options).repartition("id", "h")
     asked = links.select(F.col("id").alias("for_id"), F.col("h").alias("for_h"), F.floor(F.col("n") / 2).cast("int").alias("want"), F.col("next_id").alias("id"), F.col("next_h").alias("h"))
-    given = signed.join(asked, ["id", "h"]).select(F.col("for_id").alias("id"), F.col("for_h").alias("h"), F.expr("left(text, want)").alias("tail"), F.col("own").alias("next"))
+    given = signed.join(asked, ["id", "h"]).select(F.col("for_id").alias("id"), F.col("for_h").alias("h"), F.expr("left(text, want)").alias("tail"), F.col("own").alias("next"), F.col("doc_id").alias("next_doc_id"))
     given = given.dropDuplicates(["id", "h"])
-    half = F.expr("concat(left(text, n - cast(floor(n / 2) as int)), tail)")
+    half = F.expr("concat(left(text, length(text) - cast(floor(length(text) / 2) as int)), tail)")
     edited = with_signatures(signed.join(given, ["id", "h"]).withColumn("edited", half), "edited", "other", **options)
     return edited.select(
-        "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("own")).alias("fingerprint"),
-        fingerprint(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"),
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("own")).alias("fingerprint"),
+        fingerprint(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"), "next_doc_id",
     )

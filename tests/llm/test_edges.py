@@ -485,7 +485,7 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
-def brute_signatures(text, k=3, length=2, m=32):
+def brute_signatures(text, k=3, length=2, m=64):
     mask = (1 << 33) - 1
     tokens = [signed(spark_hash(t.encode())) for t in re.findall(r"[^ \t\n\x0b\f\r]{1,16}", text)]
     if not tokens:
@@ -541,7 +541,7 @@ def test_order_minhash(docs, nothing):
 def test_likeness_falls_with_edits_and_order():
     base = [f"tok{i}" for i in range(400)]
     sig = lambda w: brute_signatures(" ".join(w))
-    like = lambda a, b: sum(x == y for x, y in zip(sig(a), sig(b))) / 32
+    like = lambda a, b: sum(x == y for x, y in zip(sig(a), sig(b))) / 64
     assert like(base, base[:390] + ["new"] * 10) > like(base, base[:200] + [f"n{i}" for i in range(200)])
     assert like(base, base[200:] + base[:200]) < like(base, base[:390] + ["new"] * 10)
 
