@@ -24,7 +24,9 @@ Long texts: cut over as many windows as needed. Other columns are ignored.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,50 +42,58 @@ _STAGED = "doc_id long, source string, part int, qkey string, local long, n long
 _TOKENIZERS: dict[str, object] = {}
 
 
+#: White space of Unicode, the kind that the split pattern means.
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_BEFORE_SPACE = tuple(c + " " for c in _SPACES)
+
+
 class WordCache(dict):
     """Token ids of a text by its space-led words.
 
     In this vocabulary's split pattern a space after a non-space always opens a
     new piece, so the text between two such spaces can be encoded on its own,
     and repeated words are looked up. Texts where white space stands before a
-    space, or whose words are long, go to the tokenizer whole.
+    space go to the tokenizer whole. Two generations of words are kept: when the
+    younger is full it becomes the older, and words that are met again move on.
     """
 
-    MOST, LONGEST = 400_000, 40
+    MOST, LONGEST = 150_000, 40
 
     def __init__(self, path: str) -> None:
-        import tiktoken
         from tokenizers import Tokenizer
 
-        if path.endswith(".json"):
-            tok = Tokenizer.from_file(path)
-            tok.encode_special_tokens = True
-            self.vocabulary = tok.get_vocab_size()
-            self.whole = lambda text: tok.encode(text, add_special_tokens=False).ids
-            twin = _byte_level_twin(path, tok)
-            if twin:
-                self.whole = twin.encode_ordinary
-        else:
+        if not path.endswith(".json"):
             raise ValueError(f"a tokenizer .json file is needed, not {path}")
-        self.kind = np.dtype("<u2") if self.vocabulary <= 65536 else np.dtype("<u4")
-        self.spaced = bool(twin)
-        del tiktoken
+        tok = Tokenizer.from_file(path)
+        tok.encode_special_tokens = True
+        twin = _byte_level_twin(path, tok)
+        self.split = bool(twin)
+        self.whole = twin._core_bpe.encode_ordinary if twin else lambda text: tok.encode(text, add_special_tokens=False).ids
+        self.kind = np.dtype("<u2") if tok.get_vocab_size() <= 65536 else np.dtype("<u4")
+        self.older: dict[str, bytes] = {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        if sys.byteorder == "little":
+            return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
+        return np.array(ids, dtype=self.kind).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.whole(word), dtype=self.kind).tobytes()
+        """Ids of the word with a space before it."""
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._bytes(self.whole(" " + word))
         if len(word) <= self.LONGEST:
             if len(self) >= self.MOST:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        import re
-
-        if not self.spaced or re.search(r"\s[ ]|[ ]$|[\x1c-\x1f]", text):
-            return np.asarray(self.whole(text), dtype=self.kind).tobytes()
+        if not self.split or text.endswith(" ") or any(x in text for x in _BEFORE_SPACE):
+            return self._bytes(self.whole(text))
         first, *rest = text.split(" ")
-        return self[first] + b"".join([self[" " + x] for x in rest])
+        return self._bytes(self.whole(first)) + b"".join(map(self.__getitem__, rest))
 
 
 def _byte_level_twin(path: str, tok):

@@ -11,6 +11,8 @@ from math import log10
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 LONG = "the quick brown fox jumps over it " * 4000
@@ -102,6 +104,27 @@ def test_packing(docs, options):
     check_packing(pack(docs, **options).collect(), TEXTS, options.get("length", 2048))
 
 
+@pytest.mark.parametrize("alphabet", [st.sampled_from("ab Z'1é中\n\t\xa0\u2003\u3000\x1c.!-s<|endoftext|>ªʰ"), st.characters(codec="utf-8")])
+def test_fast_encoder_gives_the_tokenizers_ids(alphabet):
+    from tallyspan.llm.packing import tokenizer
+
+    fast, slow = tokenizer("byte_bpe_50k.json"), encoder()
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.text(alphabet, max_size=40))
+    def same(text):
+        assert np.frombuffer(fast.encode(text), fast.kind).tolist() + [1] == slow(text)
+
+    same()
+    assert fast.split and type(fast).MOST > 0
+    kept, type(fast).MOST = type(fast).MOST, 3
+    try:
+        for text in ("a b c d e f g a b c", "g f e d c b a", "a " * 9 + "z"):
+            assert np.frombuffer(fast.encode(text), fast.kind).tolist() + [1] == slow(text)
+    finally:
+        type(fast).MOST = kept
+
+
 def test_packing_of_nothing(nothing):
     from tallyspan.llm.packing import pack
 
