@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 _OWN: dict[str, str] = {}
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Applications whose executors have this package.
 _SHIPPED: set[str] = set()
 
@@ -30,6 +31,10 @@ def ship_code(spark: SparkSession) -> None:
     if app in _SHIPPED or not os.path.isdir(root):
         return
     _SHIPPED.add(app)
+    # Rows are whole texts: batches of the default 10,000 would be tens of MB on
+    # both sides of each Python worker. A value that the user has set stays.
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
     folder = tempfile.mkdtemp(prefix="tallyspan-code-")
     atexit.register(shutil.rmtree, folder, True)
     path = os.path.join(folder, "tallyspan_code.zip")
@@ -154,6 +159,20 @@ def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return bitmap.split(df, False).union(bitmap.split(df, True).join(gone, column, "left_anti").select(*df.columns))
 
 
+def give_back() -> None:
+    """Return a worker's free memory to the system at a task's end; the worker
+    itself lives on, idle beside the next stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a string column, null as empty, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes
+from tallyspan.llm.common import as_bytes, give_back
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -149,5 +149,6 @@ def rows_in(docs: DataFrame, model: Model, langs: tuple[str, ...], least_score:
         for batch in batches:
             found = zip(*sent.value.predict(as_bytes(batch.column("text")), block))
             yield batch.filter(pa.array([x in langs and s >= least_score for x, s in found], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import Bitmap, as_bytes, groups, written
+from tallyspan.llm.common import Bitmap, as_bytes, give_back, groups, written
 from tallyspan.llm.components import components
 
 _U = np.uint64
@@ -57,7 +57,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class _Hashes(dict):
     """64-bit hashes of words, kept between documents up to a bound."""
 
-    MOST = 400_000
+    MOST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -106,6 +106,8 @@ def _sketch(size: int, k: int):
                 ],
                 names=["doc_id", "n", "set_hash", "sketch"],
             )
+        _HASHES.clear()
+        give_back()
 
     return run
 
@@ -225,6 +227,8 @@ def _links(size: int, percent: int):
             if edges:
                 u, v = zip(*edges)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+        _HASHES.clear()
+        give_back()
 
     return run
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes
+from tallyspan.llm.common import as_bytes, give_back
 
 SCORES = "doc_id long, severity int, expected_severity double, p_toxic double, toxic boolean, n_words long"
 #: Words are runs of letters, digits and non-ASCII bytes, A-Z lowered.
@@ -194,5 +194,6 @@ def clean_rows(docs: DataFrame, model: Model, *, toxic_from: float = 0.5) -> Dat
         for batch in batches:
             x = [own.features(words(t)) for t in as_bytes(batch.column("text"))]
             yield batch.filter(pa.array([(own.above(f)[0] if f else blank) < toxic_from for f in x], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
