@@ -4,12 +4,15 @@ P(text) is the product over tokens of P(class | class before) * P(word | class);
 the end token is a token, and its class stands before the first word.
 
 1. Word counts of the training texts, over all of them.
-2. Exchange clustering: the ``core`` most frequent words are dealt to
+2. The ``head`` most frequent words are clustered: all words above a count that
+   rises with the data. Their counts of neighbours, also of END and of forms,
+   come from all training texts and stay in Spark, dealt by word.
+3. Exchange clustering: the ``core`` most frequent words are dealt to
    ``classes`` classes, and each in turn moves to the class that raises the
-   likelihood of the class bigrams most, sweep after sweep. Counts of core
-   bigrams come from all training texts; at most core * core of them exist.
-3. The next ``middle`` words make one exchange step each against these classes,
-   by the classes that stand before and after them anywhere in the corpus.
+   likelihood of the class bigrams most, which gives the start. Then the next
+   ``middle`` words join, and then ``sweeps`` sweeps move every word of the head,
+   by its own counts of classes after and before it. The last sweeps stop where
+   the likelihood no longer rises.
 4. All rarer and unknown words have classes of their form (length, punctuation,
    non-ASCII), so that a class is known wherever a word is seen.
 5. Transitions are smoothed by a constant. Emissions use absolute discounting:
@@ -37,11 +40,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes, written
+from tallyspan.llm.common import as_bytes, give_back, written
 
 #: No token is empty, so this can stand for the end token.
 END = b""
 FORMS = 16
+#: Rows of neighbour counts go by groups of words, moves by units of groups.
+GROUPS, UNITS = 4096, 16
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -163,31 +168,211 @@ def _cells(array: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(flat[own].astype(np.int64))], names=["cell", "n"])
 
 
-def _cell_sums(docs: DataFrame, model: Model, shape: tuple[int, ...], add) -> np.ndarray:
-    """add(array, numbers of a batch's tokens, model) over all of docs, summed."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def _pairs(docs: DataFrame, model: Model) -> DataFrame:
+    """Counts of neighbours (grp, own, other, n) of all nodes, head words and
+    forms. A row holds those of the words of one group (node % GROUPS) from a
+    run of texts, as three arrays of four-byte numbers: other is the node after
+    own, or the number of nodes plus the node before own."""
+    sent, heads = docs.sparkSession.sparkContext.broadcast(model), len(model.head)
+    nodes = heads + FORMS
+
+    def out(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        w, o = keys // nodes, keys % nodes
+        back = o < heads  # forms do not move, so what stands before them is not asked for
+        own, other, n = np.concatenate([w, o[back]]), np.concatenate([o, w[back] + nodes]), np.concatenate([n, n[back]])
+        order = np.argsort(((own % GROUPS) * (nodes // GROUPS + 1) + own // GROUPS) * (2 * nodes) + other)
+        own, other, n = own[order], other[order], n[order]
+        grp, first = np.unique(own % GROUPS, return_index=True)
+        cut = np.append(first, len(own))
+        for i in range(0, len(grp), 512):
+            lo, hi = cut[i], cut[min(i + 512, len(grp))]
+            ends = pa.py_buffer(((cut[i : min(i + 512, len(grp)) + 1] - lo) * 4).astype("<i4").tobytes())
+            size = min(512, len(grp) - i)
+            blobs = [pa.Array.from_buffers(pa.binary(), size, [None, ends, pa.py_buffer(x[lo:hi].astype("<u4").tobytes())]) for x in (own, other, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(grp[i : i + 512], pa.int32()), *blobs], names=["grp", "own", "other", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_: Model = sent.value
+        held, size, found = [], 0, [END]
+
+        def keep() -> int:
+            x = model_.numbers(found)
+            p = np.where(x >= 0, x, heads - 1 - x)
+            held.append(p[:-1] * nodes + p[1:])
+            return len(held[-1])
 
-    def run(batches):
-        own: Model = sent.value
-        array = np.zeros(int(np.prod(shape)), dtype=np.int64)
-        found = [END]
         for batch in batches:
             for text in as_bytes(batch.column("text")):
                 found += tokens(text)
                 if len(found) > 100_000:
-                    add(array, own.numbers(found), own)
-                    found = [END]
-        add(array, own.numbers(found), own)
+                    size, found = size + keep(), [END]
+                    if size > 1_000_000:
+                        yield from out(held)
+                        held, size = [], 0
+        keep()
+        yield from out(held)
+        held.clear()
+        give_back()
+
+    kept = docs.select("text").mapInArrow(run, "grp int, own binary, other binary, n binary")
+    return written(kept.repartition("grp").sortWithinPartitions("grp"), "lm-pairs")
+
+
+def _unpacked(batch: pa.RecordBatch, below: int | None = None) -> list[np.ndarray]:
+    """own, other and n of all of a batch's rows, or of those with other below."""
+    found = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u4") for c in ("own", "other", "n")]
+    if below is not None:
+        some = found[1] < below
+        found = [x[some] for x in found]
+    return [x.astype(np.int64) for x in found]
+
+
+def _pair_sums(pairs: DataFrame, shape: tuple[int, ...], nodes: int, cell) -> np.ndarray:
+    """Counts of pairs (word, next word) by cell(word, next), -1 for none."""
+
+    def run(batches):
+        array = np.zeros(int(np.prod(shape)), dtype=np.int64)
+        for batch in batches:
+            own, other, n = _unpacked(batch, nodes)
+            at = cell(own, other)
+            some = at >= 0
+            array += np.bincount(at[some], weights=n[some], minlength=len(array)).astype(np.int64)
         yield from _cells(array)
 
     out = np.zeros(int(np.prod(shape)), dtype=np.int64)
-    sums = docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    for batch in sums.toArrow().to_batches():
+    for batch in pairs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow().to_batches():
         out[batch.column("cell").to_numpy()] = batch.column("n").to_numpy()
-    return out.reshape(shape)
+    return out.reshape(shape).astype(np.float64)
+
+
+def likelihood(m: np.ndarray) -> float:
+    """Log likelihood by class bigrams, less what no class changes."""
+    return float(_h(m).sum() - _h(m.sum(0)).sum() - _h(m.sum(1)).sum())
+
+
+def best_moves(words: np.ndarray, contexts: np.ndarray, of: np.ndarray, m: np.ndarray, k: int) -> dict[int, int]:
+    """New classes, below k, of those words that move, each in turn, by the
+    likelihood of m (classes x classes, changed in place). contexts: a row for
+    each word, of its counts by class after it, by class before it, and of
+    itself after itself; of: class of each word here."""
+    size, moved, low = len(m), {}, np.arange(k)
+    for w, x, a in zip(words.tolist(), contexts, of.tolist()):
+        r, c, s = x[:size].copy(), x[size : 2 * size].copy(), x[2 * size]
+        r[a] -= s
+        c[a] -= s
+        m[a] -= r
+        m[:, a] -= c
+        m[a, a] -= s
+        nr, nc = np.flatnonzero(r), np.flatnonzero(c)
+        x, y, d, rk, ck = m[:k, nr], m[nc, :k].T, m[low, low], r[:k], c[:k]
+        gain = (_h(x + r[nr]) - _h(x)).sum(1) + (_h(y + c[nc]) - _h(y)).sum(1)
+        rows, cols = m[:k].sum(1) + ck, m[:, :k].sum(0) + rk
+        h = _h(np.stack([d + rk + ck + s, d, rows, cols, d + rk, d + ck, rows + (r.sum() + s), cols + (c.sum() + s)]))
+        gain += h[:4].sum(0) - h[4:].sum(0)
+        b = int(gain.argmax())
+        if a < k and gain[b] <= gain[a] + 1e-9:
+            b = a
+        m[b] += r
+        m[:, b] += c
+        m[b, b] += s
+        if b != a:
+            moved[w] = b
+    return moved
+
+
+def _contexts(pairs: DataFrame, of: np.ndarray, size: int) -> DataFrame:
+    """(unit, cell, n) from pairs under the classes of: cell is node * (2 * size
+    + 1) + the class after it, size + the class before it, or 2 * size for the
+    node itself after it. Several rows of a unit may hold one cell."""
+    nodes, width = len(of), 2 * size + 1
+    each = nodes // GROUPS + 1
+    sent = pairs.sparkSession.sparkContext.broadcast(of)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = np.zeros(GROUPS, dtype=np.int64)
+        for batch in batches:
+            own, other, n = _unpacked(batch)
+            grps = np.unique(batch.column("grp").to_numpy())
+            for some in np.split(grps, range(64, len(grps), 64)):  # bounds the array below
+                at[:] = -1
+                at[some] = np.arange(len(some)) * each * width
+                start = at[own % GROUPS]
+                ok = slice(None) if len(some) == len(grps) else start >= 0
+                w, o, x, start = own[ok], other[ok], n[ok], start[ok]
+                back = o >= nodes
+                cell = start + w // GROUPS * width + sent.value[np.where(back, o - nodes, o)] + back * size
+                sums = np.bincount(cell, weights=x, minlength=len(some) * each * width)
+                same = w == o
+                sums += np.bincount(start[same] + w[same] // GROUPS * width + 2 * size, weights=x[same], minlength=len(sums))
+                full = np.flatnonzero(sums)
+                row = full // width
+                node = row % each * GROUPS + some[row // each]
+                # A row's counts are of one batch of pairs, so four bytes hold them.
+                cell, count, unit = (node * width + full % width).astype("<u4"), sums[full].astype("<u4"), node % GROUPS % UNITS
+                units = np.unique(unit)
+                blobs = [pa.array([v[unit == u].tobytes() for u in units], pa.binary()) for v in (cell, count)]
+                yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), *blobs], names=["unit", "cell", "n"])
+        give_back()
+
+    return written(pairs.mapInArrow(run, "unit int, cell binary, n binary").repartition(UNITS, "unit"), "lm-contexts")
+
+
+def _steps_of(contexts: DataFrame, of: np.ndarray, size: int) -> np.ndarray:
+    """Counts of classes after classes, from the contexts under them."""
+    width = 2 * size + 1
+    sent = contexts.sparkSession.sparkContext.broadcast(of)
 
-def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int = 4096, head: int = 1 << 18) -> tuple[Model, DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        array = np.zeros(size * size, dtype=np.int64)
+        for batch in batches:
+            for cell, n in zip(batch.column("cell"), batch.column("n")):  # a row at a time, as rows are long
+                cell, n = (np.frombuffer(x.as_buffer(), dtype="<u4") for x in (cell, n))
+                after = cell % width < size
+                cell, n = cell[after], n[after]
+                array += np.bincount(sent.value[cell // width] * size + cell % width, weights=n, minlength=len(array)).astype(np.int64)
+        yield from _cells(array)
+        give_back()
+
+    out = np.zeros(size * size)
+    for batch in contexts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        out[batch.column("cell").to_numpy()] = batch.column("n").to_numpy()
+    return out.reshape(size, size)
+
+
+def sweep(contexts: DataFrame, of: np.ndarray, movable: np.ndarray, m: np.ndarray, k: int) -> np.ndarray:
+    """of (class of each node) after one sweep of the exchange over all movable
+    words. Words are dealt to UNITS; those of a unit move in turn, by frequency,
+    against the classes of the others as they were at the sweep's start
+    (Uszkoreit and Brants, 2008)."""
+    width = 2 * len(m) + 1
+    sent = contexts.sparkSession.sparkContext.broadcast((of, movable, m))
+
+    def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_, movable_, m_ = sent.value
+        members = np.flatnonzero(movable_)
+        members = [members[members % GROUPS % UNITS == u] for u in range(UNITS)]
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for u, cell, n in zip(batch.column("unit").to_pylist(), batch.column("cell"), batch.column("n")):
+                cell, n = (np.frombuffer(x.as_buffer(), dtype="<u4") for x in (cell, n))
+                some = movable_[cell // width]
+                cell, n = cell[some], n[some]
+                if u not in held:
+                    held[u] = np.zeros((len(members[u]), width))
+                np.add.at(held[u], (np.searchsorted(members[u], cell // width), cell % width), n)
+        for u in sorted(held):
+            moved = best_moves(members[u], held.pop(u), of_[members[u]], m_.copy(), k)
+            yield pa.RecordBatch.from_arrays([pa.array(list(moved), pa.int64()), pa.array(list(moved.values()), pa.int64())], names=["word", "to"])
+        give_back()
+
+    found = contexts.repartition(UNITS, "unit").mapInArrow(moves, "word long, to long").toArrow()
+    out = of.copy()
+    out[found.column("word").to_numpy()] = found.column("to").to_numpy()
+    return out
+
+
+def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int = 4096, head: int = 1 << 18, sweeps: int = 3) -> tuple[Model, DataFrame]:
     """The model, and the table (word, c) of all training words, from learn
     (text)."""
     counts = written(learn.select("text").mapInArrow(_word_counts, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
@@ -204,53 +389,39 @@ def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int =
     words = [w for _, w in found]
     model = Model({w: i for i, w in enumerate(words)}, np.array([c for c, _ in found], dtype=np.float64), np.zeros(0, np.int64), total=total or 0, distinct=distinct)
 
-    usual = [i for i, w in enumerate(words) if w != END]
-    core_at, middle_at = usual[:core], usual[core : core + middle]
-    place = np.full(len(words) + FORMS, -1)  # forms index from the end
-    place[core_at] = np.arange(len(core_at))
+    heads, k = len(words), min(classes, max(1, sum(w != END for w in words[:classes + 1])))
+    nodes, size = heads + FORMS, k + 1 + FORMS
+    usual = np.array([i for i, w in enumerate(words) if w != END], dtype=np.int64)
+    core_at = usual[:core]
     n_core = len(core_at)
+    place = np.full(nodes, -1)
+    place[core_at] = np.arange(n_core)
+    pairs = _pairs(learn, model)
 
-    def add_bigrams(array, numbers, _own):
-        p = place[numbers]
-        both = (p[:-1] >= 0) & (p[1:] >= 0)
-        array += np.bincount(p[:-1][both] * n_core + p[1:][both], minlength=len(array))
-
-    k = min(classes, max(1, n_core))
-    bigrams = _cell_sums(learn, model, (n_core, n_core), add_bigrams) if n_core else np.zeros((0, 0))
-    of = exchange(bigrams, k) if n_core else np.zeros(0, np.int64)
-
-    core_class = np.full(len(words) + FORMS, -1)
-    core_class[core_at] = of
-    row_of = np.full(len(words) + FORMS, -1)
-    row_of[middle_at] = np.arange(len(middle_at))
-
-    def add_contexts(array, numbers, _own):
-        c, r = core_class[numbers], row_of[numbers]
-        ok = (r[:-1] >= 0) & (c[1:] >= 0)
-        array += np.bincount((r[:-1][ok] * 2) * k + c[1:][ok], minlength=len(array))
-        ok = (r[1:] >= 0) & (c[:-1] >= 0)
-        array += np.bincount((r[1:][ok] * 2 + 1) * k + c[:-1][ok], minlength=len(array))
-
-    model.n_classes = k
-    forms = np.array([form(w) for w in words], dtype=np.int64)
-    model.classes = k + 1 + forms
-    if END in model.head:
-        model.classes[model.head[END]] = k
-    model.classes[core_at] = of
-    if middle_at:
-        near = _cell_sums(learn, model, (len(middle_at), 2, k), add_contexts).astype(np.float64)
-        z = np.eye(k)[of]
-        m = z.T @ bigrams @ z + 0.5
-        pull = np.log(m / m.sum(1, keepdims=True) / m.sum(0, keepdims=True) * m.sum())
-        model.classes[middle_at] = (near[:, 0] @ pull.T + near[:, 1] @ pull).argmax(1)
-
-    size = model.all_classes
-
-    def add_steps(array, numbers, own):
-        c = own.class_of(numbers)
-        array += np.bincount(c[:-1] * size + c[1:], minlength=len(array))
+    def of_core(w, o):
+        return np.where((place[w] >= 0) & (place[o] >= 0), place[w] * n_core + place[o], -1)
 
-    model.steps = _cell_sums(learn, model, (size, size), add_steps).astype(np.float64)
+    of = np.concatenate([np.array([form(w) for w in words], dtype=np.int64), np.arange(FORMS)]) + k + 1
+    if END in model.head:
+        of[model.head[END]] = k
+    if n_core:
+        of[core_at] = exchange(_pair_sums(pairs, (n_core, n_core), nodes, of_core), k)
+
+    # The core and the middle first; then all words, as long as it helps.
+    best, m = of, None
+    for i in range(sweeps + 2 if n_core else 1):
+        contexts = _contexts(pairs, of, size)
+        new = _steps_of(contexts, of, size)
+        if i > 2 and likelihood(new) <= likelihood(m):
+            break
+        best, m = of, new
+        if i > sweeps or not n_core:
+            break
+        movable = np.zeros(nodes, dtype=bool)
+        movable[usual[: core + middle] if i == 0 else usual] = True
+        of = sweep(contexts, of, movable, m, k)
+    of = best
+    model.n_classes, model.classes, model.steps = k, of[:heads], m
     model.class_tokens = model.steps.sum(0)
     model.class_words = np.bincount(model.classes, minlength=size).astype(np.float64)
     sent = learn.sparkSession.sparkContext.broadcast(model.head)

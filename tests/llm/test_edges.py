@@ -630,3 +630,17 @@ def test_rest_stands_without_this_package(tmp_path):
     shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py", ".pytest_cache"))
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') for n in q) and 'pipeline' not in q; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", check=True, timeout=120)
+
+
+def test_brown_exchange_reaches_words_beyond_the_core(spark):
+    """Words far below core and middle, all of one form, are told apart by their
+    neighbours, and likelihood rises over classes of form."""
+    from tallyspan.llm.brown import fit
+
+    rng = np.random.default_rng(5)
+    kinds = [[f"{c}{i:02d}x" for i in range(40)] for c in "abc"]
+    texts = [(" ".join(str(rng.choice(kinds[(j + s) % 3])) for j in range(30)),) for s in rng.integers(0, 3, 400)]
+    model, _ = fit(spark.createDataFrame(texts, "text string").repartition(3), core=12, middle=6, classes=3)
+    found = [Counter(int(model.classes[model.head[w.encode()]]) for w in kind) for kind in kinds]
+    assert all(max(f.values()) >= 38 and max(f) < 3 for f in found)
+    assert len({f.most_common(1)[0][0] for f in found}) == 3
