@@ -183,28 +183,27 @@ class Credit:
             spent = [a + b for a, b in zip(spent, take)]
             left = [a - b for a, b in zip(left, take)]
             at += sum(take)
+        self.sums = [np.cumsum(np.array([0, *take], dtype=self.kind)) for _, _, take in self.phases]
 
-    def spent(self, queue: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def spent(self, queue: int | np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(tokens of the queue, tokens of the queues before it) among the first h."""
         h = np.asarray(h, dtype=self.kind)
+        queue = np.broadcast_to(queue, h.shape)
         own, before = h * 0, h * 0
-        for at, start, take in self.phases:
-            n = sum(take)
-            x = np.minimum(np.maximum(h - at, 0), n)
-            lo, hi = 0, len(take)
+        for (at, _, take), sums in zip(self.phases, self.sums):
+            x = np.minimum(np.maximum(h - at, 0), sums[-1])
+            lo, hi = np.zeros(h.shape, np.int64), np.full(h.shape, len(take))
             ahead = x * 0
-            while hi - lo > 1:
-                mid = (lo + hi) // 2
-                all_, left = sum(take[lo:hi]), sum(take[lo:mid])
-                y = x * left // all_ if all_ else x * 0
-                if queue < mid:
-                    hi, x = mid, y
-                else:
-                    ahead, lo, x = ahead + y, mid, x - y
+            while (hi - lo > 1).any():
+                mid = np.where(hi - lo > 1, (lo + hi) // 2, hi)
+                y = x * (sums[mid] - sums[lo]) // np.maximum(sums[hi] - sums[lo], 1)
+                left = queue < mid
+                ahead, x = np.where(left, ahead, ahead + y), np.where(left, y, x - y)
+                lo, hi = np.where(left, lo, mid), np.where(left, mid, hi)
             own, before = own + x, before + ahead
         return own, before
 
-    def window(self, queue: int, at: np.ndarray, length: int) -> np.ndarray:
+    def window(self, queue: int | np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
         """The window that holds the queue's token at a position."""
         at = np.asarray(at, dtype=self.kind)
         lo = at * 0
@@ -224,25 +223,17 @@ def _cut(credit: Credit, length: int, kind: str):
             queue = np.asarray(batch.column("queue").to_pylist(), dtype=np.int64)
             first = np.asarray(batch.column("first").to_pylist(), dtype=credit.kind)
             n = np.asarray(batch.column("n").to_pylist(), dtype=np.int64)
-            rows, wins, lows, highs, offs = [], [], [], [], []
-            for q in np.unique(queue):
-                at = np.flatnonzero(queue == q)
-                w0 = credit.window(q, first[at], length)
-                w1 = credit.window(q, first[at] + n[at] - 1, length)
-                many = (w1 - w0 + 1).astype(np.int64)
-                row = np.repeat(at, many)
-                step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                w = np.repeat(w0, many) + step
-                own0, before0 = credit.spent(q, w * length)
-                own1, before1 = credit.spent(q, np.minimum((w + 1) * length, credit.total))
-                low = np.maximum(first[row], own0)
-                high = np.minimum(first[row] + n[row], own1)
-                some = np.asarray(high > low, dtype=bool)
-                for out, x in ((rows, row), (wins, w), (lows, low - first[row]), (highs, high - first[row]), (offs, before1 - before0 + low - own0)):
-                    out.append(np.asarray(x[some], dtype=np.int64))
-            row, win, low, high, off = (np.concatenate(x) for x in (rows, wins, lows, highs, offs))
-            order = np.lexsort((low, row))
-            row, win, low, high, off = (x[order] for x in (row, win, low, high, off))
+            w0 = credit.window(queue, first, length)
+            many = (credit.window(queue, first + n - 1, length) - w0 + 1).astype(np.int64)
+            row = np.repeat(np.arange(len(n)), many)
+            win = w0[row] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            own0, before0 = credit.spent(queue[row], win * length)
+            own1, before1 = credit.spent(queue[row], np.minimum((win + 1) * length, credit.total))
+            low = np.maximum(first[row], own0)
+            high = np.minimum(first[row] + n[row], own1)
+            some = np.asarray(high > low, dtype=bool)
+            pieces = (row, win, low - first[row], high - first[row], before1 - before0 + low - own0)
+            row, win, low, high, off = (np.asarray(x[some], dtype=np.int64) for x in pieces)
             ids, crc, last, data = batch.column("ids"), [], -1, b""
             for i, a, b in zip(row.tolist(), low.tolist(), high.tolist()):
                 if i != last:
@@ -275,28 +266,31 @@ def pack(
     targets: dict[str, float] | None = None,
     tokenizer_name: str = "byte_bpe_50k.json",
     end_id: int = 1,
-    most_queues: int = 64,
+    most_queues: int | None = None,
 ) -> DataFrame:
     """Pieces of docs (doc_id, text, source) in sequences of ``length`` tokens.
 
     targets: weight by source, others weigh nothing until those are used up;
     None: the sources' own shares, so that all queues end together and every
-    window is a sample of the whole. The ``most_queues`` - 1 largest sources
-    have queues of their own, any more share the last one, which bounds what
-    the driver keeps; no row is left out.
+    window is a sample of the whole. Every source has a queue of its own; the
+    driver and the tasks keep a number for each source, and one for each source
+    and target. Where ``most_queues`` is given, all sources but the targeted and
+    the ``most_queues`` - 1 largest share the last queue; no row is left out.
     """
     staged = written(
         docs.select("doc_id", "text", F.col("source").cast("string").alias("source")).mapInArrow(_tokenize(tokenizer_name, end_id), _STAGED), "packing-ids"
     )
     sums = written(staged.groupBy("part", "qkey").agg(F.sum("n").alias("tokens")), "packing-sums")
-    top = sums.groupBy("qkey").agg(F.sum("tokens").alias("tokens")).orderBy(F.desc("tokens"), "qkey").limit(most_queues - 1).collect()
-    rest = (sums.agg(F.sum("tokens")).first()[0] or 0) - sum(r["tokens"] for r in top)
-    names = [r["qkey"] for r in top]
-    weights = None if targets is None else [targets.get(q[1:], 0.0) if q != "n" else 0.0 for q in names] + [0.0]
-    credit = Credit([r["tokens"] for r in top] + [rest], weights)
-    known = F.array([F.lit(x) for x in names]) if names else F.array().cast("array<string>")
-    queue = F.array_position(known, F.col("qkey")).cast("int")
-    queued = sums.withColumn("queue", F.when(queue > 0, queue - 1).otherwise(len(names)))
+    own = [(r["qkey"], r["tokens"]) for r in sums.groupBy("qkey").agg(F.sum("tokens").alias("tokens")).orderBy(F.desc("tokens"), "qkey").collect()]
+    aim = {"s" + source: w for source, w in (targets or {}).items()}
+    rest = []
+    if most_queues is not None:
+        rest = [x for x in own[most_queues - 1 :] if x[0] not in aim]
+        own = own[: most_queues - 1] + [x for x in own[most_queues - 1 :] if x[0] in aim]
+    weights = None if targets is None else [aim.get(q, 0.0) for q, _ in own] + [0.0] * bool(rest)
+    credit = Credit([n for _, n in own] + [sum(n for _, n in rest)] * bool(rest), weights)
+    numbers = [(q, i) for i, (q, _) in enumerate(own)] + [(q, len(own)) for q, _ in rest]
+    queued = sums.join(docs.sparkSession.createDataFrame(numbers, "qkey string, queue int"), "qkey")
     before = Window.partitionBy("queue").orderBy("part", "qkey").rowsBetween(Window.unboundedPreceding, -1)
     offsets = written(queued.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).select("part", "qkey", "queue", "base"), "packing-offsets")
     placed = staged.join(offsets, ["part", "qkey"]).withColumn("first", F.col("base") + F.col("local"))

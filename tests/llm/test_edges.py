@@ -644,3 +644,18 @@ def test_brown_exchange_reaches_words_beyond_the_core(spark):
     found = [Counter(int(model.classes[model.head[w.encode()]]) for w in kind) for kind in kinds]
     assert all(max(f.values()) >= 38 and max(f) < 3 for f in found)
     assert len({f.most_common(1)[0][0] for f in found}) == 3
+
+
+def test_packing_keeps_targets_of_many_sources(spark):
+    """The least of 80 sources is the only target, so it fills the first windows;
+    without targets each source holds its share of every stretch."""
+    from tallyspan.llm.packing import pack
+
+    texts = [(i, "one two three four five six seven " * (8 if i % 80 else 6), None, f"s{i % 80:02d}") for i in range(800)]
+    docs = spark.createDataFrame(texts, SCHEMA).repartition(3)
+    pieces = pack(docs, length=64, targets={"s00": 1.0}).collect()
+    last = max(r.sequence_id for r in pieces if r.source == "s00")
+    assert all(r.source == "s00" for r in pieces if r.sequence_id < last) and len({r.doc_id for r in pieces}) == 800
+    pieces = pack(docs, length=2048).collect()
+    full = Counter((r.sequence_id, r.source) for r in pieces)
+    assert all(full[w, f"s{s:02d}"] for w in range(max(r.sequence_id for r in pieces)) for s in range(80))
