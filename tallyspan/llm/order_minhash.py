@@ -1,25 +1,33 @@
-"""Order MinHash fingerprints (after Marcais et al., 2019).
-
-A text is the sequence of its k-mers of tokens (runs of at most 16 characters
-that are not white space), each numbered by its occurrence. A signature takes
-``length`` of these with the least hash values, keeps them in their text order
-and hashes the tuple, so that two texts agree in a signature only where they
-share these k-mers *and* their order: likeness follows edit distance rather than
-overlap. The least values of ``signatures`` permutations come from one sorted
-array of hashes: permutation j starts at the j-th of evenly spaced points and
-takes the next values, round the end (one-permutation hashing with rotation).
-
-All is done by array functions within a row: an array of long values that hold
-33 bits of hash over 30 bits of place is sorted (as primitives), and a point is
-found by binary search. Texts without repeated k-mers skip the numbering. Only
-DataFrame functions are used.
-
-Edge cases. Null text: as empty; a text without tokens has the fingerprint of
-zeros and is like another such text (1.0). Fewer tokens than k: one k-mer.
-Repeated rows (same id and text) are one document in the order of documents and
-each get its result; rows of one id with different texts follow by their hash.
-Null doc_id comes first. One document: it is its own next. Long texts: whole.
-Other columns are ignored.
+"""Order MinHash fingerprints (after Marcais et al., 2019) over letters.
+
+A text is the sequence of its k-mers of code points, each numbered by its
+occurrence. A signature takes ``length`` of these with the least hash values,
+keeps them in their text order and hashes the tuple, so that two texts agree in
+a signature only where they share these k-mers *and* their order: likeness
+follows edit distance rather than overlap.
+
+One permutation serves all signatures. A k-mer's hash has a bin (one for each
+signature) and an offset; signature j takes the least offsets of bin j, and goes
+on to the next bins, round the end, where bin j has too few. A first occurrence
+stands in the bin of its hash, the c-th further one in a bin that is hashed from
+the k-mer and c; the offset is that of the k-mer.
+
+As an offset does not depend on the occurrence, k-mers of large offsets can be
+left aside before anything is sorted: in a text of many k-mers only those below
+an offset that leaves about ``spare`` to each bin are sorted and numbered. Where
+some bin is then short of k-mers, as in a text that repeats itself, all k-mers of
+the text are sorted and numbered instead. So the result is that of all k-mers.
+
+All is done by array functions within a row. A long value holds 33 bits of hash
+over 30 bits of place, sorts as a primitive, and a bin's begin is found by binary
+search. Only DataFrame functions are used.
+
+Edge cases. Null text: as empty; an empty text has the fingerprint of zeros and
+is like another such text (1.0). Fewer letters than k: one k-mer. Repeated rows
+(same id and text) are one document in the order of documents and each get its
+result; rows of one id with different texts follow by their hash. Null doc_id
+comes first. One document: it is its own next. Equal hashes: by place in the
+text. Long texts: whole (up to 2^29 letters). Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,52 +37,84 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.common import written
 
-POS, HASH = 30, (1 << 33) - 1
-TOKEN = r"\S{1,16}"
-
-
-def _packed(h: Column, pos: Column) -> Column:
-    return F.shiftleft(h.bitwiseAND(F.lit(HASH)), POS).bitwiseOR(pos)
-
-
-def with_signatures(df: DataFrame, text: str, out: str, *, k: int = 3, length: int = 2, signatures: int = 64) -> DataFrame:
-    """df with the array of signatures of a text column (not null)."""
-    names = [f"_{out}_{x}" for x in ("hashes", "kmers", "sorted", "runs", "order")]
-    hashes, kmers, sorted_, runs, order = names
-    tokens = F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0))
-    df = df.withColumn(hashes, F.transform(tokens, lambda t: F.xxhash64(t)))
-    n = F.size(hashes)
-    grams = F.transform(F.slice(hashes, 1, n - (k - 1)), lambda h, i: F.xxhash64(h, *[F.get(hashes, i + j) for j in range(1, k)]))
-    df = df.withColumn(kmers, F.when(n >= k, grams).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<bigint>")))
-
-    # Occurrence numbers, only where a k-mer repeats: sort by (hash, place); a
-    # run of equal hashes is numbered from 0.
-    repeats = F.size(F.array_distinct(kmers)) < F.size(kmers)
-    df = df.withColumn(sorted_, F.when(repeats, F.sort_array(F.transform(kmers, lambda h, i: _packed(h, i.cast("long"))))))
-    key = lambda v: F.shiftright(v, POS)
-    last = F.size(sorted_) - 1
-    starts = F.filter(F.sequence(F.lit(0), last), lambda t: (t == 0) | (key(F.get(sorted_, t)) != key(F.get(sorted_, t - 1))))
-    df = df.withColumn(runs, F.when(F.col(sorted_).isNotNull(), starts))
-    occurrence = F.flatten(F.transform(runs, lambda s, j: F.sequence(F.lit(0), F.coalesce(F.get(runs, j + 1), last + 1) - s - 1)))
-    place = F.lit((1 << POS) - 1)
-    plain = F.transform(kmers, lambda h, i: _packed(F.xxhash64(h.bitwiseAND(F.lit(HASH)), F.lit(0)), i.cast("long")))
-    numbered = F.zip_with(sorted_, occurrence, lambda v, o: _packed(F.xxhash64(key(v), o), v.bitwiseAND(place)))
-    df = df.withColumn(order, F.sort_array(F.when(F.col(sorted_).isNotNull(), numbered).otherwise(plain)))
+#: Bits of a packed value's place, and of its hash.
+POS, HASH = 30, 33
+PLACE = (1 << POS) - 1
 
+
+def _key(v: Column) -> Column:
+    return F.shiftright(v, POS)
+
+
+def _kmers(text: Column, k: int) -> Column:
+    """Packed values of all k-mers in text order; empty for an empty text. The
+    array around the encoded text keeps it from being copied at every k-mer."""
+    high = F.lit(((1 << HASH) - 1) << POS)
+
+    def of(data: Column) -> Column:
+        last = F.greatest(F.octet_length(data) - (4 * k - 1), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last, F.lit(4)), lambda i: F.xxhash64(F.substring(data, i, F.lit(4 * k))).bitwiseAND(high).bitwiseOR(i.cast("long")))
+
+    found = F.get(F.transform(F.array(F.encode(text, "UTF-32")), of), F.lit(0))
+    return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<bigint>"))
+
+
+def _numbered(df: DataFrame, kmers: Column, out: str, offset: int) -> DataFrame:
+    """df with the sorted packed values of occurrence-numbered k-mers."""
+    ordered, again = f"{out}_sorted", f"{out}_again"
+    df = df.withColumn(ordered, F.sort_array(kmers))
+    same = lambda v, t: (t > 0) & (v.bitwiseXOR(F.get(ordered, t - 1)) < F.lit(1 << POS))
+    df = df.withColumn(again, F.filter(ordered, same))
+
+    # Further occurrences: a run of equal hashes is numbered from 1.
+    last = F.size(again) - 1
+    starts = F.filter(F.sequence(F.lit(0), last), lambda t: (t == 0) | (_key(F.get(again, t)) != _key(F.get(again, t - 1))))
+    df = df.withColumn(f"{out}_runs", F.when(last >= 0, starts))
+    runs = F.col(f"{out}_runs")
+    occurrence = F.flatten(F.transform(runs, lambda s, j: F.sequence(F.lit(1), F.coalesce(F.get(runs, j + 1), last + 1) - s)))
+    keep = F.lit((((1 << offset) - 1) << POS) | PLACE)
+    bins = (1 << (HASH - offset)) - 1
+    moved = F.zip_with(again, occurrence, lambda v, o: F.shiftleft(F.xxhash64(_key(v), o).bitwiseAND(F.lit(bins)), POS + offset).bitwiseOR(v.bitwiseAND(keep)))
+    first = F.filter(ordered, lambda v, t: ~same(v, t))
+    df = df.withColumn(out, F.when(last >= 0, F.sort_array(F.concat(first, moved))).otherwise(F.col(ordered)))
+    return df.drop(ordered, again, f"{out}_runs")
+
+
+def _begins(order: str, points: Column) -> Column:
+    """For each point, how many values of a sorted array are below it."""
     n = F.size(order)
     steps = F.transform(F.sequence(F.floor(F.log2(n)).cast("int"), F.lit(0), F.lit(-1)), lambda e: F.pow(F.lit(2), e).cast("int"))
-    df = df.withColumn(f"_{out}_steps", F.when(n > 0, steps))
-    points = F.array(*[F.lit((((1 << 33) * j) // signatures) << POS) for j in range(signatures)])
-
-    def signature(point: Column) -> Column:
-        below = F.aggregate(f"_{out}_steps", F.lit(0), lambda at, s: F.when((at + s <= n) & (F.get(order, at + s - 1) < point), at + s).otherwise(at))
-        turned = lambda v: F.shiftleft(v.bitwiseAND(place), 33).bitwiseOR(key(v))
-        taken = F.transform(F.array(below), lambda b: F.sort_array(F.array(*[turned(F.get(order, (b + q) % n)) for q in range(length)])))
-        return F.xxhash64(F.transform(F.get(taken, F.lit(0)), lambda x: x.bitwiseAND(F.lit(HASH)))).bitwiseAND(F.lit(0xFFFFFFFF))
-
-    some = F.transform(points, signature)
-    df = df.withColumn(out, F.when(n > 0, some).otherwise(F.array_repeat(F.lit(0).cast("long"), signatures)))
-    return df.drop(*names, f"_{out}_steps")
+    below = lambda p, ss: F.aggregate(ss, F.lit(0), lambda at, s: F.when((at + s <= n) & (F.get(order, at + s - 1) < p), at + s).otherwise(at))
+    return F.when(n > 0, F.get(F.transform(F.array(steps), lambda ss: F.transform(points, lambda p: below(p, ss))), F.lit(0)))
+
+
+def with_signatures(df: DataFrame, text: str, out: str, *, k: int = 6, length: int = 2, signatures: int = 64, spare: int = 24) -> DataFrame:
+    """df with the array of signatures of a text column (not null). signatures
+    is a power of two."""
+    if signatures & (signatures - 1):
+        raise ValueError(f"{signatures} signatures: not a power of two")
+    offset = HASH - signatures.bit_length() + 1
+    kmers, some, order, begins = (f"_{out}_{x}" for x in ("kmers", "some", "order", "begins"))
+    points = F.array(*[F.lit(j << (POS + offset)) for j in range(signatures)])
+    df = df.withColumn(kmers, _kmers(F.col(text), k))
+
+    most = F.floor(F.lit(float(spare * signatures << offset)) / F.size(kmers)).cast("long")
+    low = F.lit(((1 << offset) - 1) << POS)
+    few = F.get(F.transform(F.array(F.shiftleft(most, POS)), lambda m: F.filter(kmers, lambda v: v.bitwiseAND(low) < m)), F.lit(0))
+    df = _numbered(df, F.when(F.size(kmers) > spare * signatures, few).otherwise(F.col(kmers)), some, offset)
+    df = df.withColumn(begins, _begins(some, points))
+    ends = F.zip_with(begins, points, lambda b, p: F.coalesce(F.get(some, b + (length - 1)) - p < (1 << (POS + offset)), F.lit(False)))
+    df = df.withColumn("_short", (F.size(kmers) > spare * signatures) & ~F.coalesce(F.forall(ends, lambda x: x), F.lit(False)))
+    df = _numbered(df, F.when(F.col("_short"), F.col(kmers)), order, offset)
+    df = df.withColumn(order, F.when(F.col("_short"), F.col(order)).otherwise(F.col(some)))
+    df = df.withColumn(begins, F.when(F.col("_short"), _begins(order, points)).otherwise(F.col(begins)))
+
+    n = F.size(order)
+    turned = lambda v: F.shiftleft(v.bitwiseAND(F.lit(PLACE)), HASH).bitwiseOR(_key(v))
+    taken = lambda b: F.array_sort(F.array(*[turned(F.get(order, (b + q) % n)) for q in range(length)]))
+    hashed = lambda xs: F.xxhash64(F.transform(xs, lambda x: x.bitwiseAND(F.lit((1 << HASH) - 1)))).bitwiseAND(F.lit(0xFFFFFFFF))
+    df = df.withColumn(out, F.when(n > 0, F.transform(begins, lambda b: hashed(taken(b)))).otherwise(F.array_repeat(F.lit(0).cast("long"), signatures)))
+    return df.drop(kmers, some, order, begins, "_short")
 
 
 def fingerprint(signatures: Column) -> Column:

@@ -508,28 +508,22 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
-def brute_signatures(text, k=3, length=2, m=64):
-    mask = (1 << 33) - 1
-    tokens = [signed(spark_hash(t.encode())) for t in re.findall(r"[^ \t\n\x0b\f\r]{1,16}", text)]
-    if not tokens:
+def brute_signatures(text, k=6, length=2, m=64):
+    """All k-mers, numbered, sorted, and from each bin on the least ones."""
+    if not text:
         return [0] * m
-    if len(tokens) >= k:
-        grams = [spark_hash(*tokens[i : i + k]) & mask for i in range(len(tokens) - k + 1)]
-    else:
-        h = 42
-        for t in tokens:
-            h = xxhash.xxh64_intdigest(struct.pack("<q", t), h)
-        grams = [h & mask]
+    bits = 33 - (m.bit_length() - 1)
     seen, order = Counter(), []
-    for i, g in enumerate(grams):
-        order.append((spark_hash(g, np.int32(seen[g])) & mask, i))
-        seen[g] += 1
+    for i in range(max(1, len(text) - k + 1)):
+        h = (spark_hash(text[i : i + k].encode("utf-32-be")) >> 30) & ((1 << 33) - 1)
+        c, seen[h] = seen[h], seen[h] + 1
+        where = h >> bits if not c else spark_hash(h, np.int32(c)) & (m - 1)
+        order.append((where << bits | h & ((1 << bits) - 1), i))
     order.sort()
     out = []
     for j in range(m):
-        point = ((1 << 33) * j) // m
-        b = sum(h < point for h, _ in order)
-        taken = sorted((order[(b + q) % len(order)] for q in range(length)), key=lambda x: x[1])
+        b = sum(h < j << bits for h, _ in order)
+        taken = sorted((order[(b + q) % len(order)] for q in range(length)), key=lambda x: (x[1], x[0]))
         h = 42
         for x, _ in taken:
             h = xxhash.xxh64_intdigest(struct.pack("<q", x), h)
@@ -537,6 +531,22 @@ def brute_signatures(text, k=3, length=2, m=64):
     return out
 
 
+def test_signatures_of_long_and_repetitive_texts(spark):
+    """Texts beyond what is sorted whole, with k-mers that return, and texts whose
+    few different k-mers leave bins empty, equal those of all k-mers."""
+    from tallyspan.llm.order_minhash import with_signatures
+
+    rng = np.random.default_rng(9)
+    prose = " ".join(rng.choice([f"wörd{i}" for i in range(300)], 4000))
+    texts = [prose, prose[:3000], "ab" * 5000, "x" * 9000, "a", "short one", "12345678", "123456789", "\U0001f600 ünï " * 700, prose[:1600] + "a line that returns " * 300, "".join(map(chr, rng.integers(33, 0x3000, 2500)))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for options in ({}, {"spare": 4}, {"k": 5, "length": 3, "signatures": 16}):
+        own = {"k": options.get("k", 6), "length": options.get("length", 2), "m": options.get("signatures", 64)}
+        got = {r.i: r.own for r in with_signatures(df, "text", "own", **options).collect()}
+        for i, t in enumerate(texts):
+            assert got[i] == brute_signatures(t, **own), (i, options)
+
+
 def test_order_minhash(docs, nothing):
     from tallyspan.llm.order_minhash import compare_with_edited
 
@@ -561,12 +571,22 @@ def test_order_minhash(docs, nothing):
     assert compare_with_edited(docs.where("doc_id = 1")).first().near_next == 1.0
 
 
-def test_likeness_falls_with_edits_and_order():
-    base = [f"tok{i}" for i in range(400)]
+def test_likeness_follows_edit_distance():
+    rng = np.random.default_rng(2)
+    base = [f"tok{i}" for i in rng.integers(0, 10**6, 400)]
     sig = lambda w: brute_signatures(" ".join(w))
     like = lambda a, b: sum(x == y for x, y in zip(sig(a), sig(b))) / 64
-    assert like(base, base[:390] + ["new"] * 10) > like(base, base[:200] + [f"n{i}" for i in range(200)])
+    assert like(base, base[:390] + ["new"] * 10) > like(base, base[:200] + [f"n{i}" for i in range(200)]) > 0
     assert like(base, base[200:] + base[:200]) < like(base, base[:390] + ["new"] * 10)
+    # One changed letter in every third word leaves k-mers in common, and so does
+    # one letter put into a text without white space.
+    changed = [w[:-1] + "x" if i % 3 == 0 else w for i, w in enumerate(base)]
+    assert like(base, changed) > 0.1
+    plain = "".join(map(chr, rng.integers(97, 123, 3000)))
+    own, more = brute_signatures(plain), brute_signatures(plain[:40] + "#" + plain[40:])
+    assert sum(x == y for x, y in zip(own, more)) > 55
+    short = "five words of equal length"
+    assert sum(x == y for x, y in zip(brute_signatures(short), brute_signatures(short[:13] + "1234567890123"))) > 0
 
 
 # --- queries and pipeline
