@@ -4,20 +4,20 @@ folder for intermediate tables, and grouped iteration over Arrow batches."""
 from __future__ import annotations
 
 import atexit
+import functools
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
-
+from tallyspan.session import shared_dir
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Applications whose executors have this package.
@@ -47,28 +47,24 @@ def ship_code(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_code(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def shipped(operator: Callable) -> Callable:
+    """operator, with this package sent to the executors before it makes any of
+    its functions for them (they take the list of what was sent when made)."""
 
+    @functools.wraps(operator)
+    def run(*args, **kwargs):
+        for x in (*args, *kwargs.values()):
+            if isinstance(x, DataFrame):
+                ship_code(x.sparkSession)
+                break
+        return operator(*args, **kwargs)
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the
-    session. Only where that is unset (tests, one machine) a temporary folder
-    is made, used as checkpoint folder too, and removed at exit."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = tempfile.mkdtemp(prefix="tallyspan-")
-        atexit.register(shutil.rmtree, _OWN[app], True)
-    return f"file://{_OWN[app]}"
+    return run
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 #: Paths of the tables written so far, by session; see drop_tables().
@@ -105,12 +101,14 @@ def drop_tables(spark: SparkSession, since: int = 0, until: int | None = None) -
 
 
 class Bitmap:
-    """A set of ids as bits of their hashes, of a fixed size whatever the number
-    of ids. Ids outside the set may seem inside (all do, once it is full), none
-    inside seems outside, so it is only ever used to spare rows a shuffle before
-    an exact join."""
-
-    def __init__(self, ids: DataFrame, column: str, bits: int = 25) -> None:
+    """A set of ids as bits of their hashes: eight bits for each id, but 2**most
+    bits (32 MB) at most, which bounds what is broadcast. Ids outside the set may
+    seem inside (all do, once it is full), none inside seems outside, so it is
+    only ever used to spare rows a shuffle before an exact join."""
+
+    def __init__(self, ids: DataFrame, column: str, bits: int | None = None, most: int = 28) -> None:
+        if bits is None:
+            bits = min(most, max(16, (8 * ids.count()).bit_length()))
         self.column, self.bits = column, bits
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +171,20 @@ def give_back() -> None:
         pass
 
 
+def smallest_hashes(df: DataFrame, key: str, most: int, rows: int | None = None) -> DataFrame:
+    """The ``most`` rows of least hash of key (ties by key), from df of ``rows``
+    rows (counted where not given). Rows above a hash below which nearly all of
+    the sought lie are left out first, so few rows of each task meet in one."""
+    n = df.count() if rows is None else rows
+    h = F.xxhash64(key)
+    share = (most + 8 * most**0.5 + 64) / max(n, 1)
+    if share < 1:
+        below = df.where(h < int(-(1 << 63) + share * (1 << 64)))
+        if below.count() >= most:
+            df = below
+    return df.orderBy(h, key).limit(most)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a string column, null as empty, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -1,12 +1,16 @@
 """Connected components of an edge table by large-star and small-star rounds
-(Kiveris et al., "Connected Components in MapReduce and Beyond", 2014)."""
+(Kiveris et al., "Connected Components in MapReduce and Beyond", 2014).
+
+Edge cases. Repeated edges, either way round, count once; an edge of a node to
+itself, or with a null end, is no edge. No edges: no rows. Ties: none, as a
+component has one smallest id."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import ensure_checkpoint_dir
+from tallyspan.session import ensure_checkpoint_dir
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -1,17 +1,22 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
-Each source is a queue of its documents' tokens. Every window (a sequence of
-``length`` tokens) is filled to the target proportions: a queue earns its share
-of the window as credit, spends whole tokens and carries the rest, its deficit,
-to the next window. Summed over the windows, what a queue has spent after h
-tokens is a function of h alone. Shares are split down a binary tree of queues,
-where the left child of a node that has spent h of its n tokens has spent
-floor(h * n_left / n). So any task can tell the place of any token without the
-others: deficits carry over windows and partitions alike, no row waits for
-another, and every window but the last is full.
+Each source is a queue of its documents' tokens, cut into quanta of ``length //
+runs`` tokens. In every round, a window of ``runs`` quanta, a queue earns its
+target share of the window as credit, spends whole quanta in one run, and carries
+the rest, its deficit, to the next round. So a window holds long runs of few
+documents, and over the rounds each queue keeps to its share: it is never further
+from it than one quantum for each level of the tree below.
+
+Summed over the rounds, what a queue has spent after h quanta is a function of h
+alone. Shares are split down a binary tree of queues, where the left child of a
+node that has spent h of its n quanta has spent floor(h * n_left / n). So any
+task can tell the place of any token without the others: deficits carry over
+windows and partitions alike, no row waits for another, and every sequence but
+the last is full. A queue's last quantum may be short of tokens; what follows
+moves up, and sequences cut the rounds where they come to lie.
 
 When targets differ from what the queues hold, the run falls into phases: one
-ends when a queue is empty, and the rest share what it no longer takes.
+ends when a targeted queue is empty, and the rest share what it no longer takes.
 
 Stage 1 tokenizes each document once and writes its ids (two bytes each) with
 its place within (partition, source). Stage 2 adds the sums of earlier
@@ -19,15 +24,18 @@ partitions, a table of one row per partition and source, and cuts the pieces.
 
 Edge cases. Null or empty text: a document of its end id alone. Null source: a
 queue of its own. Repeated rows or ids: each row is packed. No rows: no pieces.
-Long texts: cut over as many windows as needed. Other columns are ignored.
+Long texts: cut over as many windows as needed. Ties of sources in tokens: by
+name. Targets of sources that do not occur, or are not above zero, say nothing.
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,75 +43,45 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import written
+from tallyspan.llm.common import shipped, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 _STAGED = "doc_id long, source string, part int, qkey string, local long, n long, ids binary"
 _TOKENIZERS: dict[str, object] = {}
 
 
-#: White space of Unicode, the kind that the split pattern means.
-_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
-_BEFORE_SPACE = tuple(c + " " for c in _SPACES)
-
-
-class WordCache(dict):
-    """Token ids of a text by its space-led words.
-
-    In this vocabulary's split pattern a space after a non-space always opens a
-    new piece, so the text between two such spaces can be encoded on its own,
-    and repeated words are looked up. Texts where white space stands before a
-    space go to the tokenizer whole. Two generations of words are kept: when the
-    younger is full it becomes the older, and words that are met again move on.
-    """
-
-    MOST, LONGEST = 150_000, 40
+class Encoder:
+    """Ids of texts as the tokenizer of a file gives them without special tokens
+    put round the text. Strings of the file's added tokens stand for their ids,
+    as that tokenizer has it; texts that hold one go to it, all others to a
+    faster encoder of the same vocabulary where there is one."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         if not path.endswith(".json"):
             raise ValueError(f"a tokenizer .json file is needed, not {path}")
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
-        twin = _byte_level_twin(path, tok)
-        self.split = bool(twin)
-        self.whole = twin._core_bpe.encode_ordinary if twin else lambda text: tok.encode(text, add_special_tokens=False).ids
-        self.kind = np.dtype("<u2") if tok.get_vocab_size() <= 65536 else np.dtype("<u4")
-        self.older: dict[str, bytes] = {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
+        self.plain = Tokenizer.from_file(path)
+        spec = json.load(open(path, encoding="utf-8"))
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.fast = _byte_level_twin(spec, self.plain)
+        self.kind = np.dtype("<u2") if self.plain.get_vocab_size() <= 65536 else np.dtype("<u4")
+
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or any(x in text for x in self.added):
+            ids = self.plain.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast(text)
         if sys.byteorder == "little":
             return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
         return np.array(ids, dtype=self.kind).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        """Ids of the word with a space before it."""
-        ids = self.older.get(word)
-        if ids is None:
-            ids = self._bytes(self.whole(" " + word))
-        if len(word) <= self.LONGEST:
-            if len(self) >= self.MOST:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        if not self.split or text.endswith(" ") or any(x in text for x in _BEFORE_SPACE):
-            return self._bytes(self.whole(text))
-        first, *rest = text.split(" ")
-        return self._bytes(self.whole(first)) + b"".join(map(self.__getitem__, rest))
 
-
-def _byte_level_twin(path: str, tok):
+def _byte_level_twin(spec: dict, tok) -> Callable[[str], list[int]] | None:
     """tiktoken's encoder over the ranks of a byte-level BPE file, several times
     as fast for the same ids; None where the file is of another kind."""
-    import json
-
     import tiktoken
 
-    spec = json.load(open(path, encoding="utf-8"))
     pre = spec.get("pre_tokenizer") or {}
     if spec["model"].get("type") != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or spec.get("normalizer"):
         return None
@@ -114,18 +92,17 @@ def _byte_level_twin(path: str, tok):
     vocab = spec["model"]["vocab"]
     ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    twin = tiktoken.Encoding("twin", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    probe = "It's 12 new-ish wörds,\n  and\ttabs  <|endoftext|>  x 中文! "
-    same = twin.encode_ordinary(probe) == tok.encode(probe, add_special_tokens=False).ids
-    return twin if same else None
+    encode = tiktoken.Encoding("twin", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
+    probe = "It's 12 new-ish wörds,\n  and\ttabs  x 中文! "
+    return encode if encode(probe) == tok.encode(probe, add_special_tokens=False).ids else None
 
 
-def tokenizer(name: str) -> WordCache:
+def tokenizer(name: str) -> Encoder:
     """The encoder of this worker, kept between tasks."""
     if name not in _TOKENIZERS:
         import public_tokenizers
 
-        _TOKENIZERS[name] = WordCache(public_tokenizers.path(name) if "/" not in name else name)
+        _TOKENIZERS[name] = Encoder(public_tokenizers.path(name) if "/" not in name else name)
     return _TOKENIZERS[name]
 
 
@@ -157,54 +134,56 @@ def _tokenize(name: str, end_id: int):
 
 
 class Credit:
-    """What each queue has spent after h tokens; see the module's text."""
+    """What each queue has spent after h quanta; see the module's text. Arrays of
+    queues for each phase: one, and one for each targeted queue."""
 
     def __init__(self, totals: list[int], weights: list[float] | None = None) -> None:
         self.total = sum(totals)
         self.kind = np.int64 if self.total < 3_000_000_000 else object
-        self.phases: list[tuple[int, list[int], list[int]]] = []  # first token, spent before, tokens
+        begins, before, takes = [], [], []
         spent, left, at = [0] * len(totals), list(totals), 0
         while any(left):
             live = [i for i, x in enumerate(left) if x]
             share = [0.0] * len(totals)
             for i in live:
                 share[i] = (weights[i] if weights else totals[i]) or 0.0
-            if not sum(share):
-                for i in live:
-                    share[i] = left[i]
-            if weights is None:
+            if weights is None or not sum(share):
                 take = list(left)
             else:
                 scale = min(left[i] / share[i] for i in live if share[i])
                 take = [min(left[i], int(share[i] * scale)) for i in range(len(totals))]
                 ended = min((i for i in live if share[i]), key=lambda i: left[i] / share[i])
                 take[ended] = left[ended]
-            self.phases.append((at, list(spent), take))
+            begins.append(at)
+            before.append(spent)
+            takes.append(take)
             spent = [a + b for a, b in zip(spent, take)]
             left = [a - b for a, b in zip(left, take)]
             at += sum(take)
-        self.sums = [np.cumsum(np.array([0, *take], dtype=self.kind)) for _, _, take in self.phases]
+        self.queues = len(totals)
+        self.begins = np.array(begins or [0], dtype=self.kind)
+        self.before = np.array(before or [[0] * len(totals)], dtype=self.kind)
+        sums = lambda rows: np.array([[0, *row] for row in rows], dtype=self.kind).cumsum(1)
+        self.sums, self.ahead = sums(takes or [[0] * len(totals)]), sums(self.before.tolist())
 
     def spent(self, queue: int | np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens of the queue, tokens of the queues before it) among the first h."""
+        """(quanta of the queue, quanta of the queues before it) among the first h."""
         h = np.asarray(h, dtype=self.kind)
         queue = np.broadcast_to(queue, h.shape)
-        own, before = h * 0, h * 0
-        for (at, _, take), sums in zip(self.phases, self.sums):
-            x = np.minimum(np.maximum(h - at, 0), sums[-1])
-            lo, hi = np.zeros(h.shape, np.int64), np.full(h.shape, len(take))
-            ahead = x * 0
-            while (hi - lo > 1).any():
-                mid = np.where(hi - lo > 1, (lo + hi) // 2, hi)
-                y = x * (sums[mid] - sums[lo]) // np.maximum(sums[hi] - sums[lo], 1)
-                left = queue < mid
-                ahead, x = np.where(left, ahead, ahead + y), np.where(left, y, x - y)
-                lo, hi = np.where(left, lo, mid), np.where(left, mid, hi)
-            own, before = own + x, before + ahead
-        return own, before
+        phase = np.searchsorted(self.begins, h, "right") - 1
+        x, ahead = np.minimum(h - self.begins[phase], self.sums[phase, -1]), self.ahead[phase, queue]
+        lo, hi = np.zeros(h.shape, np.int64), np.full(h.shape, self.queues)
+        while (hi - lo > 1).any():
+            mid = np.where(hi - lo > 1, (lo + hi) // 2, hi)
+            base = self.sums[phase, lo]
+            y = x * (self.sums[phase, mid] - base) // np.maximum(self.sums[phase, hi] - base, 1)
+            left = queue < mid
+            ahead, x = np.where(left, ahead, ahead + y), np.where(left, y, x - y)
+            lo, hi = np.where(left, lo, mid), np.where(left, mid, hi)
+        return self.before[phase, queue] + x, ahead
 
     def window(self, queue: int | np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-        """The window that holds the queue's token at a position."""
+        """The round of ``length`` quanta that holds the queue's quantum at a position."""
         at = np.asarray(at, dtype=self.kind)
         lo = at * 0
         hi = at * 0 + (self.total - 1) // length
@@ -215,25 +194,59 @@ class Credit:
         return lo
 
 
-def _cut(credit: Credit, length: int, kind: str):
+class Layout:
+    """Places of the queues' tokens in the stream of all tokens."""
+
+    def __init__(self, tokens: list[int], weights: list[float] | None, length: int, runs: int) -> None:
+        self.length, self.runs, self.quantum = length, min(runs, length), max(1, length // runs)
+        self.tokens = tokens
+        units = [-(-n // self.quantum) for n in tokens]
+        self.credit = Credit(units, weights)
+        self.kind = np.int64 if sum(tokens) < 1 << 40 else object
+        # Rounds in which queues end on a quantum that is short, and by how much.
+        short = [i for i, n in enumerate(tokens) if n % self.quantum]
+        ends = self.credit.window(np.array(short, dtype=np.int64), np.array([units[i] - 1 for i in short], dtype=self.credit.kind), self.runs) if short else []
+        order = sorted(zip(map(int, ends), short))
+        self.lacks_at = np.array([r * (len(tokens) + 1) + q for r, q in order], dtype=self.kind)
+        self.lacks = np.array([0, *np.cumsum([self.quantum - tokens[q] % self.quantum for _, q in order], dtype=np.int64)], dtype=self.kind)
+
+    def pieces(self, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, first token, end, place in the stream) of the pieces of documents
+        that lie at ``first`` in their queues, in order, cut at ends of sequences."""
+        q, runs, credit = self.quantum, self.runs, self.credit
+        r0 = credit.window(queue, first // q, runs)
+        many = (credit.window(queue, (first + n - 1) // q, runs) - r0 + 1).astype(np.int64)
+        row = np.repeat(np.arange(len(n)), many)
+        rnd = r0[row] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        own0, before0 = credit.spent(queue[row], rnd * runs)
+        own1, before1 = credit.spent(queue[row], np.minimum((rnd + 1) * runs, credit.total))
+        low, high = np.maximum(first[row], own0 * q), np.minimum(first[row] + n[row], own1 * q)
+        lacking = self.lacks[np.searchsorted(self.lacks_at, np.asarray(rnd * (len(self.tokens) + 1) + queue[row], dtype=self.kind))]
+        place = (rnd * runs + before1 - before0 - own0) * q - lacking + low
+        some = np.asarray(high > low, dtype=bool)
+        row, low, high, place = row[some], low[some], high[some], place[some]
+        # Runs of one document that follow each other are one.
+        new = np.ones(len(row), dtype=bool)
+        new[1:] = (row[1:] != row[:-1]) | np.asarray(place[1:] != (place + high - low)[:-1], dtype=bool)
+        begin = np.flatnonzero(new)
+        row, low, place, high = row[begin], low[begin], place[begin], high[np.append(begin[1:], len(new)) - 1] if len(begin) else high
+        s0 = place // self.length
+        many = ((place + high - low - 1) // self.length - s0 + 1).astype(np.int64)
+        of = np.repeat(np.arange(len(row)), many)
+        seq = s0[of] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        start = np.maximum(place[of], seq * self.length)
+        end = np.minimum((place + high - low)[of], (seq + 1) * self.length)
+        shift = (low - place - first[row])[of]
+        return tuple(np.asarray(x, dtype=np.int64) for x in (row[of], start + shift, end + shift, seq, start - seq * self.length))
+
+
+def _cut(layout: Layout, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            queue = np.asarray(batch.column("queue").to_pylist(), dtype=np.int64)
-            first = np.asarray(batch.column("first").to_pylist(), dtype=credit.kind)
-            n = np.asarray(batch.column("n").to_pylist(), dtype=np.int64)
-            w0 = credit.window(queue, first, length)
-            many = (credit.window(queue, first + n - 1, length) - w0 + 1).astype(np.int64)
-            row = np.repeat(np.arange(len(n)), many)
-            win = w0[row] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            own0, before0 = credit.spent(queue[row], win * length)
-            own1, before1 = credit.spent(queue[row], np.minimum((win + 1) * length, credit.total))
-            low = np.maximum(first[row], own0)
-            high = np.minimum(first[row] + n[row], own1)
-            some = np.asarray(high > low, dtype=bool)
-            pieces = (row, win, low - first[row], high - first[row], before1 - before0 + low - own0)
-            row, win, low, high, off = (np.asarray(x[some], dtype=np.int64) for x in pieces)
+            queue, first, n = (np.asarray(batch.column(c).to_pylist(), dtype=k) for c, k in (("queue", np.int64), ("first", layout.kind), ("n", np.int64)))
+            row, low, high, seq, off = layout.pieces(queue, first, n)
             ids, crc, last, data = batch.column("ids"), [], -1, b""
             for i, a, b in zip(row.tolist(), low.tolist(), high.tolist()):
                 if i != last:
@@ -249,7 +262,7 @@ def _cut(credit: Credit, length: int, kind: str):
                         pa.array((high - low)[s]),
                         pa.array(crc[s], pa.int64()),
                         pa.array(n[row[s]]),
-                        pa.array(win[s]),
+                        pa.array(seq[s]),
                         pa.array(off[s]),
                         batch.column("source").take(take[s]),
                     ],
@@ -259,40 +272,44 @@ def _cut(credit: Credit, length: int, kind: str):
     return run
 
 
+@shipped
 def pack(
     docs: DataFrame,
     *,
     length: int = 2048,
-    targets: dict[str, float] | None = None,
+    runs: int = 8,
+    targets: dict[str, float] | Callable[[str], float] | None = None,
     tokenizer_name: str = "byte_bpe_50k.json",
     end_id: int = 1,
     most_queues: int | None = None,
 ) -> DataFrame:
     """Pieces of docs (doc_id, text, source) in sequences of ``length`` tokens.
 
-    targets: weight by source, others weigh nothing until those are used up;
-    None: the sources' own shares, so that all queues end together and every
-    window is a sample of the whole. Every source has a queue of its own; the
-    driver and the tasks keep a number for each source, and one for each source
-    and target. Where ``most_queues`` is given, all sources but the targeted and
-    the ``most_queues`` - 1 largest share the last queue; no row is left out.
+    targets: weight by source, or a function that gives it; sources without one
+    weigh nothing until the targeted are used up. None: the sources' own shares,
+    so that all queues end together and every window is a sample of the whole.
+    Every source has a queue of its own; the driver and the tasks keep a number
+    for each source, and one for each source and target. Where ``most_queues`` is
+    given, all sources but the targeted and the ``most_queues`` - 1 largest share
+    the last queue; no row is left out.
     """
     staged = written(
         docs.select("doc_id", "text", F.col("source").cast("string").alias("source")).mapInArrow(_tokenize(tokenizer_name, end_id), _STAGED), "packing-ids"
     )
     sums = written(staged.groupBy("part", "qkey").agg(F.sum("n").alias("tokens")), "packing-sums")
     own = [(r["qkey"], r["tokens"]) for r in sums.groupBy("qkey").agg(F.sum("tokens").alias("tokens")).orderBy(F.desc("tokens"), "qkey").collect()]
-    aim = {"s" + source: w for source, w in (targets or {}).items()}
+    weigh = targets if callable(targets) else (targets or {}).get
+    aim = {q: w for q, _ in own if targets is not None and q[0] == "s" and (w := weigh(q[1:]) or 0.0) > 0}
     rest = []
     if most_queues is not None:
         rest = [x for x in own[most_queues - 1 :] if x[0] not in aim]
         own = own[: most_queues - 1] + [x for x in own[most_queues - 1 :] if x[0] in aim]
     weights = None if targets is None else [aim.get(q, 0.0) for q, _ in own] + [0.0] * bool(rest)
-    credit = Credit([n for _, n in own] + [sum(n for _, n in rest)] * bool(rest), weights)
+    layout = Layout([n for _, n in own] + [sum(n for _, n in rest)] * bool(rest), weights, length, runs)
     numbers = [(q, i) for i, (q, _) in enumerate(own)] + [(q, len(own)) for q, _ in rest]
     queued = sums.join(docs.sparkSession.createDataFrame(numbers, "qkey string, queue int"), "qkey")
     before = Window.partitionBy("queue").orderBy("part", "qkey").rowsBetween(Window.unboundedPreceding, -1)
     offsets = written(queued.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).select("part", "qkey", "queue", "base"), "packing-offsets")
     placed = staged.join(offsets, ["part", "qkey"]).withColumn("first", F.col("base") + F.col("local"))
     kind = "<u2" if tokenizer(tokenizer_name).kind.itemsize == 2 else "<u4"
-    return placed.select("doc_id", "source", "queue", "first", "n", "ids").mapInArrow(_cut(credit, length, kind), PIECES)
+    return placed.select("doc_id", "source", "queue", "first", "n", "ids").mapInArrow(_cut(layout, kind), PIECES)

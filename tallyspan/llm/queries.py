@@ -3,6 +3,7 @@ parameters, to its whole table. SQL twins are in ``sql.py``."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,17 @@ from pyspark.sql import functions as F
 from tallyspan.llm.common import table
 
 
+def source_weight(source: str) -> float:
+    """A source's target weight in packing: that of its domain (domain_of_source)."""
+    return DOMAIN_WEIGHTS[f"d{int(hashlib.md5(source.encode()).hexdigest()[0], 16) % 4}"]
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed to the sources' weights; when a source is used up, the others go
+    on, so all documents are packed."""
     from tallyspan.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), targets=source_weight)
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
