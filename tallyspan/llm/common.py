@@ -185,6 +185,26 @@ def smallest_hashes(df: DataFrame, key: str, most: int, rows: int | None = None)
     return df.orderBy(h, key).limit(most)
 
 
+#: A key is hot where it holds more than this part of the rows, so there are at
+#: most 1,000 hot keys.
+HOT = 1 / 1000
+
+
+def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> list:
+    """The keys of counts (key, n) that hold more than HOT of total rows."""
+    return [r[0] for r in counts.where((F.col(n) > HOT * total) & F.col(key).isNotNull()).select(key).collect()]
+
+
+def join_unique(df: DataFrame, other: DataFrame, key: str, hot: list, how: str = "inner") -> DataFrame:
+    """df joined with other, which has one row for each key. Rows of hot keys
+    stay where they are, as the few rows of other that they meet are broadcast."""
+    if not hot:
+        return df.join(other, key, how)
+    few = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    met = df.where(few).join(F.broadcast(other.where(few)), key, how)
+    return df.where(~few).join(other.where(~few), key, how).unionByName(met)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a string column, null as empty, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -5,18 +5,21 @@ samples of an 8-bit mono WAV file. Its bytes are cut where a rolling gear hash
 of the last 32 bytes has ``bits`` leading zeros (at least ``least`` and at most
 ``most`` bytes apart), so equal passages give equal chunks wherever they stand.
 
-1. Each file's ordered chunk digests (the manifest).
+1. Each file's ordered list of chunk digests (the manifest).
 2. Joins on the digests find each chunk's first file, its owner, and for every
    other file the chunks that it only refers to.
-3. The store is written once: a row for each distinct file with the bytes of the
-   chunks that no other place has, and a pool row for each chunk of several files.
-4. Reading back, files get the pool chunks that they refer to by a join, are put
-   together in the order of their lists, and must have the digest and the length
-   that the manifest says; features are computed from these bytes.
-
-Bytes are moved once as compressed frames (a dictionary trained on a bounded
-sample), and files without shared chunks are not moved again. Equal files of one
-task are sent once, so a file that a third of the rows hold is no hot key.
+3. The store is written once: a container for each distinct file, which holds the
+   bytes of those of its chunks that no other place has, header included, and the
+   file's list; and a pool row for each chunk of several places.
+4. Reading back, a container is cut into its chunks, pool chunks come by a join,
+   and the file is put together in the order of its list. Each chunk must have
+   the digest that the list says, and the whole the file's digest and length;
+   features are computed from these bytes.
+
+Containers are compressed frames (a dictionary trained on a bounded sample), which
+are moved once; files without pool chunks are not moved again. Equal files of one
+task are sent once, and joins on a file or chunk that holds many rows broadcast
+its row, so what a third of the rows hold is no hot key.
 
 Edge cases. Null or empty text: 64 zero bytes. Repeated rows or ids: equal files
 are stored once, each row gets its own result. Null doc_id: kept. Long texts:
@@ -30,13 +33,14 @@ import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes, groups, written
+from tallyspan.llm.common import as_bytes, groups, hot_keys, join_unique, shipped, smallest_hashes, written
 
 UNIT, RATE, HEADER = 64, 8000, 44
 DIGEST = 16
@@ -92,7 +96,7 @@ def feature(payload: bytes) -> str:
 
 
 class Frames:
-    """Compression of payloads with the store's dictionary."""
+    """Compression of chunks with the store's dictionary."""
 
     def __init__(self, dictionary: bytes, level: int) -> None:
         import zstandard
@@ -110,7 +114,7 @@ def train(docs: DataFrame, *, most_rows: int, most_bytes: int = 8192, size: int
     """A dictionary from at most most_rows texts of at most most_bytes."""
     import zstandard
 
-    ids = docs.where("text is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+    ids = smallest_hashes(docs.where("text is not null").select("doc_id"), "doc_id", most_rows)
     rows = docs.join(F.broadcast(ids), "doc_id").where(F.octet_length("text").between(64, most_bytes)).select("doc_id", "text").limit(2 * most_rows).collect()
     texts = [t.encode() for _, t in sorted((r["doc_id"], r["text"]) for r in rows)]
     try:
@@ -139,22 +143,22 @@ def _frames(dictionary: bytes, level: int, most_seen: int = 500_000):
         for batch in batches:
             media, frames = [], []
             for text in as_bytes(batch.column("text")):
-                payload = payload_of(text)
-                name = digest(wav(payload))
+                data = wav(payload_of(text))
+                name = digest(data)
                 if name in seen:
                     continue
                 if len(seen) < most_seen:
                     seen.add(name)
                 media.append(name)
-                frames.append(pack(payload))
+                frames.append(pack(data))
             yield pa.RecordBatch.from_arrays([pa.array(media, pa.binary()), pa.array(frames, pa.binary())], names=["media", "frame"])
 
     return run
 
 
-#: Kinds of stored rows: a file with all its chunks, a pool chunk, a file that
-#: refers to pool chunks (held: numbers and sizes of the chunks in its frame).
-WHOLE, POOL, MIXED = 0, 1, 2
+#: Kinds of stored rows: a file's container (held: which chunks of its list it
+#: holds, sizes: their lengths), and a pool chunk.
+FILE, POOL = 0, 1
 _STORED = "kind int, name binary, length long, chunks array<binary>, held array<int>, sizes array<int>, frame binary"
 _KINDS = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<binary>": pa.list_(pa.binary())}
 
@@ -179,16 +183,15 @@ def _store(cut, dictionary: bytes, level: int):
                 if name == last:
                     continue
                 last = name
-                data = wav(box.unpack(frame))
+                data = box.unpack(frame)
                 ends = cut(data)
                 parts = [data[a:b] for a, b in zip([0, *ends], ends)]
-                lists = [digest(p) for p in parts]
+                lists, held = [digest(p) for p in parts], list(range(len(parts)))
                 if plan and plan[0] == name:
-                    held = [i for i in range(len(parts)) if i not in plan[1] and i not in plan[2]]
+                    held = [i for i in held if i not in plan[1] and i not in plan[2]]
                     rows += [(POOL, lists[i], len(parts[i]), None, None, None, box.pack(parts[i])) for i in sorted(plan[2])]
-                    rows.append((MIXED, name, len(data), lists, held, [len(parts[i]) for i in held], box.pack(b"".join(parts[i] for i in held))))
-                else:
-                    rows.append((WHOLE, name, len(data), lists, None, None, frame))
+                    frame = box.pack(b"".join(parts[i] for i in held))
+                rows.append((FILE, name, len(data), lists, held, [len(parts[i]) for i in held], frame))
                 size += len(frame)
                 if size > 4_000_000:
                     yield _batch(rows, _STORED)
@@ -202,20 +205,30 @@ def _store(cut, dictionary: bytes, level: int):
 _READ = "media binary, payload_bytes long, n_chunks int, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def _verified(name: bytes, length: int, n_chunks: int, data: bytes) -> tuple:
-    """The row of a file read back; an error if it isn't what was written."""
-    if digest(data) != name or len(data) != length:
+def _assembled(name: bytes, length: int, chunks: list[bytes], held: list[int], sizes: list[int], data: bytes, pool: dict[int, bytes]) -> tuple:
+    """The row of a file put together from its list, its container's bytes and
+    its pool chunks; an error if anything isn't what was written."""
+    parts, at = dict(pool), 0
+    for i, size in zip(held, sizes):
+        parts[i], at = data[at : at + size], at + size
+    for i, want in enumerate(chunks):
+        if i not in parts or digest(parts[i]) != want:
+            raise ValueError(f"chunk {i} of file {name.hex()} does not read back as it was written")
+    media = b"".join(parts[i] for i in range(len(chunks)))
+    if digest(media) != name or len(media) != length:
         raise ValueError(f"file {name.hex()} does not read back as it was written")
-    payload = samples_of(data)
-    return name, len(payload), n_chunks, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(data), hashlib.sha256(data).hexdigest(), feature(payload)
+    payload = samples_of(media)
+    return name, len(payload), len(chunks), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), feature(payload)
+
 
+def _read_alone(dictionary: bytes):
+    """Files whose containers hold all of their chunks."""
 
-def _read_whole(dictionary: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         box = Frames(dictionary, 3)
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("name", "length", "n_chunks", "frame")]
-            rows = [_verified(name, length, n, wav(box.unpack(frame))) for name, length, n, frame in zip(*cols)]
+            cols = [batch.column(c).to_pylist() for c in ("name", "length", "chunks", "held", "sizes", "frame")]
+            rows = [_assembled(*own, box.unpack(frame), {}) for *own, frame in zip(*cols)]
             if rows:
                 yield _batch(rows, _READ)
 
@@ -223,8 +236,8 @@ def _read_whole(dictionary: bytes):
 
 
 def _read_mixed(dictionary: bytes):
-    """Files from rows sorted by (name, part): the file's row (part -1), then
-    the pool chunks that it needs."""
+    """Files from rows sorted by (name, part): the file's container (part -1),
+    then the pool chunks that it needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         box, rows = Frames(dictionary, 3), []
@@ -232,12 +245,8 @@ def _read_mixed(dictionary: bytes):
             head = file.slice(0, 1).to_pylist()[0]
             if head["part"] != -1:
                 raise ValueError("chunks without their file")
-            parts = {i: box.unpack(f) for i, f in zip(file.column("part").to_pylist()[1:], file.column("frame").to_pylist()[1:])}
-            own, at = box.unpack(head["frame"]), 0
-            for i, size in zip(head["held"], head["sizes"]):
-                parts[i], at = own[at : at + size], at + size
-            data = b"".join(parts[i] for i in range(len(head["chunks"])))
-            rows.append(_verified(head["name"], head["length"], len(head["chunks"]), data))
+            pool = {i: box.unpack(f) for i, f in zip(file.column("part").to_pylist()[1:], file.column("frame").to_pylist()[1:])}
+            rows.append(_assembled(*(head[c] for c in ("name", "length", "chunks", "held", "sizes")), box.unpack(head["frame"]), pool))
             if len(rows) >= 500:
                 yield _batch(rows, _READ)
                 rows = []
@@ -247,19 +256,37 @@ def _read_mixed(dictionary: bytes):
     return run
 
 
-def store_and_read(docs: DataFrame, *, bits: int = 10, least: int = 256, most: int = 8192, level: int = 9, sample: int = 1500) -> DataFrame:
-    """Every row of docs (doc_id, text) as a stored media file, read back:
-    (doc_id, media, n_bytes) and the columns of _READ."""
+@dataclass
+class Store:
+    """manifest (doc_id, n_bytes, media, chunks): the rows' files and lists;
+    rows (_STORED): containers and pool; shared (media, part, chunk): where lists
+    refer to the pool; hot: files and chunks that hold many rows."""
+
+    manifest: DataFrame
+    rows: DataFrame
+    shared: DataFrame
+    dictionary: bytes
+    hot_files: list
+    hot_chunks: list
+
+
+@shipped
+def store(docs: DataFrame, *, bits: int = 10, least: int = 256, most: int = 8192, level: int = 9, sample: int = 1500) -> Store:
+    """Every row of docs (doc_id, text) as a media file in a store of chunks."""
     cut = lambda data: cuts(data, bits, least, most)
     docs = docs.select("doc_id", "text")
     dictionary = train(docs, most_rows=sample)
     manifest = written(docs.mapInArrow(_manifest(cut), "doc_id long, n_bytes long, media binary, chunks array<binary>"), "media-manifest")
 
     # Owners of chunks: the first place of each digest among distinct files.
-    files = manifest.groupBy("media").agg(F.first("chunks").alias("chunks"))
+    files = manifest.groupBy("media").agg(F.first("chunks").alias("chunks"), F.count("*").alias("n"))
     places = files.select("media", F.posexplode("chunks").alias("part", "chunk"))
-    owners = places.groupBy("chunk").agg(F.min(F.struct("media", "part")).alias("first"), F.count("*").alias("n")).where("n > 1").select("chunk", "first")
-    shared = written(places.join(owners, "chunk").select("media", "part", "chunk", (F.struct("media", "part") == F.col("first")).alias("own")), "media-shared")
+    first = F.min(F.struct("media", "part")).alias("first")
+    owners = written(places.groupBy("chunk").agg(first, F.count("*").alias("n")).where("n > 1"), "media-owners")
+    total = owners.agg(F.sum("n")).first()[0] or 0
+    hot_chunks = hot_keys(owners, "chunk", "n", total)
+    shared = join_unique(places, owners.select("chunk", "first"), "chunk", hot_chunks)
+    shared = written(shared.select("media", "part", "chunk", (F.struct("media", "part") == F.col("first")).alias("own")), "media-shared")
     plans = shared.groupBy("media").agg(F.collect_list(F.when(~F.col("own"), F.col("part"))).alias("refs"), F.collect_list(F.when(F.col("own"), F.col("part"))).alias("pooled"))
 
     none = F.lit(None)
@@ -268,14 +295,32 @@ def store_and_read(docs: DataFrame, *, bits: int = 10, least: int = 256, most: i
         frames.select("media", F.lit(1), "frame", none.cast("array<int>"), none.cast("array<int>"))
     )
     stored = sent.repartition("media").sortWithinPartitions("media", "kind").mapInArrow(_store(cut, dictionary, level), _STORED)
-    store = written(stored, "media-store", "none", ("kind",))
+    rows = written(stored, "media-store", "none", ("kind",))
+    hot_files = hot_keys(manifest.groupBy("media").agg(F.count("*").alias("n")), "media", "n", manifest.count())
+    return Store(manifest, rows, shared.select("media", "part", "chunk"), dictionary, hot_files, hot_chunks)
 
-    whole = store.where(F.col("kind") == WHOLE).select("name", "length", F.size("chunks").alias("n_chunks"), "frame").mapInArrow(_read_whole(dictionary), _READ)
-    pool = store.where(F.col("kind") == POOL).select(F.col("name").alias("chunk"), "frame")
-    mixed = store.where(F.col("kind") == MIXED).select("name", F.lit(-1).alias("part"), "length", "chunks", "held", "sizes", "frame")
-    needed = shared.join(pool, "chunk").select(
+
+@shipped
+def _files(rows: DataFrame, shared: DataFrame, dictionary: bytes, hot_chunks: list) -> DataFrame:
+    files = rows.where(F.col("kind") == FILE)
+    alone = files.where(F.size("held") == F.size("chunks")).select("name", "length", "chunks", "held", "sizes", "frame").mapInArrow(_read_alone(dictionary), _READ)
+    mixed = files.where(F.size("held") < F.size("chunks")).select("name", F.lit(-1).alias("part"), "length", "chunks", "held", "sizes", "frame")
+    pool = rows.where(F.col("kind") == POOL).select(F.col("name").alias("chunk"), "frame")
+    none = F.lit(None)
+    needed = join_unique(shared, pool, "chunk", hot_chunks).select(
         F.col("media").alias("name"), "part", none.cast("long"), none.cast("array<binary>"), none.cast("array<int>"), none.cast("array<int>"), "frame"
     )
     joined = mixed.union(needed).repartition("name").sortWithinPartitions("name", "part").mapInArrow(_read_mixed(dictionary), _READ)
-    read = written(whole.union(joined), "media-read")
-    return manifest.select("doc_id", "n_bytes", "media").join(read, "media")
+    return alone.union(joined)
+
+
+def read(stored: Store) -> DataFrame:
+    """Every row's file read back from the store: (doc_id, media, n_bytes) and
+    the columns of _READ. A file that isn't what was written is an error."""
+    files = written(_files(stored.rows, stored.shared, stored.dictionary, stored.hot_chunks), "media-read")
+    return join_unique(stored.manifest.select("doc_id", "n_bytes", "media"), files, "media", stored.hot_files)
+
+
+def store_and_read(docs: DataFrame, **options) -> DataFrame:
+    """store() and read() of every row of docs (doc_id, text)."""
+    return read(store(docs, **options))

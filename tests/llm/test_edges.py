@@ -225,6 +225,44 @@ def test_media(docs, nothing):
     assert store_and_read(nothing).count() == 0
 
 
+def test_media_come_from_their_stored_chunks(spark):
+    """Files share chunks by the pool, a chunk may stand twice in one file, and
+    whatever stored byte is altered, reading is an error."""
+    from pyspark.errors import PythonException
+
+    from tallyspan.llm import media
+
+    rng = np.random.default_rng(8)
+    block = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    common = block(9000)
+    texts = [block(3000) + common + block(int(n)) for n in rng.integers(0, 3000, 12)] + [block(5000) for _ in range(6)] + [common + common, "", None] + ["the same"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    held = media.store(docs)
+    kinds = Counter((r.kind, r.kind == media.FILE and len(r.held) == len(r.chunks)) for r in held.rows.collect())
+    assert kinds[media.FILE, True] >= 8 and kinds[media.FILE, False] >= 12 and kinds[media.POOL, False] >= 3 and held.hot_files and held.hot_chunks
+    stored_bytes = sum(len(r.frame) for r in held.rows.collect())
+    assert stored_bytes < 0.75 * sum(len(t or "") for t in texts)
+    got = Counter((r.doc_id, r.payload_sha256) for r in media.read(held).collect())
+    assert got == Counter((i, hashlib.sha256(media.payload_of(raw(t))).hexdigest()) for i, t in enumerate(texts))
+
+    dictionary = held.dictionary
+
+    @F.udf("binary")
+    def altered(frame):
+        box = media.Frames(dictionary, 3)
+        data = box.unpack(bytes(frame))
+        return box.pack(data[:-1] + bytes([data[-1] ^ 1]) if data else data)
+
+    for kind in (media.FILE, media.POOL):
+        some = held.rows.where(F.col("kind") == kind).orderBy("name").first().name
+        bad = held.rows.withColumn("frame", F.when(F.col("name") == F.lit(some), altered("frame")).otherwise(F.col("frame")))
+        with pytest.raises(PythonException, match="does not read back"):
+            media._files(bad, held.shared, held.dictionary, held.hot_chunks).collect()
+    gone = held.rows.where(F.col("kind") == media.FILE)
+    with pytest.raises(PythonException, match="does not read back"):
+        media._files(gone, held.shared, held.dictionary, held.hot_chunks).collect()
+
+
 def test_chunks_follow_content():
     from tallyspan.llm.media import cuts
 
