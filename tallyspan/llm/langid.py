@@ -14,9 +14,17 @@ a multiple of ``fold``; of each language the ``per_lang`` smallest hashes of
 doc_id, the first ``landmarks`` of these as landmarks. The prediction sees the
 text alone.
 
-Edge cases. Null doc_id: held out. Null text, or one without any letter: ``und`` with score 0. No
-training rows: all ``und``. One language only: that one. Repeated rows: each is
-scored. Long texts: whole. Other columns are ignored.
+Bounds of what is learned from, whatever the size of the data: the ``most_langs``
+most frequent languages (rarer ones are never predicted), ``most_rows`` training
+rows and ``most_landmarks`` landmarks in all, dealt evenly to the languages where
+``per_lang`` and ``landmarks`` come to more. With the defaults the driver holds
+128 MB of kernel values and 64 MB of landmarks.
+
+Edge cases. Null doc_id: held out. Null text, or one without any letter: ``und``
+with score 0. No training rows: all ``und``. One language only: that one. Repeated
+rows: each is scored, and each may train. Ties: of languages with equal scores the
+first by name, of training rows with equal hashes the smaller id, of languages
+equally frequent the first by name. Long texts: whole. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes, give_back
+from tallyspan.llm.common import as_bytes, give_back, shipped
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -93,13 +101,30 @@ def _inverse_root(k: np.ndarray) -> np.ndarray:
     return vectors[:, keep] / np.sqrt(values[keep])
 
 
-def fit(docs: DataFrame, *, fold: int = 5, per_lang: int = 400, landmarks: int = 40, buckets: int = 1 << 14, ridge: float = 0.1, most_langs: int = 200) -> Model:
+@shipped
+def fit(
+    docs: DataFrame,
+    *,
+    fold: int = 5,
+    per_lang: int = 400,
+    landmarks: int = 40,
+    buckets: int = 1 << 14,
+    ridge: float = 0.1,
+    most_langs: int = 500,
+    most_rows: int = 16_000,
+    most_landmarks: int = 1024,
+) -> Model:
     """The model from docs (doc_id, text, lang)."""
     learn = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % fold != 0))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = learn.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang)
-    ids = ids.orderBy("rank", "lang").limit(per_lang * most_langs).select("doc_id", "rank")
-    rows = learn.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id")
+    often = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
+    if not often:
+        return Model([], np.zeros((buckets, 1), np.float32), np.ones(1, np.float32), np.zeros((1, 0), np.float32))
+    per, n_marks = min(per_lang, max(1, most_rows // len(often))), min(landmarks, max(1, most_landmarks // len(often)))
+    # Rows above a hash below which the smallest surely lie are not ranked.
+    below = [(r["lang"], int(min(-(1 << 63) + (per + 8 * per**0.5 + 64) / r["count"] * (1 << 64), (1 << 63) - 1))) for r in often]
+    limits = docs.sparkSession.createDataFrame(below, "lang string, below long")
+    hashed = F.xxhash64("doc_id")
+    some = learn.select("doc_id", "lang", "text").join(F.broadcast(limits), "lang").where(hashed <= F.col("below"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,23 +133,31 @@ def fit(docs: DataFrame, *, fold: int = 5, per_lang: int = 400, landmarks: int =
                 here = np.zeros(buckets, dtype=np.uint8)
                 presence(text, here)
                 out.append(np.packbits(here).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("rank"), pa.array(out, pa.binary())], names=["lang", "rank", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id").cast(pa.int64()), pa.array(out, pa.binary())], names=["lang", "doc_id", "x"])
 
-    got = rows.select("lang", "rank", "text").mapInArrow(features, "lang string, rank int, x binary").orderBy("rank", "lang", "x").collect()
-    langs = sorted({r["lang"] for r in got})
-    if not langs:
-        return Model([], np.zeros((buckets, 1), np.float32), np.ones(1, np.float32), np.zeros((1, 0), np.float32))
-    x = np.unpackbits(np.frombuffer(b"".join(bytes(r["x"]) for r in got), dtype=np.uint8)).reshape(len(got), buckets).astype(np.float32)
-    marks = x[np.array([i for i, r in enumerate(got) if r["rank"] <= landmarks])]
+    rows = some.select("lang", "doc_id", "text").mapInArrow(features, "lang string, doc_id long, x binary")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(hashed, "doc_id", "x"))
+    got = sorted(rows.withColumn("rank", rank).where(F.col("rank") <= per).select("rank", "lang", "x").collect())
+    return solve([r["lang"] for r in got], [bytes(r["x"]) for r in got], np.array([r["rank"] <= n_marks for r in got]), buckets, ridge)
+
+
+def solve(lang: list[str], packed: list[bytes], is_mark: np.ndarray, buckets: int, ridge: float, block: int = 512) -> Model:
+    """The model of training texts given as packed presence bits; the kernel with
+    the landmarks is made a block of texts at a time."""
+    langs = sorted(set(lang))
+    bits = lambda rows: np.unpackbits(np.frombuffer(b"".join(rows), dtype=np.uint8)).reshape(len(rows), buckets).astype(np.float32)
+    marks = bits([x for x, m in zip(packed, is_mark) if m])
     roots = np.sqrt(np.maximum(marks.sum(1), 1))
     kernel = lambda a: (a @ marks.T) / np.sqrt(np.maximum(a.sum(1), 1))[:, None] / roots[None, :]
-    root = _inverse_root(kernel(marks).astype(np.float64))
-    phi = kernel(x).astype(np.float64) @ root
-    y = np.array([[1.0 if r["lang"] == c else -1.0 for c in langs] for r in got])
+    k = np.concatenate([kernel(bits(packed[i : i + block])) for i in range(0, len(packed), block)])
+    root = _inverse_root(k[is_mark].astype(np.float64))
+    phi = k.astype(np.float64) @ root
+    y = np.where(np.array(lang)[:, None] == np.array(langs)[None, :], 1.0, -1.0)
     beta = np.linalg.solve(phi.T @ phi + ridge * np.eye(phi.shape[1]), phi.T @ y)
     return Model(langs, np.ascontiguousarray(marks.T), roots.astype(np.float32), (root @ beta).astype(np.float32))
 
 
+@shipped
 def predict(docs: DataFrame, model: Model, *, fold: int = 5, block: int = 64) -> DataFrame:
     """lang_pred and score for every row of docs (doc_id, text); held_out says
     whether the row was kept from training."""
@@ -140,6 +173,7 @@ def predict(docs: DataFrame, model: Model, *, fold: int = 5, block: int = 64) ->
     return docs.select("doc_id", held, "text").mapInArrow(run, PREDICTED)
 
 
+@shipped
 def rows_in(docs: DataFrame, model: Model, langs: tuple[str, ...], least_score: float, *, block: int = 64) -> DataFrame:
     """The rows of docs, with all of their columns, whose text predict() puts
     into one of langs with at least least_score."""

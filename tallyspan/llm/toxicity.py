@@ -4,20 +4,26 @@ P(grade > k) = sigmoid(w . x - theta_k): one weight vector for all thresholds
 theta_1 <= theta_2 <= ...; x holds the presence of single words and steps of
 their share of the text. The expected severity is the sum of P(grade > k).
 
-Labels say toxic or not. Grades come from them in two steps: words that stand
-out in toxic texts (log odds and their z value, counted over the sample) are
-the vocabulary, and a toxic text is of grade 2 where the vocabulary's share of
-its words is above the median of toxic texts, of grade 1 else. Clean texts have
+The vocabulary are words that stand out in toxic texts (log odds and their z
+value, counted over the sample), at most ``most_terms`` of them, of highest z.
+
+Where labels have a column of grades, these are fitted. Labels that only say toxic
+or not get their grades out of fold: the sample is dealt to two folds, each has a
+vocabulary of its own, and a toxic text is of grade 2 where the share of its words
+that the *other* fold's vocabulary holds is above the median of toxic texts, of
+grade 1 else. So no text has a hand in the words that grade it, and the features
+that are fitted to its grade come from another vocabulary. Clean texts are of
 grade 0.
 
-The labelled sample is bounded by ``most_labels`` (smallest hashes of doc_id),
-so what the driver holds does not grow with the data; every text is scored,
-whole, in one pass without a shuffle.
+Bounds of what is learned from, whatever the size of the data: ``most_labels``
+labelled documents (smallest hashes of doc_id) and ``most_terms`` words. Every
+text is scored, whole, in one pass without a shuffle.
 
 Edge cases. Null or empty text: no features, scored by the thresholds alone.
-Repeated ids: each row is scored; with several labels the row that is more
-toxic counts. No labels: nothing is toxic, severity 0. Long texts are read
-whole. Other columns are ignored.
+Repeated ids: each row is scored; with several labels the row that is more toxic
+counts. No labels, or of one kind only: nothing is toxic, severity 0. Ties: words
+of equal z by their bytes, shares equal to the median are of grade 1, labels of
+equal hash by id. Long texts are read whole. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes, give_back
+from tallyspan.llm.common import as_bytes, give_back, shipped, smallest_hashes, written
 
 SCORES = "doc_id long, severity int, expected_severity double, p_toxic double, toxic boolean, n_words long"
 #: Words are runs of letters, digits and non-ASCII bytes, A-Z lowered.
@@ -96,72 +102,101 @@ def fit_cumulative_link(rows: list[list[int]], grades: np.ndarray, n_features: i
     return params[:n_features], params[n_features] + np.concatenate([[0.0], np.cumsum(gaps)])
 
 
+#: Folds by which binary labels are graded.
+FOLDS = 2
+
+
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    counts: dict[tuple[int, int], Counter] = {(f, t): Counter() for f in range(FOLDS) for t in (0, 1)}
     for batch in batches:
-        for text, toxic in zip(as_bytes(batch.column("text")), batch.column("toxic").to_pylist()):
-            counts[toxic].update(set(words(text)))
-    terms = list(counts[0].keys() | counts[1].keys())
+        for text, fold, toxic in zip(as_bytes(batch.column("text")), batch.column("fold").to_pylist(), batch.column("toxic").to_pylist()):
+            counts[fold, toxic].update(set(words(text)))
+    terms = list(set().union(*counts.values()))
     for i in range(0, len(terms), 50_000):
         own = terms[i : i + 50_000]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(own, pa.binary()), *(pa.array([counts[k][t] for t in own], pa.int64()) for k in (0, 1))], names=["term", "clean", "toxic"]
+            [pa.array(own, pa.binary()), *(pa.array([c[t] for t in own], pa.int64()) for c in counts.values())], names=["term", *(f"n{f}{t}" for f, t in counts)]
         )
 
 
-def sample(docs: DataFrame, labels: DataFrame, most_labels: int) -> DataFrame:
-    """(text, toxic) of at most most_labels labelled documents."""
-    own = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    few = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labels)
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+def sample(docs: DataFrame, labels: DataFrame, most_labels: int, grade: str | None = None) -> DataFrame:
+    """(text, toxic, fold, grade) of at most most_labels labelled documents."""
+    known = labels.where("doc_id is not null and toxic is not null")
+    level = F.max(F.col(grade) if grade else F.lit(None)).cast("int").alias("grade")
+    own = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"), level)
+    few = smallest_hashes(own, "doc_id", most_labels, known.count())
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    return written(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic", fold, "grade"), "toxicity-sample")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, most_labels: int = 20_000, most_terms: int = 2048, least_z: float = 3.0, least_odds: float = 3.0, least_share: float = 0.01) -> Model:
-    """The model from labels (doc_id, toxic) and docs (doc_id, text). A term
-    must occur in least_share of the toxic texts, which keeps out the chance
-    words of single texts and their copies; it is low, as each language has
-    terms of its own and some languages are rare."""
-    rows = sample(docs, labels, most_labels)
-    clean, toxic = rows.agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
-    none = Model({}, np.zeros(len(SHARES)), np.array([50.0, 60.0]))
-    if not clean or not toxic:
-        return none
-    counts = rows.select("text", "toxic").mapInArrow(_term_counts, "term binary, clean long, toxic long")
-    c, t = F.col("clean") + 0.5, F.col("toxic") + 0.5
+def _standing_out(counts: DataFrame, folds: range, clean: int, toxic: int, most_terms: int, least_z: float, least_odds: float, least_share: float) -> list[bytes]:
+    """Words of toxic texts of some folds, by falling z value."""
+    c, t = (sum(F.col(f"n{f}{k}") for f in folds) + 0.5 for k in (0, 1))
     odds = F.log(t / (F.lit(toxic + 1.0) - t)) - F.log(c / (F.lit(clean + 1.0) - c))
     spread = F.sqrt(1 / t + 1 / c + 1 / (F.lit(toxic + 1.0) - t) + 1 / (F.lit(clean + 1.0) - c))
-    terms = (
-        counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= max(3.0, least_share * toxic))
-        .withColumn("odds", odds).withColumn("z", odds / spread).where((F.col("z") >= least_z) & (F.col("odds") >= least_odds))
-        .orderBy(F.desc("z"), "term").limit(most_terms).collect()
-    )
-    model = Model({bytes(r["term"]): i for i, r in enumerate(terms)}, np.zeros(len(terms) + len(SHARES)), np.array([50.0, 60.0]))
-    if not terms:
+    known = counts.where(t >= max(3.0, least_share * toxic) + 0.5).select("term", odds.alias("odds"), (odds / spread).alias("z"))
+    return [bytes(r["term"]) for r in known.where((F.col("z") >= least_z) & (F.col("odds") >= least_odds)).orderBy(F.desc("z"), "term").limit(most_terms).collect()]
+
+
+@shipped
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    grade: str | None = None,
+    most_labels: int = 20_000,
+    most_terms: int = 2048,
+    least_z: float = 3.0,
+    least_odds: float = 3.0,
+    least_share: float = 0.01,
+) -> Model:
+    """The model from labels (doc_id, toxic, and the column ``grade`` names) and
+    docs (doc_id, text). A term must occur in least_share of the toxic texts,
+    which keeps out the chance words of single texts and their copies; it is low,
+    as each language has terms of its own and some languages are rare."""
+    rows = sample(docs, labels, most_labels, grade)
+    n = {(r["fold"], r["toxic"]): r["count"] for r in rows.groupBy("fold", "toxic").count().collect()}
+    totals = lambda folds: [sum(n.get((f, t), 0) for f in folds) for t in (0, 1)]
+    none = Model({}, np.zeros(len(SHARES)), np.array([50.0, 60.0]))
+    if not all(totals(range(FOLDS))):
         return none
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model.vocabulary)
+    names = [f"n{f}{t}" for f in range(FOLDS) for t in (0, 1)]
+    counts = rows.select("text", "fold", "toxic").mapInArrow(_term_counts, "term binary, " + ", ".join(f"{x} long" for x in names))
+    counts = written(counts.groupBy("term").agg(*[F.sum(x).alias(x) for x in names]), "toxicity-terms")
+
+    def vocabulary(folds) -> dict[bytes, int]:
+        clean, toxic = totals(folds)
+        return {w: i for i, w in enumerate(_standing_out(counts, folds, clean, toxic, most_terms, least_z, least_odds, least_share))} if clean and toxic else {}
+
+    whole = vocabulary(range(FOLDS))
+    if not whole:
+        return none
+    others = [vocabulary([g for g in range(FOLDS) if g != f]) for f in range(FOLDS)] if grade is None else [{}] * FOLDS
 
     def features(batches):
-        own = Model(sent.value, np.zeros(0), np.zeros(0))
+        own = Model(whole, np.zeros(0), np.zeros(0))
         for batch in batches:
             out, share = [], []
-            for text in as_bytes(batch.column("text")):
+            for text, fold in zip(as_bytes(batch.column("text")), batch.column("fold").to_pylist()):
                 found = words(text)
                 out.append(own.features(found))
-                share.append(sum(w in own.vocabulary for w in found) / max(1, len(found)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), batch.column("toxic").cast(pa.int32()), pa.array(share, pa.float64())], names=["x", "toxic", "share"])
+                share.append(sum(w in others[fold] for w in found) / max(1, len(found)))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), batch.column("toxic"), batch.column("grade"), pa.array(share, pa.float64())], names=["x", "toxic", "grade", "share"])
 
-    got = rows.select("text", "toxic").mapInArrow(features, "x array<int>, toxic int, share double").orderBy("toxic", "share", "x").collect()
-    share = np.array([r["share"] for r in got])
+    got = rows.select("text", "toxic", "fold", "grade").mapInArrow(features, "x array<int>, toxic int, grade int, share double").collect()
+    got.sort(key=lambda r: (r["toxic"], r["share"], r["grade"] or 0, r["x"]))
     label = np.array([r["toxic"] for r in got])
-    seen = share[(label == 1) & (share > 0)]
-    grades = label + ((label == 1) & (share > (np.median(seen) if len(seen) else 0)))
-    if grades.max() < 2:
-        grades[np.argmax(grades)] += 1
-    model.weights, model.thresholds = fit_cumulative_link([r["x"] for r in got], grades.astype(np.int64), len(model.weights))
-    return model
+    if grade is None:
+        share = np.array([r["share"] for r in got])
+        seen = share[(label == 1) & (share > 0)]
+        grades = label + ((label == 1) & (share > (np.median(seen) if len(seen) else 1.0)))
+    else:
+        grades = np.maximum(np.array([r["grade"] or 0 for r in got]), label)
+    weights, thresholds = fit_cumulative_link([r["x"] for r in got], grades.astype(np.int64), len(whole) + len(SHARES))
+    return Model(whole, weights, thresholds)
 
 
+@shipped
 def score(docs: DataFrame, model: Model, *, toxic_from: float = 0.5) -> DataFrame:
     """severity (the likeliest side of each threshold), its expectation, and
     toxic where P(grade > 0) reaches toxic_from, for every row of docs."""
@@ -184,6 +219,7 @@ def score(docs: DataFrame, model: Model, *, toxic_from: float = 0.5) -> DataFram
     return docs.select("doc_id", "text").mapInArrow(run, SCORES)
 
 
+@shipped
 def clean_rows(docs: DataFrame, model: Model, *, toxic_from: float = 0.5) -> DataFrame:
     """The rows of docs, with all of their columns, that score() finds not toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(model)

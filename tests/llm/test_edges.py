@@ -453,6 +453,118 @@ def test_toxicity(spark, docs, nothing):
     assert clean_rows(train, model).count() == 300
 
 
+def test_kernel_ridge_equals_a_plain_solution():
+    """The fitted scores are those of a ridge regression solved from n-gram sets,
+    texts equal in their n-grams score alike, and one block or many agree."""
+    from tallyspan.llm import langid
+
+    rng = np.random.default_rng(6)
+    kinds = {"aa": "abcd", "bb": "cdef", "cc": "mnop"}
+    lang = [k for k in kinds for _ in range(14)]
+    texts = ["".join(rng.choice(list(kinds[k] + " "), 30)).encode() for k in lang]
+    n, ridge = 1 << 14, 0.1
+    x = np.zeros((len(texts), n), np.uint8)
+    for row, t in zip(x, texts):
+        langid.presence(t, row)
+    mark = np.array([i % 14 < 5 for i in range(len(texts))])
+    packed = [np.packbits(r).tobytes() for r in x]
+    models = [langid.solve(lang, packed, mark, n, ridge, block) for block in (512, 5)]
+
+    places = [set(np.flatnonzero(r).tolist()) for r in x]
+    kernel = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    marks = [p for p, m in zip(places, mark) if m]
+    kmm = np.array([[kernel(a, b) for b in marks] for a in marks])
+    knm = np.array([[kernel(a, b) for b in marks] for a in places])
+    y = np.array([[1.0 if k == c else -1.0 for c in sorted(kinds)] for k in lang])
+    # Ridge on Nystroem features is this system in the landmarks' coefficients.
+    alpha = np.linalg.solve(knm.T @ knm + ridge * kmm, knm.T @ y)
+    for m in models:
+        assert m.langs == sorted(kinds)
+        assert np.allclose(m.scores(x.astype(np.float32)), knm @ alpha, atol=2e-3)
+        assert m.predict(texts, 7)[0] == [m.langs[i] for i in (knm @ alpha).argmax(1)]
+
+
+def test_language_learns_from_bounded_rows(spark):
+    from tallyspan.llm.langid import fit
+
+    rows = [(i, f"{'xyz'[i % 3] * 5} word {i}", f"l{i % 3 if i < 900 else 3}") for i in range(910)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(docs, per_lang=20, landmarks=5, most_langs=3)
+    assert model.langs == ["l0", "l1", "l2"] and model.landmarks.shape[1] == 15
+    model = fit(docs, most_rows=40, most_landmarks=8)
+    assert model.langs == ["l0", "l1", "l2", "l3"] and model.landmarks.shape[1] == 8
+    hashes = sorted((r.h, r.doc_id) for r in docs.where("lang = 'l1' and crc32(cast(doc_id as string)) % 5 != 0").select("doc_id", F.xxhash64("doc_id").alias("h")).collect())
+    from tallyspan.llm.langid import presence
+
+    one = fit(docs.where("lang = 'l1'"), per_lang=20, landmarks=5)
+    want = np.zeros((5, 1 << 14), np.uint8)
+    for row, (_, i) in zip(want, hashes):
+        presence(rows[i][1].encode(), row)
+    assert {r.tobytes() for r in want} == {c.astype(np.uint8).tobytes() for c in one.landmarks.T}
+
+
+def test_smallest_hashes(spark):
+    from tallyspan.llm.common import smallest_hashes
+
+    df = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    want = [r.doc_id for r in df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(500).collect()]
+    assert [r.doc_id for r in smallest_hashes(df, "doc_id", 500).collect()] == want
+    assert [r.doc_id for r in smallest_hashes(df, "doc_id", 500, 10**7).collect()] == want
+    assert smallest_hashes(df.limit(3), "doc_id", 500).count() == 3 and smallest_hashes(df.limit(0), "doc_id", 5).count() == 0
+
+
+def ordinal_objective(w, theta, rows, grades, ridge=0.02):
+    at = lambda z: 1 / (1 + np.exp(-z))
+    total = 0.0
+    for x, g in zip(rows, grades):
+        above = [1.0, *(at(sum(w[i] for i in x) - t) for t in theta), 0.0]
+        total += np.log(above[g] - above[g + 1])
+    return total / len(rows) - ridge / 200 * float((np.array(w) ** 2).sum())
+
+
+@pytest.mark.parametrize("top", [1, 2, 3])
+def test_cumulative_link_is_at_its_optimum(top):
+    """The objective, written out, rises in no direction from what is fitted, and
+    thresholds are in order."""
+    from tallyspan.llm.toxicity import fit_cumulative_link
+
+    rng = np.random.default_rng(top)
+    rows = [sorted(rng.choice(5, rng.integers(0, 4), replace=False).tolist()) for _ in range(300)]
+    eta = np.array([sum([1.5, 0.5, -1.0, 0.0, 2.0][i] for i in x) for x in rows]) + rng.logistic(size=300)
+    grades = np.digitize(eta, np.linspace(0.5, 2.5, top)).astype(np.int64)
+    w, theta = fit_cumulative_link(rows, grades, 5)
+    assert len(theta) == top and (np.diff(theta) > 0).all() and w[4] > w[1] > w[2]
+    best = ordinal_objective(w, theta, rows, grades)
+    for i in range(5 + top):
+        for step in (-0.05, 0.05):
+            p = np.concatenate([w, theta])
+            p[i] += step
+            assert ordinal_objective(p[:5], p[5:], rows, grades) < best + 1e-5
+
+
+def test_toxicity_scores_by_the_formula(spark):
+    from tallyspan.llm.toxicity import SHARES, Model, fit, score
+
+    model = Model({b"bad": 0, b"vile": 1}, np.array([1.0, 2.0, 0.5, 0.25, 0.0, 0.0, 1.5]), np.array([1.0, 2.5]))
+    texts = ["a bad day", "BAD, vile; bad!", "", None, "vile " + "x " * 2999, "fine"]
+    got = {r.doc_id: r for r in score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, t in enumerate(texts):
+        w = re.findall(r"[a-z0-9]+", (t or "").lower())
+        hits = [x for x in w if x in ("bad", "vile")]
+        share = len(hits) / max(1, len(w))
+        eta = sum({"bad": 1.0, "vile": 2.0}[x] for x in set(hits)) + sum(v for s, v in zip(SHARES, model.weights[2:]) if hits and share >= s)
+        p = [1 / (1 + np.exp(t - eta)) for t in (1.0, 2.5)]
+        assert abs(got[i].expected_severity - sum(p)) < 1e-12 and abs(got[i].p_toxic - p[0]) < 1e-12
+        assert (got[i].severity, got[i].toxic, got[i].n_words) == (sum(x >= 0.5 for x in p), p[0] >= 0.5, len(w))
+
+    # Grades of labels are fitted as they are.
+    rows = [(i, "w x y " + "mean " * (i % 4 > 0) + "cruel " * (i % 4 > 1) + "foul " * (i % 4 > 2), int(i % 4 > 0), i % 4) for i in range(400)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, toxic int, level int")
+    model = fit(train.select("doc_id", "text"), train.select("doc_id", "toxic", "level"), grade="level")
+    assert len(model.thresholds) == 3
+    assert all(r.severity == r.doc_id % 4 for r in score(train.select("doc_id", "text"), model).collect())
+
+
 # --- near duplicates
 
 
