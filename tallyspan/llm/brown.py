@@ -11,8 +11,8 @@ the end token is a token, and its class stands before the first word.
    ``classes`` classes, and each in turn moves to the class that raises the
    likelihood of the class bigrams most, which gives the start. Then the next
    ``middle`` words join, and then ``sweeps`` sweeps move every word of the head,
-   by its own counts of classes after and before it. The last sweeps stop where
-   the likelihood no longer rises.
+   by its own counts of classes after and before it. Sweeps stop where one has
+   raised the likelihood by less than ``least_gain`` of what it was.
 4. All rarer and unknown words have classes of their form (length, punctuation,
    non-ASCII), so that a class is known wherever a word is seen.
 5. Transitions are smoothed by a constant. Emissions use absolute discounting:
@@ -21,7 +21,12 @@ the end token is a token, and its class stands before the first word.
 
 Scoring: counts of the ``head`` most frequent words (a bound on what is
 broadcast) are looked up where the text is; rarer words of each text are joined
-with their counts in Spark, so any vocabulary fits.
+with their counts in Spark, so any vocabulary fits. ``score`` is the log10
+probability of the text, ``perplexity`` the inverse of its geometric mean for a
+token.
+
+Ties: of words with equal counts the first by its bytes is the more frequent; of
+classes with equal gain the word stays, or goes to the first.
 
 Edge cases. Null or empty text: the end token alone. Null doc_id: held out.
 Repeated rows: each is scored, and each counts in training. No training rows:
@@ -36,11 +41,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes, give_back, written
+from tallyspan.llm.common import give_back, shipped, written
 
 #: No token is empty, so this can stand for the end token.
 END = b""
@@ -49,10 +55,19 @@ FORMS = 16
 GROUPS, UNITS = 4096, 16
 
 
-def tokens(text: bytes) -> list[bytes]:
-    found = text.lower().split()  # of bytes: A-Z, and white space of ASCII
-    found.append(END)
-    return found
+def tokenized(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(words, ids, n) of a batch of texts: its different tokens, END the last of
+    them; the tokens of all texts in order, as places in words; how many tokens
+    each text has, its END included."""
+    low = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("")))
+    lists = pc.ascii_split_whitespace(low)  # white space of ASCII; an empty text gives one empty word
+    n = np.where(pc.equal(low, "").to_numpy(zero_copy_only=False), 0, pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = lists.flatten().dictionary_encode()
+    ids, words = flat.indices.to_numpy().astype(np.int64), [w.encode() for w in flat.dictionary.to_pylist()]
+    if END in words:
+        ids = ids[ids != words.index(END)]
+    words.append(END)
+    return words, np.insert(ids, np.cumsum(n), len(words) - 1), n + 1
 
 
 def form(word: bytes) -> int:
@@ -153,8 +168,10 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["word", "c"])
 
     for batch in batches:
-        for text in as_bytes(batch.column("text")):
-            counts.update(tokens(text))
+        words, ids, _ = tokenized(batch.column("text"))
+        for word, n in zip(words, np.bincount(ids, minlength=len(words)).tolist()):
+            if n:
+                counts[word] += n
         if len(counts) > 300_000:
             yield from out()
     yield from out()
@@ -194,24 +211,21 @@ def _pairs(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_: Model = sent.value
-        held, size, found = [], 0, [END]
-
-        def keep() -> int:
-            x = model_.numbers(found)
-            p = np.where(x >= 0, x, heads - 1 - x)
-            held.append(p[:-1] * nodes + p[1:])
-            return len(held[-1])
-
+        held, size = [], 0
         for batch in batches:
-            for text in as_bytes(batch.column("text")):
-                found += tokens(text)
-                if len(found) > 100_000:
-                    size, found = size + keep(), [END]
-                    if size > 1_000_000:
-                        yield from out(held)
-                        held, size = [], 0
-        keep()
-        yield from out(held)
+            words, ids, _ = tokenized(batch.column("text"))
+            x = model_.numbers(words)
+            node = np.where(x >= 0, x, heads - 1 - x)
+            for i in range(0, len(ids), 500_000):  # a batch of long texts is counted in parts
+                p = node[ids[i : i + 500_000]]
+                before = np.concatenate([[node[-1] if not i else node[ids[i - 1]]], p[:-1]])
+                held.append(before * nodes + p)
+                size += len(p)
+                if size > 1_000_000:
+                    yield from out(held)
+                    held, size = [], 0
+        if held:
+            yield from out(held)
         held.clear()
         give_back()
 
@@ -372,7 +386,8 @@ def sweep(contexts: DataFrame, of: np.ndarray, movable: np.ndarray, m: np.ndarra
     return out
 
 
-def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int = 4096, head: int = 1 << 18, sweeps: int = 3) -> tuple[Model, DataFrame]:
+@shipped
+def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int = 4096, head: int = 1 << 18, sweeps: int = 3, least_gain: float = 1e-3) -> tuple[Model, DataFrame]:
     """The model, and the table (word, c) of all training words, from learn
     (text)."""
     counts = written(learn.select("text").mapInArrow(_word_counts, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
@@ -384,8 +399,9 @@ def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int =
         if held + r["count"] > head:
             break
         held, least = held + r["count"], r["b"]
-    rows = counts.where(F.floor(F.log2("c") * 32) >= least).toArrow() if least is not None else None
-    found = sorted(zip(rows.column("c").to_pylist(), rows.column("word").to_pylist()), key=lambda x: (-x[0], x[1])) if rows is not None else []
+    often = F.floor(F.log2("c") * 32) >= (float("inf") if least is None else least)
+    rows = counts.where(often | (F.octet_length("word") == 0)).toArrow()  # END has a class of its own, however rare
+    found = sorted(zip(rows.column("c").to_pylist(), rows.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
     words = [w for _, w in found]
     model = Model({w: i for i, w in enumerate(words)}, np.array([c for c, _ in found], dtype=np.float64), np.zeros(0, np.int64), total=total or 0, distinct=distinct)
 
@@ -405,16 +421,21 @@ def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int =
     if END in model.head:
         of[model.head[END]] = k
     if n_core:
-        of[core_at] = exchange(_pair_sums(pairs, (n_core, n_core), nodes, of_core), k)
+        # Rows of other groups hold no pair of the core.
+        own = pairs.where(F.col("grp").isin(np.unique(core_at % GROUPS).tolist())) if n_core < GROUPS // 2 else pairs
+        of[core_at] = exchange(_pair_sums(own, (n_core, n_core), nodes, of_core), k)
 
     # The core and the middle first; then all words, as long as it helps.
     best, m = of, None
     for i in range(sweeps + 2 if n_core else 1):
         contexts = _contexts(pairs, of, size)
         new = _steps_of(contexts, of, size)
-        if i > 2 and likelihood(new) <= likelihood(m):
+        rise = likelihood(new) - likelihood(m) if m is not None else 0.0
+        if i > 1 and rise <= 0:
+            break
+        gained, best, m = rise, of, new
+        if i > 1 and gained < least_gain * abs(likelihood(m)):
             break
-        best, m = of, new
         if i > sweeps or not n_core:
             break
         movable = np.zeros(nodes, dtype=bool)
@@ -440,6 +461,7 @@ def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int =
 _LOCAL = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<int>, forms array<int>"
 
 
+@shipped
 def score(docs: DataFrame, model: Model, counts: DataFrame, *, fold: int = 10, base: float = 0.1, smooth: float = 0.1, discount: float = 0.6) -> DataFrame:
     """Scores of every row of docs (doc_id, text)."""
     size = model.all_classes
@@ -455,24 +477,30 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, *, fold: int = 10, b
         own, step_, emit_, log_ = sent.value
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            rows = []
-            for text in as_bytes(batch.column("text")):
-                found = tokens(text)
-                x = own.numbers(found)
-                c = own.class_of(x)
-                known = x[x >= 0]
-                moves = step_[np.concatenate([[own.n_classes], c[:-1]]), c].sum()
-                rare = Counter(found[i] for i in np.flatnonzero(x < 0).tolist())
-                uid += 1
-                rows.append((uid, len(x), len(known), float(log_[known].sum()), float(moves + emit_[known].sum()), list(rare), list(rare.values()), [form(w) for w in rare]))
-            u, n, k, b, s, w, t, f = zip(*rows) if rows else [[]] * 8
+            rows = batch.num_rows
+            if not rows:
+                continue
+            words, ids, n = tokenized(batch.column("text"))
+            begin, number = np.cumsum(n) - n, own.numbers(words)
+            x = number[ids]
+            c, known = own.class_of(x), x >= 0
+            before = np.concatenate([[0], c[:-1]])
+            before[begin] = own.n_classes
+            value, base_ = step_[before, c], np.zeros(len(x))
+            value[known] += emit_[x[known]]
+            base_[known] = log_[x[known]]
+            # The rare words of each text, each once, with their numbers of times.
+            at = np.flatnonzero(~known)
+            key, times = np.unique(np.repeat(np.arange(rows), n)[at] * len(words) + ids[at], return_counts=True)
+            ends = pa.array(np.searchsorted(key // len(words), np.arange(rows + 1)), pa.int32())
+            word = key % len(words)
+            lists = [pa.ListArray.from_arrays(ends, v) for v in (pa.array(words, pa.binary()).take(pa.array(word)), pa.array(times, pa.int32()), pa.array(-1 - number[word], pa.int32()))]
+            sums = [np.add.reduceat(v, begin) for v in (known.astype(np.int64), base_, value)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(u, pa.int64()), batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(n, pa.int64()), pa.array(k, pa.int64()),
-                    pa.array(b, pa.float64()), pa.array(s, pa.float64()), pa.array(w, pa.list_(pa.binary())), pa.array(t, pa.list_(pa.int32())), pa.array(f, pa.list_(pa.int32())),
-                ],
-                names=[x.split()[0] for x in _LOCAL.split(", ")],
-            )
+                [pa.array(uid + np.arange(rows)), batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(n), *map(pa.array, sums), *lists],
+                names=[f.split()[0] for f in _LOCAL.split(", ")],
+            )
+            uid += rows
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % fold == 0, F.lit(True)).alias("held_out")
     local = written(docs.select("doc_id", held, "text").mapInArrow(run, _LOCAL), "lm-local")
@@ -489,12 +517,15 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, *, fold: int = 10, b
     )
     out = local.drop("words", "times", "forms").join(sums, "uid", "left")
     zero = F.lit(0.0)
+    total = F.col("score") + F.coalesce("more_score", zero)
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", zero) - F.col("n_tokens") * floor).alias("base_score"), (F.col("score") + F.coalesce("more_score", zero)).alias("score"),
+        (F.col("base") + F.coalesce("more_base", zero) - F.col("n_tokens") * floor).alias("base_score"), total.alias("score"),
+        F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
     )
 
 
+@shipped
 def class_bigram_scores(docs: DataFrame, *, fold: int = 10, **options) -> DataFrame:
     """Scores of all docs by a model of those whose crc32 of doc_id is not a
     multiple of fold."""

@@ -321,6 +321,44 @@ def test_brown_probabilities_add_up(spark):
     assert np.allclose(step.sum(1), 1) and model.classes[model.head[END]] == model.n_classes
 
 
+@pytest.mark.parametrize("options", [{}, {"head": 12, "core": 6, "middle": 3, "classes": 3}])
+def test_brown_scores_equal_a_plain_model(docs, spark, options):
+    """Scores and perplexity from counts made here of classes that were fitted:
+    P(class | class before) * P(word | class), word by word."""
+    from tallyspan.llm.brown import END, fit, form, score
+
+    learn = docs.where("doc_id > 4")
+    model, counts = fit(learn, **options)
+    words = lambda t: raw(t).lower().split() + [END]
+    train = [words(t) for d, t, *_ in TEXTS if d is not None and d > 4]
+    c = Counter(w for t in train for w in t)
+    assert {bytes(r.word): r.c for r in counts.collect()} == c
+    k = model.n_classes
+    of = lambda w: int(model.classes[model.head[w]]) if w in model.head else k + 1 + form(w)
+    steps, mass, known = Counter(), Counter(), Counter()
+    for t in train:
+        before = k
+        for w in t:
+            steps[before, of(w)] += 1
+            before = of(w)
+            mass[before] += 1
+    for w in c:
+        known[of(w)] += 1
+    out = Counter(a for (a, _), n in steps.items() for _ in range(n))
+
+    def total(t):
+        before, at = k, 0.0
+        for w in words(t):
+            b = of(w)
+            at += log10((steps[before, b] + 0.1) / (out[before] + 0.1 * model.all_classes))
+            at += log10((c[w] - 0.6) / mass[b]) if w in c else log10(max(0.6 * known[b], 0.6) / max(mass[b], known[b], 1))
+            before = b
+        return at
+
+    got = Counter((r.doc_id, round(r.score, 6), round(log10(r.perplexity), 6)) for r in score(docs, model, counts).collect())
+    assert got == Counter((d, round(total(t), 6), round(-total(t) / len(words(t)), 6)) for d, t, *_ in TEXTS)
+
+
 def test_exchange_finds_planted_classes():
     from tallyspan.llm.brown import exchange
 
