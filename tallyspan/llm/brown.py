@@ -35,7 +35,6 @@ every word is unknown. Long texts: whole. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -55,36 +54,53 @@ FORMS = 16
 GROUPS, UNITS = 4096, 16
 
 
-def tokenized(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(words, ids, n) of a batch of texts: its different tokens, END the last of
-    them; the tokens of all texts in order, as places in words; how many tokens
-    each text has, its END included."""
+def tokenized(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(tokens, n) of texts: the words of all of them in order, and how many each
+    text has."""
     low = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("")))
     lists = pc.ascii_split_whitespace(low)  # white space of ASCII; an empty text gives one empty word
-    n = np.where(pc.equal(low, "").to_numpy(zero_copy_only=False), 0, pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
-    flat = lists.flatten().dictionary_encode()
-    ids, words = flat.indices.to_numpy().astype(np.int64), [w.encode() for w in flat.dictionary.to_pylist()]
-    if END in words:
-        ids = ids[ids != words.index(END)]
-    words.append(END)
-    return words, np.insert(ids, np.cumsum(n), len(words) - 1), n + 1
+    n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    n[pc.equal(low, "").to_numpy(zero_copy_only=False)] = 0
+    flat = lists.flatten()
+    return (flat.filter(pc.not_equal(flat, "")) if len(flat) > n.sum() else flat), n
 
 
-def form(word: bytes) -> int:
-    n = len(word)
-    return (n > 3) + (n > 6) + (n > 10) + 4 * (not word.isalpha() and word.isascii()) + 8 * (not word.isascii())
+def numbered(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, ids, n): the different tokens of texts, END the last of them; the
+    tokens of all texts in order, each text's END included, as places in words;
+    how many tokens each text has, END included."""
+    flat, n = tokenized(texts)
+    coded = flat.dictionary_encode()
+    words = pa.concat_arrays([coded.dictionary, pa.array([END.decode()], coded.dictionary.type)])
+    return words, np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(n), len(words) - 1), n + 1
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Rows of several batches as one, up to some bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size > most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
 
+def forms(words: pa.Array) -> np.ndarray:
+    """Numbers of words' forms, by length, letters only, and ASCII only."""
+    n, letters, plain = (f(words).to_numpy(zero_copy_only=False) for f in (pc.binary_length, pc.ascii_is_alpha, pc.string_is_ascii))
+    return (n > 3).astype(np.int64) + (n > 6) + (n > 10) + 4 * (~letters & plain) + 8 * ~plain
 
-class _Index(dict):
-    """Number of a head word; others -1 - form."""
 
-    def __missing__(self, word: bytes) -> int:
-        return -1 - form(word)
+def form(word: bytes) -> int:
+    return int(forms(pa.array([word.decode()]))[0])
 
 
 @dataclass
 class Model:
-    head: dict[bytes, int]
+    words: pa.Array  # head words by number
     counts: np.ndarray
     classes: np.ndarray  # of head words; END has class n_classes
     n_classes: int = 0
@@ -94,15 +110,21 @@ class Model:
     class_words: np.ndarray = field(default_factory=lambda: np.zeros(0))
     steps: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
+    @property
+    def head(self) -> dict[bytes, int]:
+        return {w.encode(): i for i, w in enumerate(self.words.to_pylist())}
+
     @property
     def all_classes(self) -> int:
         """Exchanged classes, the end's, and those of forms."""
         return self.n_classes + 1 + FORMS
 
-    def numbers(self, found: list[bytes]) -> np.ndarray:
-        index = _Index(self.head) if not isinstance(self.head, _Index) else self.head
-        self.head = index
-        return np.array(list(map(index.__getitem__, found)), dtype=np.int64)
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Number of a head word; others -1 - form."""
+        found = pc.fill_null(pc.index_in(words, value_set=self.words.cast(words.type)), -1).to_numpy().astype(np.int64)
+        rare = np.flatnonzero(found < 0)
+        found[rare] = -1 - forms(words.take(pa.array(rare)))
+        return found
 
     def class_of(self, numbers: np.ndarray) -> np.ndarray:
         if not len(self.classes):
@@ -158,23 +180,23 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 6) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    held, size = [], 0
 
     def out():
-        items = list(counts.items())
-        counts.clear()
-        for i in range(0, len(items), 50_000):
-            words, n = zip(*items[i : i + 50_000])
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["word", "c"])
+        counts = pa.chunked_array(held).value_counts()
+        for i in range(0, len(counts), 50_000):
+            part = counts.slice(i, 50_000)
+            yield pa.RecordBatch.from_arrays([part.field(0).cast(pa.binary()), part.field(1)], names=["word", "c"])
 
     for batch in batches:
-        words, ids, _ = tokenized(batch.column("text"))
-        for word, n in zip(words, np.bincount(ids, minlength=len(words)).tolist()):
-            if n:
-                counts[word] += n
-        if len(counts) > 300_000:
+        flat, n = tokenized(batch.column("text"))
+        held += [flat, pa.array([END.decode()], flat.type).take(pa.array(np.zeros(len(n), np.int64)))]
+        size += len(flat)
+        if size > 2_000_000:
             yield from out()
-    yield from out()
+            held, size = [], 0
+    if held:
+        yield from out()
 
 
 def _cells(array: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -190,7 +212,7 @@ def _pairs(docs: DataFrame, model: Model) -> DataFrame:
     forms. A row holds those of the words of one group (node % GROUPS) from a
     run of texts, as three arrays of four-byte numbers: other is the node after
     own, or the number of nodes plus the node before own."""
-    sent, heads = docs.sparkSession.sparkContext.broadcast(model), len(model.head)
+    sent, heads = docs.sparkSession.sparkContext.broadcast(model), len(model.words)
     nodes = heads + FORMS
 
     def out(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -212,8 +234,8 @@ def _pairs(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_: Model = sent.value
         held, size = [], 0
-        for batch in batches:
-            words, ids, _ = tokenized(batch.column("text"))
+        for batch in gathered(batches):
+            words, ids, _ = numbered(batch.column("text"))
             x = model_.numbers(words)
             node = np.where(x >= 0, x, heads - 1 - x)
             for i in range(0, len(ids), 500_000):  # a batch of long texts is counted in parts
@@ -403,7 +425,7 @@ def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int =
     rows = counts.where(often | (F.octet_length("word") == 0)).toArrow()  # END has a class of its own, however rare
     found = sorted(zip(rows.column("c").to_pylist(), rows.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
     words = [w for _, w in found]
-    model = Model({w: i for i, w in enumerate(words)}, np.array([c for c, _ in found], dtype=np.float64), np.zeros(0, np.int64), total=total or 0, distinct=distinct)
+    model = Model(pa.array([w.decode() for w in words], pa.string()), np.array([c for c, _ in found], dtype=np.float64), np.zeros(0, np.int64), total=total or 0, distinct=distinct)
 
     heads, k = len(words), min(classes, max(1, sum(w != END for w in words[:classes + 1])))
     nodes, size = heads + FORMS, k + 1 + FORMS
@@ -417,9 +439,10 @@ def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int =
     def of_core(w, o):
         return np.where((place[w] >= 0) & (place[o] >= 0), place[w] * n_core + place[o], -1)
 
-    of = np.concatenate([np.array([form(w) for w in words], dtype=np.int64), np.arange(FORMS)]) + k + 1
-    if END in model.head:
-        of[model.head[END]] = k
+    own_forms = forms(model.words)
+    of = np.concatenate([own_forms, np.arange(FORMS)]) + k + 1
+    if END in words:
+        of[words.index(END)] = k
     if n_core:
         # Rows of other groups hold no pair of the core.
         own = pairs.where(F.col("grp").isin(np.unique(core_at % GROUPS).tolist())) if n_core < GROUPS // 2 else pairs
@@ -445,16 +468,17 @@ def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int =
     model.n_classes, model.classes, model.steps = k, of[:heads], m
     model.class_tokens = model.steps.sum(0)
     model.class_words = np.bincount(model.classes, minlength=size).astype(np.float64)
-    sent = learn.sparkSession.sparkContext.broadcast(model.head)
 
-    def rare(batches):
-        array = np.zeros(size, dtype=np.int64)
+    def all_forms(batches):
+        array = np.zeros(FORMS, dtype=np.int64)
         for batch in batches:
-            array += np.bincount([k + 1 + form(w) for w in batch.column("word").to_pylist() if w not in sent.value], minlength=size)
+            array += np.bincount(forms(batch.column("word").cast(pa.string())), minlength=FORMS)
         yield from _cells(array)
 
-    for r in counts.select("word").mapInArrow(rare, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        model.class_words[r["cell"]] += r["n"]
+    # Words of forms: all words, but not those of the head.
+    model.class_words[k + 1 :] -= np.bincount(own_forms, minlength=FORMS)
+    for r in counts.select("word").mapInArrow(all_forms, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        model.class_words[k + 1 + r["cell"]] += r["n"]
     return model, counts
 
 
@@ -476,11 +500,11 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, *, fold: int = 10, b
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, step_, emit_, log_ = sent.value
         uid = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in gathered(batches):
             rows = batch.num_rows
             if not rows:
                 continue
-            words, ids, n = tokenized(batch.column("text"))
+            words, ids, n = numbered(batch.column("text"))
             begin, number = np.cumsum(n) - n, own.numbers(words)
             x = number[ids]
             c, known = own.class_of(x), x >= 0
@@ -494,7 +518,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, *, fold: int = 10, b
             key, times = np.unique(np.repeat(np.arange(rows), n)[at] * len(words) + ids[at], return_counts=True)
             ends = pa.array(np.searchsorted(key // len(words), np.arange(rows + 1)), pa.int32())
             word = key % len(words)
-            lists = [pa.ListArray.from_arrays(ends, v) for v in (pa.array(words, pa.binary()).take(pa.array(word)), pa.array(times, pa.int32()), pa.array(-1 - number[word], pa.int32()))]
+            lists = [pa.ListArray.from_arrays(ends, v) for v in (words.take(pa.array(word)).cast(pa.binary()), pa.array(times, pa.int32()), pa.array(-1 - number[word], pa.int32()))]
             sums = [np.add.reduceat(v, begin) for v in (known.astype(np.int64), base_, value)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(uid + np.arange(rows)), batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(n), *map(pa.array, sums), *lists],
