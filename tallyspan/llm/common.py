@@ -149,6 +149,7 @@ class Bitmap:
         return df.mapInArrow(run, df.schema)
 
 
+@shipped
 def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """df without the rows whose id is in ids (column of that name). Rows surely
     outside are not shuffled; the rest meet the ids in an exact anti-join."""

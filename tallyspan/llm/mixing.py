@@ -15,11 +15,16 @@ solved on the driver (its size is that of the mixture's configuration: domains
 times languages times sources; past ``most_leaves`` it raises an error rather
 than guess). Prefixes need no sort of a whole leaf: documents are dealt to
 slices by the leading digits of their order key, sums per slice tell in which
-slice a prefix ends, and only this slice is ordered.
+slice a prefix ends, and only this slice is ordered. The number of slices rises
+with the largest leaf, so a slice holds ``per_slice`` documents or so at most.
+
+Tokens are runs of what is not white space of ASCII, not a tokenizer's.
 
 Edge cases. Null domain, language or source: a node of its own. Null or empty
 text: 0 tokens, taken with the prefix it stands in. Ties of the order key (a
-repeated id): by a hash of the text; rows equal in both are taken together. Missing weights: ``other_weight``. Empty table: no rows.
+repeated id): by a hash of the text; rows equal in both are taken together. Domains,
+languages and sources of equal weight share alike, in the order of their names.
+Missing weights: ``other_weight``. Empty table: no rows.
 All input columns are kept; ``epoch``, ``tokens`` and ``leaf_budget`` replace
 columns of the same name.
 """
@@ -31,7 +36,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import written
+from tallyspan.llm.common import shipped, written
 
 Path = tuple[str | None, ...]
 
@@ -90,6 +95,7 @@ def budgets(held: dict[Path, int], weights: dict[Path, float], amount: float, *,
     return out
 
 
+@shipped
 def mix(
     docs: DataFrame,
     *,
@@ -101,6 +107,7 @@ def mix(
     seed: int = 7,
     other_weight: float = 1.0,
     slices: int = 4096,
+    per_slice: int = 20_000,
     most_leaves: int = 200_000,
 ) -> DataFrame:
     """Rows of docs chosen for the mixture, with epoch (from 0), tokens and
@@ -109,17 +116,20 @@ def mix(
     level = ["l0", "l1", "l2"]
 
     def keyed(df: DataFrame) -> DataFrame:
-        """df with its leaf, tokens, a hash of the text and an order key per epoch."""
-        own = df.drop("epoch", "tokens", "leaf_budget", *level).withColumns({"l0": domain.cast("string"), "l1": F.col("lang").cast("string"), "l2": F.col("source").cast("string"), "tokens": words_of(F.col("text"))})
+        """df's row as one column, with its leaf, tokens, a hash of the text and an
+        order key per epoch."""
         name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-        return own.withColumns({"_hash": F.xxhash64("text")} | {f"_key{e}": F.md5(F.concat(F.lit(f"{seed}:{e}|"), name)) for e in range(epochs)})
+        own = {"l0": domain.cast("string"), "l1": F.col("lang").cast("string"), "l2": F.col("source").cast("string"), "tokens": words_of(F.col("text")), "_hash": F.xxhash64("text")}
+        own |= {f"_key{e}": F.md5(F.concat(F.lit(f"{seed}:{e}|"), name)) for e in range(epochs)}
+        return df.select(F.struct(*df.columns).alias("_row"), *[c.alias(n) for n, c in own.items()])
 
     keys = [f"_key{e}" for e in range(epochs)]
     slim = written(keyed(docs).select(*level, "tokens", "_hash", *keys), "mixing-keys")
-    sums = slim.groupBy(*level).agg(F.sum("tokens").alias("held")).limit(most_leaves + 1).collect()
+    sums = slim.groupBy(*level).agg(F.sum("tokens").alias("held"), F.count("*").alias("rows")).limit(most_leaves + 1).collect()
     if len(sums) > most_leaves:
         raise ValueError(f"more than {most_leaves} leaves: the mixture's tree is not a configuration")
     held = {tuple(r[c] for c in level): r["held"] for r in sums}
+    slices = max(slices, -(-max((r["rows"] for r in sums), default=0) // per_slice))
     amount = fraction * sum(held.values()) if budget is None else budget
     solved = budgets(held, weights or {}, amount, epochs=epochs, other_weight=other_weight)
 
@@ -148,4 +158,5 @@ def mix(
     same = F.col("l0").eqNullSafe(F.col("c0")) & F.col("l1").eqNullSafe(F.col("c1")) & F.col("l2").eqNullSafe(F.col("c2"))
     at = F.struct(F.element_at(F.array(*keys), F.col("epoch") + 1).alias("key"), F.col("_hash").alias("hash"))
     taken = rows.join(F.broadcast(ends), same).where(F.col("last").isNull() | (at <= F.col("last")))
-    return taken.drop(*level, *keys, "_hash", "c0", "c1", "c2", "last")
+    added = ["tokens", "epoch", "leaf_budget"]
+    return taken.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in added], *added)

@@ -9,7 +9,7 @@ WITH named(key, action, category, day) AS (
          ('ads-track.example.org', 'add', 'tracking', 200)),
 captures AS (
   SELECT page_id, url, TIMESTAMP '2023-01-01' + to_seconds((page_id * 86477) % 63072000) AS fetched,
-         nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\\.+$', ''), '') AS host
+         nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\\[[^\\]/?#]*\\]|[^/?#:]+)', 1)), '\\.+$', ''), '') AS host
   FROM pages),
 hosts AS (
   SELECT host AS key, md5(host) AS h FROM (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL)
@@ -27,7 +27,7 @@ spans AS (
 labels AS (SELECT page_id, host, fetched, string_split(host, '.') AS l FROM captures WHERE host IS NOT NULL),
 keyed AS (
   SELECT page_id, host, fetched, array_to_string(l[i:len(l)], '.') AS key
-  FROM labels, unnest(range(1, greatest(len(l) - 1, 1) + 1)) AS t(i)),
+  FROM labels, unnest(range(1, CASE WHEN host LIKE '[%' OR regexp_full_match(host, '\\d{1,3}(\\.\\d{1,3}){3}') THEN 2 ELSE greatest(len(l) - 1, 1) + 1 END)) AS t(i)),
 met AS (
   SELECT page_id, count(*) AS n_active, array_to_string(list_sort(list(DISTINCT category)), ',') AS categories,
          max_by(keyed.key, (length(keyed.key), keyed.key)) AS matched_key

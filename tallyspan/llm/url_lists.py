@@ -3,13 +3,15 @@
 List entries (key, action 'add' or 'remove', category, at) become validity
 intervals: an 'add' holds from its time until the next entry of the same key and
 category, for ever if none comes. A key is a host or a domain; a URL is looked
-up by its host and by every parent domain of two labels or more. Each capture is
+up by its host and by every parent domain of two labels or more, but an IP
+address (four decimal numbers, or one in brackets) by itself alone. Each capture is
 evaluated against the entries active at its fetch time, by an equi-join on the
 key with the interval as a residual condition. Neither side has a size bound, so
 Spark plans the join by their sizes, and adaptive execution splits a key that
 holds many captures. DataFrame functions only.
 
-Edge cases. Null URL, or one without a host: no key, nothing active, allowed.
+Edge cases. Keys are compared in lower case and without trailing dots; an empty
+key says nothing. Null URL, or one without a host: no key, nothing active, allowed.
 Null fetch time: nothing active. Several entries of one key, category and time:
 'remove' counts as the later. Repeated entries or captures: entries count once,
 each capture gets its row. Empty list: all allowed. Columns of captures are
@@ -26,21 +28,26 @@ FAR = "9999-12-31 00:00:00"
 
 def host_of(url: Column) -> Column:
     """Lower-case host without user, port and trailing dot; null if none."""
-    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
-    return F.nullif(F.regexp_replace(F.lower(host), r"\.+$", ""), F.lit(""))
+    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)", 1)
+    return plain_name(host)
+
+
+def plain_name(name: Column) -> Column:
+    return F.nullif(F.regexp_replace(F.lower(name), r"\.+$", ""), F.lit(""))
 
 
 def keys_of(host: Column) -> Column:
     """The host and its parent domains of two labels or more, longest first."""
     labels = F.split(host, r"\.")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1)))
+    address = F.startswith(host, F.lit("[")) | host.rlike(r"^\d{1,3}(\.\d{1,3}){3}$")
+    starts = F.sequence(F.lit(1), F.when(address, 1).otherwise(F.greatest(F.size(labels) - 1, F.lit(1))))
     return F.transform(starts, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
     """(key, category, valid_from, valid_to) of entries (key, action, category, at)."""
     order = Window.partitionBy("key", "category").orderBy("at", "action")
-    known = entries.where("key is not null and at is not null and action in ('add', 'remove')").select(F.lower("key").alias("key"), "action", "category", "at").distinct()
+    known = entries.where("key is not null and at is not null and action in ('add', 'remove')").select(plain_name(F.col("key")).alias("key"), "action", "category", "at").where("key is not null").distinct()
     until = F.coalesce(F.lead("at").over(order), F.lit(FAR).cast("timestamp_ntz"))
     dated = known.withColumn("valid_to", until).where((F.col("action") == "add") & (F.col("at") < F.col("valid_to")))
     return dated.select("key", "category", F.col("at").alias("valid_from"), "valid_to")
