@@ -90,3 +90,8 @@ def at_least(count: Column, least: int, value: Column) -> Column:
 def full_match(text: Column, pattern: str) -> Column:
     """Whether all of the text matches (rlike alone looks anywhere)."""
     return text.rlike(f"^(?:{pattern})$")
+
+
+def shard(name: Column) -> Column:
+    """Two digits of a name's sha1: one of 256 shards."""
+    return F.substring(F.sha1(name), 1, 2)

@@ -1,4 +1,5 @@
-"""Dimensions and the fact table over normalised attempts."""
+"""Dimensions and the fact table over normalised attempts. The columns of each are a
+fixed format."""
 
 from __future__ import annotations
 

@@ -26,19 +26,24 @@ def violations(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """(check, key, n) of broken version rules over several dimensions, keys
     prefixed by their dimension's name so that key spaces cannot collide.
 
-    single_current: a key without exactly one current version. overlap: a version
-    that begins before the one before it ends, equal beginnings included; one
-    ordered pass per key in place of a self join.
+    single_current: a key without exactly one current version. overlap: pairs of
+    versions of which the later begins before the earlier ends, two that begin
+    together included (an open end is never reached). Pairs are counted in one
+    ordered pass over begins and ends of a key: at its begin, a version overlaps
+    with as many as are open. A self join would make each pair a row.
     """
     parts = None
     for name, (df, key) in dims.items():
         part = df.select(F.concat(F.lit(f"{name}:"), F.col(key).cast("string")).alias("key"), "valid_from", "valid_to", "is_current")
         parts = part if parts is None else parts.unionByName(part)
     single = parts.groupBy("key").agg(F.sum(F.col("is_current").cast("long")).alias("n")).where("n <> 1").select(F.lit("single_current").alias("check"), "key", "n")
-    order = Window.partitionBy("key").orderBy("valid_from", "valid_to")
-    met = parts.withColumn("_next", F.lead("valid_from").over(order))
-    clash = F.col("_next").isNotNull() & (F.col("valid_to").isNull() | (F.col("_next") < F.col("valid_to")) | (F.col("_next") == F.col("valid_from")))
-    overlap = met.where(clash).groupBy("key").agg(F.count("*").alias("n")).select(F.lit("overlap").alias("check"), "key", "n")
+    lasting = F.coalesce(F.col("valid_from") < F.col("valid_to"), F.col("valid_to").isNull())
+    begin = F.struct(F.col("valid_from").alias("at"), F.lit(1).alias("kind"), lasting.cast("long").alias("step"))
+    end = F.when(lasting & F.col("valid_to").isNotNull(), F.struct(F.col("valid_to").alias("at"), F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("step")))
+    events = parts.select("key", F.explode(F.array_compact(F.array(begin, end))).alias("e")).select("key", "e.*")
+    earlier = Window.partitionBy("key").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    opened = events.withColumn("open", F.coalesce(F.sum("step").over(earlier), F.lit(0))).where("kind = 1 and open > 0")
+    overlap = opened.groupBy("key").agg(F.sum("open").alias("n")).select(F.lit("overlap").alias("check"), "key", "n")
     return single.unionByName(overlap)
 
 

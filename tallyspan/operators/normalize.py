@@ -45,7 +45,7 @@ STATUS_CLASS = {
     "Internal error": "unjudged",
     "Judge System Error": "unjudged",
 }
-#: Fields that are only renamed: lake column by path in the raw record.
+#: Fixed format: lake columns that are only renamed, by path in the raw record.
 _PLAIN = {
     "submission_id": "id", "problem_contest_id": "problem.contestId", "problem_index": "problem.index", "problem_name": "problem.name", "problem_rating": "problem.rating",
     "problem_points": "problem.points", "problemset_name": "problem.problemsetName", "problem_tags": "problem.tags", "problem_type": "problem.type", "contest_id": "contestId",
@@ -94,6 +94,7 @@ def normalize_metadata(rows: DataFrame, problems: DataFrame) -> DataFrame:
     passed, total = fraction(F.nullif(F.col("accuracy"), F.lit("")), "/")
     at = F.timestamp_seconds("date")
     kind = mapped(F.col("status"), STATUS_CLASS, "unknown")
+    # Fixed format: the lake's columns of this source.
     out = rows.join(index, "problem_id", "left").select(
         "submission_id", "problem_id", "user_id", "judge", "problem_name", "time_limit_ms", "memory_limit_kb", "status", kind.alias("verdict_class"),
         member(kind, EVIDENCE).alias("is_evidence"), (F.col("status") == "Accepted").alias("is_accepted"), "language", "original_language", "filename_ext",
@@ -110,3 +111,10 @@ def census(df: DataFrame, *, distinct: tuple[str, ...] = (), true: tuple[str, ..
         F.count("*").alias("rows"), *[F.countDistinct(c).alias(f"distinct_{c}") for c in distinct], *[F.count_if(F.col(c)).alias(f"true_{c}") for c in true],
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null], *[f(c).alias(f"{n}_{c}") for c in extent for n, f in (("first", F.min), ("last", F.max))],
     )
+
+
+def census_by(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """(column, value, n): how often each value of each column occurs, nulls too,
+    in one pass over df."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    return df.select(each.alias("x")).groupBy("x.column", "x.value").agg(F.count("*").alias("n"))

@@ -43,9 +43,9 @@ def activity_by_year(attempts: DataFrame, registrations: DataFrame) -> DataFrame
         F.count_if("accepted").alias("accepted"), F.count_if("contest").alias("in_contest"),
     )
     joined = registrations.groupBy(F.col("year").alias("r_year")).agg(F.count("*").alias("joined"))
-    by_then = years.select("year").join(joined, F.col("r_year") <= F.col("year"), "left").groupBy("year").agg(F.coalesce(F.sum("joined"), F.lit(0)).alias("registered_by_then"))
+    # A year's row meets the registrations up to it, and is one row again.
+    out = years.join(joined, F.col("r_year") <= F.col("year"), "left").groupBy(*years.columns).agg(F.coalesce(F.sum("joined"), F.lit(0)).alias("registered_by_then"))
     final = F.max("year").over(Window.partitionBy())
-    out = years.join(by_then, "year")
     return out.select(
         "year", "attempts", "person_attempts", "active_users", "items", "accepted", percent(F.col("accepted"), F.col("attempts")).alias("accepted_pct"), "in_contest",
         (F.col("year") == final).alias("is_partial_year"), "registered_by_then", percent(F.col("active_users"), F.col("registered_by_then")).alias("active_share_pct"),

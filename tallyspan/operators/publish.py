@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyspan.sources.sinks import write_json
 
@@ -16,7 +17,7 @@ from tallyspan.sources.sinks import write_json
 @dataclass(frozen=True)
 class Publication:
     """What a table may show: these columns, in this order, sorted by a total
-    order; statistics are null in cells of fewer than ``least`` members."""
+    order (a minus before a name: falling); statistics are null in cells of fewer than ``least`` members."""
 
     columns: tuple[str, ...]
     order: tuple[str, ...]
@@ -34,7 +35,8 @@ def allowed(df: DataFrame, rule: Publication) -> DataFrame:
         raise ValueError(f"columns that may not be published: {sorted(extra)}")
     if lacking := set(rule.columns) - set(df.columns):
         raise ValueError(f"columns that are lacking: {sorted(lacking)}")
-    return df.select(*rule.columns).orderBy(*rule.order)
+    order = [F.col(c[1:]).desc_nulls_last() if c[0] == "-" else F.col(c).asc_nulls_last() for c in rule.order]
+    return df.select(*rule.columns).orderBy(*order)
 
 
 def export(df: DataFrame, name: str, folder: str, rule: Publication) -> str:
@@ -61,6 +63,8 @@ def verify(folder: str, rules: dict[str, Publication], denied: Sequence[str] = (
             table = json.load(f)
         if table["columns"] != list(rule.columns):
             out.append(f"{name}: columns differ from the rule")
+        if not str(table.get("caveat") or "").strip():
+            out.append(f"{name}: no caveat")
         if table["row_count"] != len(table["rows"]):
             out.append(f"{name}: row_count is wrong")
         for row in table["rows"]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -71,3 +71,22 @@ def denied_columns(tables: dict[str, DataFrame], denied: Sequence[str]) -> list[
 def failures(report: DataFrame) -> list[tuple[str, int]]:
     """Failed checks of severity error; warnings keep a build green."""
     return [(r["check"], r["failing"]) for r in report.where("failing > 0 and severity = 'error'").collect()]
+
+
+def catalogue(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """(table, column, type) of all tables and views that the session knows."""
+    found = [t.name for t in spark.catalog.listTables(database)]
+    where = lambda t: f"{database}.{t}" if database else t
+    rows = [(t, c.name, c.dataType) for t in found for c in spark.catalog.listColumns(where(t))]
+    return inline(spark, rows, "table string, column string, type string")
+
+
+def denied_in_catalogue(spark: SparkSession, denied: Sequence[str], prefix: str = "", database: str | None = None) -> DataFrame:
+    """Columns of the catalogue's tables whose names begin with prefix, that must
+    not be published."""
+    return catalogue(spark, database).where(F.col("table").startswith(prefix) & F.lower("column").isin(*denied))
+
+
+def inline(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A relation of given rows, under a declared schema."""
+    return spark.createDataFrame(list(rows), schema)

@@ -10,6 +10,10 @@ def rating_class(a: Column, b: Column) -> Column:
     return F.when(a.isNull() & b.isNull(), "both_unrated").when(a.isNull() | b.isNull(), "exactly_one_unrated").when(a == b, "agree").otherwise("differs")
 
 
+#: The classes of rating_class.
+CLASSES = ("both_unrated", "exactly_one_unrated", "agree", "differs")
+
+
 def passes(kind: Column) -> Column:
     """Only two known, different ratings tell twins apart."""
     return kind != "differs"
@@ -62,6 +66,22 @@ def twin_audit(items: DataFrame, floor: int) -> DataFrame:
     return out
 
 
+def twin_counts(items: DataFrame, floor: int) -> dict[str, int]:
+    """Counts of pairs of an unpublished item and a published one, by class, one
+    contest before it (gap_*, of which ``qualifying`` pass the rating clause) and
+    one after it (reversed_*). Matches and pairs that pass are counted apart from
+    the classes, so that a clause or class that changes shows."""
+    own = in_scope(items, floor)
+    absent, present = own.where("not published"), own.where("published")
+    out: dict[str, int] = {}
+    for name, gap in (("gap", -1), ("reversed", 1)):
+        met = pairs(absent, present, gap)
+        row = met.agg(F.count("*").alias("matches"), F.count_if(passes(F.col("kind"))).alias("passing"), *[F.count_if(F.col("kind") == k).alias(k) for k in CLASSES]).first()
+        out |= {f"{name}_{k}": v for k, v in row.asDict().items()}
+    out["qualifying"] = out["gap_passing"]
+    return out
+
+
 def response_matrix(attempts: DataFrame, twins: DataFrame, items: DataFrame) -> DataFrame:
     """One row per user and merged item: its first attempt, how many there were,
     and whether one was accepted.
@@ -77,6 +97,18 @@ def response_matrix(attempts: DataFrame, twins: DataFrame, items: DataFrame) ->
     return rows.join(items.select("item", "published", "rating", "contest"), "item")
 
 
+def matrix_counts(attempts: DataFrame, twins: DataFrame, matrix: DataFrame) -> DataFrame:
+    """One row of what a built matrix must add up to: attempts and their ids,
+    responses before and after merging, items that were merged, and the bank."""
+    before = attempts.agg(F.count("*").alias("attempts"), F.countDistinct("attempt").alias("distinct_attempts"), F.countDistinct(F.struct("user", "item")).alias("unmerged_responses"))
+    merged = attempts.join(twins, attempts["item"] == twins["absent"], "left_semi").select("item").distinct().agg(F.count("*").alias("merged_items"))
+    after = matrix.agg(
+        F.count("*").alias("responses"), F.coalesce(F.sum("attempts"), F.lit(0)).alias("merged_attempts"), F.count_if("published").alias("bank"),
+        F.count_if(F.col("published") & F.col("accepted")).alias("bank_accepted"),
+    )
+    return before.join(merged).join(after).join(twins.agg(F.count("*").alias("twins")))
+
+
 def temporal_split(bank: DataFrame, cutoff: Column) -> DataFrame:
     """One row: train and test sizes, and the test's four exclusive classes by
     whether user and item occur before the cutoff.
@@ -106,5 +138,9 @@ def broken_invariants(n: dict[str, int]) -> list[str]:
         "the test's classes make it up": n["known_both"] + n["new_item_only"] + n["new_user_only"] + n["both_new"] == n["test"],
         "accepted are among known": n["known_both_accepted"] <= n["known_both"],
         "a test has known responses": not n["test"] or n["known_both"] > 0,
+        "no twin has one side unrated or another rating": not n["gap_exactly_one_unrated"] and not n["gap_differs"],
+        "the rating clause leaves out no pair": n["qualifying"] == n["gap_matches"],
+        "every reversed pair is of one class": sum(n[f"reversed_{k}"] for k in CLASSES) == n["reversed_matches"],
+        "classes that pass are the pairs that pass": sum(n[f"reversed_{k}"] for k in CLASSES if k != "differs") == n["reversed_passing"],
     }
     return [rule for rule, holds in rules.items() if not holds]

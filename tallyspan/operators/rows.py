@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspan.session import settled
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key. With the rank as the only window function,
@@ -38,16 +40,17 @@ def as_of(facts: DataFrame, versions: DataFrame, *, key: str, version_key: str,
 
 
 def number_keys(df: DataFrame, key: str, out: str) -> DataFrame:
-    """Dense numbers of a key in its order, from 1. Only distinct keys meet in
-    one place, and of these only the count of each range: ranges are numbered
-    apart and shifted by the ranges before."""
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct().repartitionByRange(key).withColumn("_part", F.spark_partition_id()).persist()
+    """Dense numbers of a key in its order, from 1; rows with a null key stay and
+    have none. Only distinct keys meet in one place, and of these only the count
+    of each range: ranges are numbered apart and shifted by the ranges before.
+    Ranges are drawn by a sample, so they are settled before anything counts."""
+    keys = settled(df.select(key).where(F.col(key).isNotNull()).distinct().repartitionByRange(key).withColumn("_part", F.spark_partition_id()))
     sizes = keys.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shifts = sizes.select("_part", before.alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(key))
     numbered = keys.withColumn("_in", inside).join(shifts, "_part").select(key, (F.col("_before") + F.col("_in")).cast("long").alias(out))
-    return df.join(numbered, key)
+    return df.join(numbered, key, "left")
 
 
 def missing_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

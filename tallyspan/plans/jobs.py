@@ -1,6 +1,6 @@
 """Whole runs: raw files to the lake, the lake to published tables, facts to a
 response artefact. Actions live here; operators stay lazy. Each run reports its
-counts from one pass and checks them before it writes what others read."""
+counts; what a run can check before it writes what others read, it checks."""
 
 from __future__ import annotations
 
@@ -13,17 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.operators import normalize, observatory, responses
-from tallyspan.operators.publish import Publication, export
+from tallyspan.operators.publish import Publication, export, verify
 from tallyspan.operators.rows import number_keys
 from tallyspan.sources import landing, readers, sinks
 
 
 def attempts_to_lake(spark: SparkSession, source: str, lake: str, reports: str, shards: Iterable[str] | None = None) -> dict[str, Any]:
     """Landing zone to lake, one row per attempt, in folders by year."""
-    files = landing.audited(source)
+    files = landing.audited(source, spark)
     raw = readers.json_lines(spark, landing.shard_globs(source, list(shards) if shards else None), readers.ATTEMPT_JSON, name_as="collected_via_handle")
     sinks.lake(normalize.normalize_attempts(raw), lake, "submitted_year")
-    # Counts come from what was written, so no input is read or sorted twice.
+    # Counts come from what was written; only the ids are read once more, which
+    # tells how many rows repeated one.
     counts = normalize.census(
         readers.parquet(spark, lake), distinct=("submission_id", "problem_id", "handle", "collected_via_handle", "team_id"), true=("is_person_level", "is_ghost", "is_accepted", "is_contest"),
         null=("problem_id", "problem_rating", "verdict"), extent=("submitted_year",),
@@ -57,14 +58,49 @@ def metadata_to_lake(spark: SparkSession, source: str, index_name: str, lake: st
     return counts
 
 
-#: What each published table may show.
+#: Fixed format: published columns by the engine's own, in order, for each table.
+PUBLISHED = {
+    "obs_rating_distribution": {
+        "rating_band": "rating_band", "band_order": "band_order", "cohort_users": "members", "cohort_share_pct": "share_pct", "min_rating": "min_rating", "max_rating": "max_rating",
+        "mean_rating": "mean_rating",
+    },
+    "obs_activity_by_year": {
+        "submitted_year": "year", "submissions": "attempts", "person_level_submissions": "person_attempts", "active_users": "active_users", "problems_attempted": "items",
+        "accepted": "accepted", "accepted_pct": "accepted_pct", "in_contest": "in_contest", "is_partial_year": "is_partial_year", "registered_by_then": "registered_by_then",
+        "active_share_pct": "active_share_pct",
+    },
+    "obs_tag_landscape": {
+        "tag": "tag", "problems_with_tag": "items", "rated_problems": "rated_items", "mean_rating": "mean_rating", "median_rating": "median_rating", "min_rating": "min_rating",
+        "max_rating": "max_rating", "median_solved_count": "median_solved", "from_problemset": "published_items", "from_tiebreak": "other_items",
+    },
+    "obs_country_participation": {
+        "country": "country", "is_undeclared": "is_undeclared", "cohort_users": "members", "cohort_share_pct": "share_pct", "mean_rating": "mean_rating", "median_rating": "median_rating",
+        "max_rating": "max_rating", "candidate_master_plus": "strong", "is_reportable": "is_reportable",
+    },
+    "obs_organization_participation": {
+        "organization": "organization", "cohort_users": "members", "mean_rating": "mean_rating", "median_rating": "median_rating", "max_rating": "max_rating",
+        "candidate_master_plus": "strong", "most_common_country": "most_common_country", "is_reportable": "is_reportable",
+    },
+}
+_STATISTICS = ("mean_rating", "median_rating", "max_rating", "candidate_master_plus")
+
+
+def _publication(table: str, order: tuple[str, ...], caveat: str, **more) -> Publication:
+    return Publication(tuple(PUBLISHED[table]), order, caveat, **more)
+
+
+#: What each published table may show. Tables of people are gated by their count.
 PUBLICATIONS = {
-    "rating_distribution": Publication(("rating_band", "band_order", "members", "share_pct", "min_rating", "max_rating", "mean_rating"), ("band_order",)),
-    "activity_by_year": Publication(("year", "attempts", "person_attempts", "active_users", "items", "accepted", "accepted_pct", "in_contest", "is_partial_year", "registered_by_then", "active_share_pct"), ("year",), "The last year is partial."),
-    "tag_landscape": Publication(("tag", "items", "rated_items", "mean_rating", "median_rating", "min_rating", "max_rating", "median_solved", "published_items", "other_items"), ("tag",)),
-    "country_participation": Publication(("country", "is_undeclared", "members", "share_pct", "mean_rating", "median_rating", "max_rating", "strong", "is_reportable"), ("country", "is_undeclared"), count="members", statistics=("mean_rating", "median_rating", "max_rating", "strong")),
-    "organization_participation": Publication(("organization", "members", "mean_rating", "median_rating", "max_rating", "strong", "most_common_country", "is_reportable"), ("organization",)),
+    "obs_rating_distribution": _publication("obs_rating_distribution", ("band_order",), "Rated users of one snapshot; a user without a rating is in the last band.", count="cohort_users"),
+    "obs_activity_by_year": _publication("obs_activity_by_year", ("submitted_year",), "The last year is partial; shares may pass 100, as attempts may come before a registration is seen."),
+    "obs_tag_landscape": _publication("obs_tag_landscape", ("-problems_with_tag", "tag"), "A problem counts for each of its tags."),
+    "obs_country_participation": _publication("obs_country_participation", ("-cohort_users", "country", "is_undeclared"), "Countries are as users declare them; statistics of small ones are left out.", count="cohort_users", statistics=_STATISTICS),
+    "obs_organization_participation": _publication("obs_organization_participation", ("-is_reportable", "-cohort_users", "organization"), "Organisations are as users write them; small ones are one row.", count="cohort_users", statistics=_STATISTICS),
 }
+#: Tables that count the same people.
+SAME_PEOPLE = (("obs_rating_distribution", "obs_country_participation"),)
+#: Columns that must not be in a published table.
+DENIED = ("handle", "user_key", "user_sk", "first_name", "last_name", "city")
 
 
 def publish(facts: DataFrame, users: DataFrame, problems: DataFrame, folder: str, *, least: int = 5, strong: float = 1900) -> list[str]:
@@ -81,7 +117,16 @@ def publish(facts: DataFrame, users: DataFrame, problems: DataFrame, folder: str
         "country_participation": observatory.country_participation(people, least=least, strong=strong),
         "organization_participation": observatory.organization_participation(people, least=least, strong=strong),
     }
-    return [export(df, name, folder, PUBLICATIONS[name]) for name, df in tables.items()]
+    out = []
+    for own, df in tables.items():
+        name = f"obs_{own}"
+        out.append(export(df.select(*[F.col(c).alias(p) for p, c in PUBLISHED[name].items()]), name, folder, PUBLICATIONS[name]))
+    return out
+
+
+def verify_published(folder: str) -> list[str]:
+    """What is wrong with the files of publish()."""
+    return verify(folder, PUBLICATIONS, denied=DENIED, equal_sums=SAME_PEOPLE)
 
 
 def build_responses(facts: DataFrame, problems: DataFrame, path: str, *, cutoff: str, floor: int = 100_000, pins: dict[str, int] | None = None) -> dict[str, Any]:
@@ -93,10 +138,8 @@ def build_responses(facts: DataFrame, problems: DataFrame, path: str, *, cutoff:
     twins = responses.checked(responses.twin_map(items, floor))
     matrix = responses.response_matrix(tries, twins, items).persist()
     try:
-        n = tries.agg(F.count("*").alias("attempts"), F.countDistinct("attempt").alias("distinct_attempts"), F.countDistinct(F.struct("user", "item")).alias("unmerged_responses")).first().asDict()
-        n |= matrix.agg(F.count("*").alias("responses"), F.coalesce(F.sum("attempts"), F.lit(0)).alias("merged_attempts"), F.count_if("published").alias("bank"), F.count_if(F.col("published") & F.col("accepted")).alias("bank_accepted")).first().asDict()
-        n["merged_items"] = tries.join(twins, tries["item"] == twins["absent"], "left_semi").select("item").distinct().count()
-        n["twins"] = twins.count()
+        n = responses.matrix_counts(tries, twins, matrix).first().asDict()
+        n |= responses.twin_counts(items, floor)
         n |= responses.temporal_split(matrix.where("published"), F.lit(cutoff).cast("timestamp")).first().asDict()
         broken = responses.broken_invariants(n) + [f"{k} is {n.get(k)}, not {v}" for k, v in (pins or {}).items() if n.get(k) != v]
         if broken:
@@ -106,7 +149,7 @@ def build_responses(facts: DataFrame, problems: DataFrame, path: str, *, cutoff:
     finally:
         matrix.unpersist()
     manifest = n | {"cutoff": cutoff, "base_rate": rate, "constant_brier": None if rate is None else rate * (1 - rate)} | sinks.artefact(spark, path)
-    sinks.write_json(f"{path.rstrip('/')}.manifest.json", manifest)
+    sinks.write_manifest(path, manifest)
     return manifest
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import os
 import tempfile
@@ -10,14 +11,14 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def lake(df: DataFrame, path: str, partition: str, codec: str = "snappy") -> None:
-    """Parquet in folders by a column. Rows are dealt by that column and a salt
-    first, so each folder gets few files and no one task a whole folder."""
-    salted = df.repartition(F.col(partition), F.pmod(F.xxhash64(*[c for c in df.columns if c != partition][:1]), F.lit(8)))
-    salted.write.mode("overwrite").option("compression", codec).partitionBy(partition).parquet(path)
+    """Parquet in folders by a column. A rebalance puts a folder's rows together
+    and, by the sizes that adaptive execution finds, splits those of a large
+    folder over as many tasks as it needs (spark.sql.adaptive
+    .advisoryPartitionSizeInBytes each) and joins small ones."""
+    df.hint("rebalance", partition).write.mode("overwrite").option("compression", codec).partitionBy(partition).parquet(path)
 
 
 def sorted_slice(df: DataFrame, path: str, order: Sequence[str], codec: str = "zstd") -> None:
@@ -58,6 +59,71 @@ def artefact(spark: SparkSession, path: str) -> dict[str, Any]:
     return {"rows": df.count(), "schema": described(df)}
 
 
+def write_manifest(path: str, manifest: dict[str, Any]) -> tuple[str, str]:
+    """The manifest beside an artefact, and the same bytes as a sidecar inside its
+    folder, under a name that readers of the folder skip."""
+    beside = f"{path.rstrip('/')}.manifest.json"
+    write_json(beside, manifest)
+    sidecar = os.path.join(path, "_manifest.json")
+    with open(beside, "rb") as f, open(sidecar, "wb") as g:
+        g.write(f.read())
+    return beside, sidecar
+
+
+def sidecar_differences(path: str) -> list[str]:
+    """What is wrong with an artefact's manifest and sidecar: one is missing, or
+    they are not the same bytes."""
+    names = (f"{path.rstrip('/')}.manifest.json", os.path.join(path, "_manifest.json"))
+    out = [f"no {n}" for n in names if not os.path.exists(n)]
+    if not out:
+        a, b = (open(n, "rb").read() for n in names)
+        out += ["manifest and sidecar differ"] * (a != b)
+    return out
+
+
+def verify_artefact(spark: SparkSession, path: str) -> list[str]:
+    """What differs between an artefact, read from its footers, and the rows and
+    schema that its manifest promises; also of manifest and sidecar."""
+    out = sidecar_differences(path)
+    beside = f"{path.rstrip('/')}.manifest.json"
+    if os.path.exists(beside):
+        with open(beside, encoding="utf-8") as f:
+            promised = json.load(f)
+        found = artefact(spark, path)
+        out += manifest_differences({k: promised.get(k) for k in found}, found)
+    return out
+
+
+def json_lines_file(rows: list[dict[str, Any]], path: str) -> None:
+    """Records as one compressed file of JSON lines, by way of a temporary file
+    and a rename: for results small enough for the driver."""
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    fd, temporary = tempfile.mkstemp(dir=os.path.dirname(path) or ".", suffix=".tmp")
+    with os.fdopen(fd, "wb") as raw, gzip.open(raw, "wt", encoding="utf-8") as f:
+        for row in rows:
+            f.write(json.dumps(row, ensure_ascii=False, sort_keys=True, default=str) + "\n")
+    os.replace(temporary, path)
+
+
+def temp_view(df: DataFrame, name: str) -> DataFrame:
+    """df under a name of this session."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
+#: How a layer's results are kept: views are computed when read, tables once.
+MATERIALISED = {"staging": "view", "marts": "table"}
+
+
+def materialise(df: DataFrame, name: str, layer: str) -> DataFrame:
+    """df as its layer's policy keeps it: a view of the session, or a Parquet
+    table of the catalogue, replaced whole."""
+    if MATERIALISED[layer] == "view":
+        return temp_view(df, name)
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def schema_differences(expected: list[list[str]], found: list[list[str]]) -> list[str]:
     """Missing, extra, retyped and reordered columns, by name."""
     was, now = dict(map(tuple, expected)), dict(map(tuple, found))

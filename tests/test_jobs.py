@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyspan.operators import dimensions, normalize, rules
 from tallyspan.operators.publish import verify
-from tallyspan.operators.snapshot import problemset
+from tallyspan.operators.snapshot import problemset, together
 from tallyspan.plans import jobs
-from tallyspan.sources import readers
+from tallyspan.sources import readers, sinks
 
 
 @pytest.fixture(scope="module")
@@ -46,11 +46,16 @@ def test_lake_counts(warehouse):
 def test_published_tables_pass_their_gate(warehouse):
     root, _, facts, people, problems = warehouse
     jobs.publish(facts, people, problems, str(root / "out"), least=6)
-    assert verify(str(root / "out"), jobs.PUBLICATIONS, denied=("handle", "user_key")) == []
-    table = json.load(open(root / "out" / "organization_participation.json"))
+    assert jobs.verify_published(str(root / "out")) == []
+    assert verify(str(root / "out"), jobs.PUBLICATIONS, denied=("country",)) != []
+    table = json.load(open(root / "out" / "obs_organization_participation.json"))
     assert [r["organization"] for r in table["rows"]] == ["U 1"] and table["rows"][0]["most_common_country"] == "X"
-    tags = json.load(open(root / "out" / "tag_landscape.json"))
-    assert {r["tag"]: r["published_items"] for r in tags["rows"]}["t"] == 3
+    tags = json.load(open(root / "out" / "obs_tag_landscape.json"))
+    assert {r["tag"]: r["from_problemset"] for r in tags["rows"]}["t"] == 3
+    bands = json.load(open(root / "out" / "obs_rating_distribution.json"))
+    bands["rows"][0]["cohort_users"] += 1
+    (root / "out" / "obs_rating_distribution.json").write_text(json.dumps(bands))
+    assert jobs.verify_published(str(root / "out")) == ["obs_rating_distribution and obs_country_participation count different populations"]
 
 
 def test_response_artefact(spark, warehouse):
@@ -59,6 +64,7 @@ def test_response_artefact(spark, warehouse):
     assert m["twins"] == 1 and m["merged_items"] == 1 and m["responses"] < m["unmerged_responses"]
     assert m["merged_attempts"] == m["attempts"] == facts.where("is_evidence and is_person_level").count()
     assert m["rows"] == m["responses"] == spark.read.parquet(str(root / "matrix")).count()
+    assert sinks.verify_artefact(spark, str(root / "matrix")) == [] and m["gap_matches"] == m["qualifying"] == 1
     assert json.load(open(root / "matrix.manifest.json"))["train"] == m["train"] > 0 < m["test"]
     with pytest.raises(ValueError, match="bank is"):
         jobs.build_responses(facts, problems, str(root / "other"), cutoff="2020-06-01", pins={"bank": 0})
@@ -92,7 +98,18 @@ def test_snapshot(spark):
     s = "contestId int, index string, problemsetName string, solvedCount int"
     rows = [(1, "A", "x", "P", None, 800, ["a"], None), (None, "7", "y", "P", None, None, [], "old")]
     good = problemset(spark.createDataFrame(rows, p), spark.createDataFrame([(1, "A", None, 5)], s), "2024-01-01")
-    assert {(r.problem_id, r.solved_count, r.problemset_source) for r in good.collect()} == {("1A", 5, "main"), ("old7", None, "named set")}
+    assert {(r.problem_id, r.solved_count, r.problemset_source) for r in good.collect()} == {("1A", 5, "main"), ("old7", None, "main")}
+    # A named set's statistics carry no name; the last of several counts, and one
+    # without a count says nothing.
+    named = problemset(spark.createDataFrame(rows[1:], p), spark.createDataFrame([(None, "7", None, 8), (None, "7", None, 9), (None, "7", None, None), (None, "6", None, None)], s).coalesce(1), "t", name="old")
+    assert [(r.problem_id, r.solved_count, r.problemset_source, r.problem_tags) for r in named.collect()] == [("old7", 9, "old", [])]
+    with pytest.raises(ValueError, match="no key"):
+        problemset(spark.createDataFrame(rows, p), spark.createDataFrame([(None, "7", None, 8)], s), "t")
+    bare = problemset(spark.createDataFrame([(2, "B", "z", "P", None, 1, None, None)], p), spark.createDataFrame([], s), "t").first()
+    assert bare.problem_tags == [] and bare.solved_count is None
+    with pytest.raises(ValueError, match="several sets"):
+        together([named, named])
+    assert together([good.where("problem_id = '1A'"), named]).count() == 2
     with pytest.raises(ValueError, match="1A occurs 2"):
         problemset(spark.createDataFrame([*rows, rows[0]], p), spark.createDataFrame([(1, "A", None, 5)], s), "x")
     with pytest.raises(ValueError, match="2B"):
@@ -110,3 +127,27 @@ def test_rules_can_fail(spark):
     people = spark.createDataFrame([("a",), ("a",), ("b",)], "g string")
     shown = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "g string, m double")
     assert [tuple(r) for r in rules.small_cells(shown, people, "g", ["m"], 2).collect()] == [("b", 1)]
+
+
+def test_invented_inputs_run_from_files_to_tables(spark, tmp_path):
+    from tallyspan.operators import history
+    from tallyspan.plans import fixtures
+
+    root = str(tmp_path)
+    made = fixtures.write(root)
+    again = fixtures.write(str(tmp_path / "again"))
+    assert made == again and open(f"{root}/users.json").read() == open(f"{root}/again/users.json").read()
+    counts = jobs.attempts_to_lake(spark, f"{root}/landing", f"{root}/lake", f"{root}/reports")
+    assert (counts["rows"], counts["duplicate_rows"], counts["files_read"], counts["distinct_collected_via_handle"]) == (made["attempts"], made["repeats"], made["users"], made["users"])
+    meta = jobs.metadata_to_lake(spark, f"{root}/metadata", "index.csv", f"{root}/lake2", f"{root}/reports")
+    assert (meta["rows"], meta["empty_files"], meta["true_unknown"]) == (made["metadata"], ["p00002.csv"], 0)
+    attempts = normalize.classify_attempts(readers.parquet(spark, f"{root}/lake"))
+    assert rules.unknown_classes(attempts, "verdict_class", "verdict").count() == 0
+    problems = dimensions.problem_dimension(attempts, readers.json_lines(spark, [f"{root}/problems.jsonl"], readers.PROBLEMSET_JSON))
+    people = dimensions.user_dimension(readers.users(spark, f"{root}/users.json", "2024-01-01"))
+    assert history.violations({"problem": (problems, "problem_key"), "user": (people, "user_key")}).count() == 0
+    facts = dimensions.facts(attempts, problems, people)
+    jobs.publish(facts, people, problems, f"{root}/out")
+    assert jobs.verify_published(f"{root}/out") == []
+    m = jobs.build_responses(facts, problems, f"{root}/matrix", cutoff="2020-01-01")
+    assert m["twins"] == 1 and sinks.verify_artefact(spark, f"{root}/matrix") == []

@@ -41,7 +41,7 @@ def test_version_rules_can_fail(spark):
 
 def test_number_keys_and_sets(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "k string")
-    assert sorted((r.k, r.n) for r in rows.number_keys(df, "k", "n").collect()) == [("a", 1), ("a", 1), ("b", 2), ("c", 3)]
+    assert sorted(((r.k, r.n) for r in rows.number_keys(df, "k", "n").collect()), key=str) == [("a", 1), ("a", 1), ("b", 2), ("c", 3), (None, None)]
     other = spark.createDataFrame([("a",), (None,)], "k string")
     assert {r.k for r in rows.missing_keys(df, other, "k").collect()} == {"b", "c"}
     assert sorted((r.k, r.f) for r in rows.exists_flag(df.na.drop(), other, "k", "f").collect()) == [("a", True), ("a", True), ("b", False), ("c", False)]
@@ -108,8 +108,9 @@ def test_matrix_and_split(spark):
 
 def test_invariants_can_each_fail():
     good = dict(distinct_attempts=9, attempts=9, merged_attempts=9, responses=5, unmerged_responses=6, merged_items=1, twins=1, train=2, test=3, bank=5, known_both=2, new_item_only=1, new_user_only=0, both_new=0, known_both_accepted=1)
+    good |= dict(gap_exactly_one_unrated=0, gap_differs=0, gap_matches=4, qualifying=4, reversed_matches=5, reversed_passing=4, reversed_both_unrated=1, reversed_exactly_one_unrated=1, reversed_agree=2, reversed_differs=1)
     assert responses.broken_invariants(good) == []
-    for change in ({"distinct_attempts": 8}, {"merged_attempts": 8}, {"responses": 7}, {"merged_items": 2}, {"bank": 6}, {"both_new": 1}, {"known_both_accepted": 3}, {"known_both": 0, "new_item_only": 3, "known_both_accepted": 0}):
+    for change in ({"distinct_attempts": 8}, {"merged_attempts": 8}, {"responses": 7}, {"merged_items": 2}, {"bank": 6}, {"both_new": 1}, {"known_both_accepted": 3}, {"known_both": 0, "new_item_only": 3, "known_both_accepted": 0}, {"gap_exactly_one_unrated": 1}, {"gap_differs": 1}, {"qualifying": 3}, {"reversed_matches": 6}, {"reversed_passing": 5}):
         assert len(responses.broken_invariants(good | change)) == 1, change
 
 

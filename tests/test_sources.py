@@ -3,11 +3,12 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from tallyspan.operators import dimensions, normalize
+from tallyspan.operators import dimensions, normalize, quality
 from tallyspan.operators.publish import Publication, export, stale, verify
 from tallyspan.sources import landing, readers, sinks
-from tallyspan.streaming.increments import landing_changed
+from tallyspan.sources.landing import landing_changed
 
 
 def attempt(i, *, members=("ann",), ghost=None, contest=5, index="A", problemset=None, verdict="OK", at=1577836799, tags=("dp",), kind="CONTESTANT"):
@@ -104,7 +105,7 @@ def test_lake_slice_and_manifest(spark, tmp_path):
 
 
 def test_publication_gate(spark, tmp_path):
-    rule = Publication(("country", "n", "mean"), ("country",), count="n", statistics=("mean",), least=5)
+    rule = Publication(("country", "n", "mean"), ("-n", "country"), "As counted.", count="n", statistics=("mean",), least=5)
     df = spark.createDataFrame([("b", 9, 1.0), ("a", 2, None)], "country string, n int, mean double")
     for d in ("one", "two"):
         export(df, "t", str(tmp_path / d), rule)
@@ -114,6 +115,99 @@ def test_publication_gate(spark, tmp_path):
     export(df.na.fill({"mean": 7.0}), "t", str(tmp_path / "two"), rule)
     assert verify(str(tmp_path / "two"), {"t": rule}) == ["t: a cell of 2 has statistics"] and stale(str(tmp_path / "one"), str(tmp_path / "two"), ["t"]) == ["t"]
     assert verify(str(tmp_path), {"t": rule}) == ["t: no file"]
+    assert [r["country"] for r in json.load(open(tmp_path / "one" / "t.json"))["rows"]] == ["b", "a"]
+    export(df, "t", str(tmp_path / "three"), Publication(rule.columns, rule.order))
+    assert verify(str(tmp_path / "three"), {"t": rule}) == ["t: no caveat"]
+
+
+def test_a_large_folder_is_written_by_many_tasks(spark, tmp_path):
+    """One year of rows, far over the advised size, is not one task's work, and
+    small years are not torn."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        df = spark.range(300_000, numPartitions=40).selectExpr("id as k", "md5(cast(id as string)) as v", "if(id % 1000 = 0, 2018, 2019) as year")
+        sinks.lake(df, str(tmp_path / "lake"), "year")
+    finally:
+        spark.conf.set(key, before)
+    files = {y: len([f for f in os.listdir(tmp_path / "lake" / f"year={y}") if f.endswith(".parquet")]) for y in (2018, 2019)}
+    assert files[2019] > 8 and files[2018] <= 4
+    assert readers.parquet(spark, str(tmp_path / "lake")).count() == 300_000
+
+
+def test_artefact_manifest_and_sidecar(spark, tmp_path):
+    path = str(tmp_path / "a")
+    df = spark.range(10).withColumnRenamed("id", "k")
+    sinks.sorted_slice(df, path, ["k"])
+    assert len(sinks.verify_artefact(spark, path)) == 2
+    beside, sidecar = sinks.write_manifest(path, {"more": 1} | sinks.artefact(spark, path))
+    assert sinks.verify_artefact(spark, path) == []
+    sinks.sorted_slice(df.where("k < 9").withColumn("x", F.lit(1)), path, ["k"])
+    assert sinks.verify_artefact(spark, path) == [f"no {sidecar}", "rows: 10 to 9", "extra x"]
+    with open(sidecar, "w") as f:
+        f.write("{}")
+    assert "manifest and sidecar differ" in sinks.verify_artefact(spark, path)
+
+
+def test_views_tables_and_the_catalogue(spark, tmp_path):
+    df = quality.inline(spark, [("u1", 1), ("u2", None)], "handle string, n int")
+    assert [tuple(r) for r in df.collect()] == [("u1", 1), ("u2", None)]
+    sinks.materialise(df, "obs_bad", "staging")
+    sinks.temp_view(df.select("n"), "obs_good")
+    try:
+        assert spark.sql("select count(*) from obs_bad").first()[0] == 2
+        found = {(r.table, r.column, r.type) for r in quality.catalogue(spark).collect()}
+        assert {("obs_bad", "handle", "string"), ("obs_good", "n", "int")} <= found
+        assert [(r.table, r.column) for r in quality.denied_in_catalogue(spark, ["handle"], "obs_").collect()] == [("obs_bad", "handle")]
+    finally:
+        spark.catalog.dropTempView("obs_bad"), spark.catalog.dropTempView("obs_good")
+    assert sinks.MATERIALISED == {"staging": "view", "marts": "table"}
+
+
+def test_small_json_lines_are_whole_or_absent(tmp_path):
+    path = str(tmp_path / "d" / "x.jsonl.gz")
+    sinks.json_lines_file([{"b": 1, "a": "é"}], path)
+    assert gzip.open(path, "rt", encoding="utf-8").read() == '{"a": "é", "b": 1}\n' and os.listdir(tmp_path / "d") == ["x.jsonl.gz"]
+
+
+def test_files_of_any_store(spark, zone):
+    """Listing by Spark's file systems finds what the local listing finds."""
+    uri = f"file://{zone}"
+    assert landing.audited(uri, spark) == landing.audited(zone) == 2
+    open(os.path.join(zone, "0b", ".x.jsonl.gz"), "w").close()
+    assert [f.rsplit("/", 1)[-1] for f in landing.hidden_files(uri, spark)] == [".x.jsonl.gz"]
+    with pytest.raises(ValueError, match="1 files"):
+        landing.audited(uri, spark)
+
+
+def test_hidden_files_are_renamed_once(zone):
+    names = ["_x.jsonl.gz", ".y.jsonl.gz"]
+    for n in names:
+        open(os.path.join(zone, "0a", n), "w").close()
+    plan = landing.migrate(zone)
+    assert sorted(os.path.basename(t) for t in plan.values()) == ["%2Ey.jsonl.gz", "%5Fx.jsonl.gz"] and len(landing.hidden_files(zone)) == 2
+    with pytest.raises(RuntimeError, match="collection"):
+        landing.migrate(zone, apply=True)
+    assert len(landing.migrate(zone, apply=True, force=True)) == 2
+    assert landing.hidden_files(zone) == [] and landing.migrate(zone, apply=True) == {}
+    open(os.path.join(zone, "0a", "_x.jsonl.gz"), "w").close()
+    with pytest.raises(FileExistsError):
+        landing.migrate(zone, apply=True, force=True)
+
+
+def test_corpus_count_fails_on_a_gap(spark, zone):
+    raw = readers.json_lines(spark, landing.shard_globs(zone), readers.ATTEMPT_JSON, name_as="collected_via_handle")
+    files = landing.listed(zone)
+    assert landing.counted_corpus(raw, files, "collected_via_handle") == {"attempts": 7, "one_person": 7, "files": 2}
+    with pytest.raises(ValueError, match="zoe"):
+        landing.counted_corpus(raw.where("collected_via_handle <> 'zoe'"), files, "collected_via_handle")
+
+
+def test_census_by_values(spark):
+    df = quality.inline(spark, [("OK", "C"), ("OK", None), ("bad", "C")], "status string, language string")
+    got = {(r.column, r.value): r.n for r in normalize.census_by(df, ("status", "language")).collect()}
+    assert got == {("status", "OK"): 2, ("status", "bad"): 1, ("language", "C"): 2, ("language", None): 1}
 
 
 def test_landing_change(zone, tmp_path):
