@@ -122,7 +122,7 @@ class Bitmap:
                 part = at[i : i + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(words[part])], names=["at", "word"])
 
-        got = ids.select(F.col(column).cast("long")).mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+        got = ids.select(F.col(column).cast("long")).mapInArrow(thrifty(run), "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
         words = np.zeros(1 << (bits - 6), dtype=np.int64)
         words[got.column("at").to_numpy()] = got.column("word").to_numpy()
         self.sent = ids.sparkSession.sparkContext.broadcast(words.view(np.uint8))
@@ -146,7 +146,7 @@ class Bitmap:
                 found &= ids.is_valid().to_numpy(zero_copy_only=False)
                 yield batch.filter(pa.array(found if inside else ~found))
 
-        return df.mapInArrow(run, df.schema)
+        return df.mapInArrow(thrifty(run), df.schema)
 
 
 @shipped
@@ -158,6 +158,19 @@ def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return bitmap.split(df, False).union(bitmap.split(df, True).join(gone, column, "left_anti").select(*df.columns))
 
 
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving back its worker's free memory when a task ends."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def give_back() -> None:
     """Return a worker's free memory to the system at a task's end; the worker
     itself lives on, idle beside the next stages."""

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes, give_back, shipped
+from tallyspan.llm.common import as_bytes, shipped, thrifty
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -135,7 +135,7 @@ def fit(
                 out.append(np.packbits(here).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id").cast(pa.int64()), pa.array(out, pa.binary())], names=["lang", "doc_id", "x"])
 
-    rows = some.select("lang", "doc_id", "text").mapInArrow(features, "lang string, doc_id long, x binary")
+    rows = some.select("lang", "doc_id", "text").mapInArrow(thrifty(features), "lang string, doc_id long, x binary")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(hashed, "doc_id", "x"))
     got = sorted(rows.withColumn("rank", rank).where(F.col("rank") <= per).select("rank", "lang", "x").collect())
     return solve([r["lang"] for r in got], [bytes(r["x"]) for r in got], np.array([r["rank"] <= n_marks for r in got]), buckets, ridge)
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: Model, *, fold: int = 5, block: int = 64) ->
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % fold == 0, F.lit(True)).alias("held_out")
-    return docs.select("doc_id", held, "text").mapInArrow(run, PREDICTED)
+    return docs.select("doc_id", held, "text").mapInArrow(thrifty(run), PREDICTED)
 
 
 @shipped
@@ -183,6 +183,5 @@ def rows_in(docs: DataFrame, model: Model, langs: tuple[str, ...], least_score:
         for batch in batches:
             found = zip(*sent.value.predict(as_bytes(batch.column("text")), block))
             yield batch.filter(pa.array([x in langs and s >= least_score for x, s in found], pa.bool_()))
-        give_back()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(thrifty(run), docs.schema)

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import Bitmap, as_bytes, give_back, groups, hot_keys, join_unique, shipped, written
+from tallyspan.llm.common import Bitmap, as_bytes, groups, hot_keys, join_unique, shipped, thrifty, written
 from tallyspan.llm.components import components
 
 _U = np.uint64
@@ -115,7 +115,6 @@ def _sketch(size: int, k: int):
                 names=["doc_id", "n", "set_hash", "sketch"],
             )
         _HASHES.clear()
-        give_back()
 
     return run
 
@@ -207,7 +206,6 @@ def _star_links(size: int, percent: int):
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([pivot] * len(found), pa.int64())], names=["u", "v"])
         _HASHES.clear()
-        give_back()
 
     return run
 
@@ -289,7 +287,6 @@ def _outside_links(size: int, percent: int):
                 u, v = zip(*edges)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
         _HASHES.clear()
-        give_back()
 
     return run
 
@@ -316,24 +313,24 @@ def near_duplicates(
     margin: float = 0.5,
     bits: int = 18,
     block: int = 256,
-    wide_block: int = 1024,
+    wide_block: int = 256,
     bitmap_bits: int | None = None,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id,
     text): documents whose shingle sets have a Jaccard similarity of at least
     percent / 100 are linked, and components of links share the smallest id."""
     spark = docs.sparkSession
-    sketched = written(docs.select("doc_id", "text").mapInArrow(_sketch(words, k), _SKETCHED), "minhash-sketches")
+    sketched = written(docs.select("doc_id", "text").mapInArrow(thrifty(_sketch(words, k)), _SKETCHED), "minhash-sketches")
     known = sketched.where("n > 0 and doc_id is not null")
     classes = written(known.groupBy("set_hash").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")), "minhash-classes")
     heads = written(known.join(classes, ["set_hash", "doc_id"], "left_semi").dropDuplicates(["doc_id", "set_hash"]).select("doc_id", "n", "sketch"), "minhash-heads")
 
     often = np.ones(1 << bits, dtype=np.int64)
-    sums = sketched.select("sketch").mapInArrow(_count(bits), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    sums = sketched.select("sketch").mapInArrow(thrifty(_count(bits)), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     often[sums.column("bucket").to_numpy()] += sums.column("n").to_numpy()
     counts = spark.sparkContext.broadcast(often)
 
-    listed = heads.mapInArrow(_prefix(counts, k, percent, bits), "value long, doc_id long, central long")
+    listed = heads.mapInArrow(thrifty(_prefix(counts, k, percent, bits)), "value long, doc_id long, central long")
     lists = listed.groupBy("value").agg(F.count("*").alias("size"), F.max(F.struct("central", F.col("doc_id").alias("pivot"))).alias("p"))
     pivots = written(lists.where("size > 1").select("value", "size", "p.pivot"), "minhash-pivots")
     hot = hot_keys(pivots, "value", "size", pivots.agg(F.sum("size")).first()[0] or 0)
@@ -346,8 +343,8 @@ def near_duplicates(
     members = join_unique(grouped, sizes, "pivot", hot).where("doc_id != pivot").select("pivot", F.pmod(F.xxhash64("doc_id"), slices).cast("int").alias("slice"), "doc_id")
     centres = sizes.select("pivot", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"), F.col("pivot").alias("doc_id"))
     units = members.union(centres).join(heads, "doc_id").select("pivot", "slice", "doc_id", "n", "sketch")
-    near = written(_by_unit(units, "pivot", "slice").mapInArrow(_star_mates(k, percent, margin), "pivot long, slice int, doc_id long"), "minhash-near")
-    star = _by_unit(near.join(_texts(docs, near, bitmap_bits), "doc_id"), "pivot", "slice").mapInArrow(_star_links(words, percent), "u long, v long")
+    near = written(_by_unit(units, "pivot", "slice").mapInArrow(thrifty(_star_mates(k, percent, margin)), "pivot long, slice int, doc_id long"), "minhash-near")
+    star = _by_unit(near.join(_texts(docs, near, bitmap_bits), "doc_id"), "pivot", "slice").mapInArrow(thrifty(_star_links(words, percent)), "u long, v long")
     star = written(star, "minhash-star")
 
     # Outsiders against the members of other components.
@@ -365,11 +362,11 @@ def near_duplicates(
     outsiders = told.where("outside").select("pivot", own("down").alias("i"), every("across").alias("j"), F.lit(True).alias("outside"), "doc_id", "label")
     others = told.select("pivot", every("down").alias("i"), own("across").alias("j"), F.lit(False), "doc_id", "label")
     units = outsiders.union(others).join(heads, "doc_id").select("pivot", "i", "j", "outside", "doc_id", "label", "n", "sketch")
-    near = written(_by_unit(units, "pivot", "i", "j").mapInArrow(_outside_mates(k, percent, margin), _UNIT), "minhash-outside")
+    near = written(_by_unit(units, "pivot", "i", "j").mapInArrow(thrifty(_outside_mates(k, percent, margin)), _UNIT), "minhash-outside")
     edges = star
     if near.limit(1).count():
         met = near.join(_texts(docs, near, bitmap_bits), "doc_id")
-        edges = star.union(_by_unit(met, "pivot", "i", "j").mapInArrow(_outside_links(words, percent), "u long, v long"))
+        edges = star.union(_by_unit(met, "pivot", "i", "j").mapInArrow(thrifty(_outside_links(words, percent)), "u long, v long"))
 
     # A class takes its smallest id, its component the smallest id of a class.
     linked = components(edges)

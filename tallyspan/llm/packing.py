@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import shipped, written
+from tallyspan.llm.common import shipped, thrifty, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 _STAGED = "doc_id long, source string, part int, qkey string, local long, n long, ids binary"
@@ -294,7 +294,7 @@ def pack(
     the last queue; no row is left out.
     """
     staged = written(
-        docs.select("doc_id", "text", F.col("source").cast("string").alias("source")).mapInArrow(_tokenize(tokenizer_name, end_id), _STAGED), "packing-ids"
+        docs.select("doc_id", "text", F.col("source").cast("string").alias("source")).mapInArrow(thrifty(_tokenize(tokenizer_name, end_id)), _STAGED), "packing-ids"
     )
     sums = written(staged.groupBy("part", "qkey").agg(F.sum("n").alias("tokens")), "packing-sums")
     own = [(r["qkey"], r["tokens"]) for r in sums.groupBy("qkey").agg(F.sum("tokens").alias("tokens")).orderBy(F.desc("tokens"), "qkey").collect()]
@@ -312,4 +312,4 @@ def pack(
     offsets = written(queued.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).select("part", "qkey", "queue", "base"), "packing-offsets")
     placed = staged.join(offsets, ["part", "qkey"]).withColumn("first", F.col("base") + F.col("local"))
     kind = "<u2" if tokenizer(tokenizer_name).kind.itemsize == 2 else "<u4"
-    return placed.select("doc_id", "source", "queue", "first", "n", "ids").mapInArrow(_cut(layout, kind), PIECES)
+    return placed.select("doc_id", "source", "queue", "first", "n", "ids").mapInArrow(thrifty(_cut(layout, kind)), PIECES)

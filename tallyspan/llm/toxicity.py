@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import as_bytes, give_back, shipped, smallest_hashes, written
+from tallyspan.llm.common import as_bytes, shipped, smallest_hashes, thrifty, written
 
 SCORES = "doc_id long, severity int, expected_severity double, p_toxic double, toxic boolean, n_words long"
 #: Words are runs of letters, digits and non-ASCII bytes, A-Z lowered.
@@ -161,7 +161,7 @@ def fit(
     if not all(totals(range(FOLDS))):
         return none
     names = [f"n{f}{t}" for f in range(FOLDS) for t in (0, 1)]
-    counts = rows.select("text", "fold", "toxic").mapInArrow(_term_counts, "term binary, " + ", ".join(f"{x} long" for x in names))
+    counts = rows.select("text", "fold", "toxic").mapInArrow(thrifty(_term_counts), "term binary, " + ", ".join(f"{x} long" for x in names))
     counts = written(counts.groupBy("term").agg(*[F.sum(x).alias(x) for x in names]), "toxicity-terms")
 
     def vocabulary(folds) -> dict[bytes, int]:
@@ -183,7 +183,7 @@ def fit(
                 share.append(sum(w in others[fold] for w in found) / max(1, len(found)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), batch.column("toxic"), batch.column("grade"), pa.array(share, pa.float64())], names=["x", "toxic", "grade", "share"])
 
-    got = rows.select("text", "toxic", "fold", "grade").mapInArrow(features, "x array<int>, toxic int, grade int, share double").collect()
+    got = rows.select("text", "toxic", "fold", "grade").mapInArrow(thrifty(features), "x array<int>, toxic int, grade int, share double").collect()
     got.sort(key=lambda r: (r["toxic"], r["share"], r["grade"] or 0, r["x"]))
     label = np.array([r["toxic"] for r in got])
     if grade is None:
@@ -216,7 +216,7 @@ def score(docs: DataFrame, model: Model, *, toxic_from: float = 0.5) -> DataFram
             kinds = (pa.int32(), pa.float64(), pa.float64(), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=[x.split()[0] for x in SCORES.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCORES)
+    return docs.select("doc_id", "text").mapInArrow(thrifty(run), SCORES)
 
 
 @shipped
@@ -230,6 +230,5 @@ def clean_rows(docs: DataFrame, model: Model, *, toxic_from: float = 0.5) -> Dat
         for batch in batches:
             x = [own.features(words(t)) for t in as_bytes(batch.column("text"))]
             yield batch.filter(pa.array([(own.above(f)[0] if f else blank) < toxic_from for f in x], pa.bool_()))
-        give_back()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(thrifty(run), docs.schema)
