@@ -81,6 +81,7 @@ def written(df: DataFrame, name: str, compression: str = "zstd", partition_by: t
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    give_back()  # the driver's, with its hold on plans that are done
     return spark.read.schema(df.schema).parquet(path)
 
 
