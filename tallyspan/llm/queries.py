@@ -138,6 +138,27 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edited(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.bpe import decode, encode
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = decode(encode(docs).select("doc_id", "ids"))
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.compaction import written_and_compacted
+
+    return written_and_compacted(table(spark, sf_dir, "clicks"), at="arrived_at", key="click_id", value="value")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyspan.llm.audit import document_failures, interactions
+
+    return interactions(document_failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_url_lists": op2_url_lists,
@@ -149,4 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
     "op10_order_minhash": op10_order_minhash,
+    "op11_bpe": op11_bpe,
+    "op12_compaction": op12_compaction,
+    "op13_filter_audit": op13_filter_audit,
 }

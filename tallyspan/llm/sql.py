@@ -99,4 +99,35 @@ FROM d LEFT JOIN found ON found.uid = d.uid
 """
 )
 
-ORACLE_SQL = {"op3_licenses": OP3, "op2_url_lists": OP2, "op9_minhash": OP9}
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS copy
+  FROM documents),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         map {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w), 'C': 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+              'D': regexp_matches(t, '[#$%&*|]'), 'E': copy} AS fails
+  FROM d LEFT JOIN known ON known.doc_id = d.doc_id),
+n AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM l a, l b, l c, l d, l e
+  WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+steps AS (SELECT o, s, o[s] AS x, o[1:s - 1] AS earlier FROM orders, range(1, 6) AS r(s)),
+met AS (
+  SELECT part, o, s, x, good, toxic, n, fails[x] AS fail,
+         len(list_filter(map_keys(fails), lambda k: fails[k] AND contains(earlier, k))) > 0 AS gone,
+         len(list_filter(map_keys(fails), lambda k: fails[k])) = 1 AS single
+  FROM n, steps),
+got AS (
+  SELECT part, o AS filter_order, s::INT AS step, x, coalesce(sum(n) FILTER (WHERE NOT fail AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (WHERE fail AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE fail AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (WHERE fail AND single), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (WHERE fail AND NOT gone AND good), 0)::BIGINT AS good_lost, coalesce(sum(n) FILTER (WHERE fail AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM got
+"""
+
+ORACLE_SQL = {"op13_filter_audit": OP13, "op3_licenses": OP3, "op2_url_lists": OP2, "op9_minhash": OP9}
