@@ -172,14 +172,10 @@ def opened(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _names(spark: SparkSession, folder: str) -> list[str]:
-    """The data files of a folder, by name."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found, out = where.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(where, True), []
-    while found.hasNext():
-        name = found.next().getPath().toString()
-        if name.endswith(".parquet"):
-            out.append(name)
-    return out
+    """The data files of a folder, as Spark's own listing has them."""
+    jvm = spark._jvm
+    found = spark.read.option("recursiveFileLookup", True).parquet(folder).inputFiles()
+    return [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).toString() for name in found]
 
 
 def _place(path: str) -> tuple[int | None, ...]:
@@ -219,20 +215,18 @@ def compact(spark: SparkSession, folder: str, *, rows: int) -> DataFrame:
 
 
 def _swap(spark: SparkSession, folder: str, old: list[str], aside: str) -> None:
-    """Files written aside take the places of their sources, which go last."""
+    """Files written aside take the places of their first sources; the sources go
+    last, those of other places with their folders."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    for name in _names(spark, aside):
-        target = path(f"{folder.rstrip('/')}/{'/'.join(name.split('/')[-4:])}")
-        fs.mkdirs(target.getParent())
-        if not fs.rename(path(name), target):
+    new = {"/".join(name.split("/")[-4:-1]): name for name in _names(spark, aside)}
+    for place, name in new.items():
+        if not fs.rename(path(name), path(f"{folder.rstrip('/')}/{place}/{name.rsplit('/', 1)[1]}")):
             raise OSError(f"could not move {name}")
     for name in old:
-        fs.delete(path(name), False)
+        inside = "/".join(name.split("/")[-4:-1]) in new
+        fs.delete(path(name if inside else name.rsplit("/", 1)[0]), not inside)
     fs.delete(path(aside), True)
-    left = {n.rsplit("/", 1)[0] for n in _names(spark, folder)}
-    for where in {n.rsplit("/", 1)[0] for n in old} - left:
-        fs.delete(path(where), True)
 
 
 _FILE = "day long, lot long, piece long, n_rows long, min_click_id long, max_click_id long, cents long, ids_sha256 string"
