@@ -208,8 +208,10 @@ class Coder:
         bad = ~self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)[which]
         for k in np.unique(np.searchsorted(ends, at[bad], side="right")).tolist():
             proposed[k] = self.merged(raw[k])
-        for w, p in zip(new, proposed):
-            self.seen[w] = np.array(p, "<u4").tobytes()
+        packed = np.array([i for p in proposed for i in p], "<u4").tobytes()
+        stops = (4 * np.cumsum([len(p) for p in proposed])).tolist()
+        for w, i, j in zip(new, [0, *stops], stops):
+            self.seen[w] = packed[i:j]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as four bytes each."""
@@ -250,8 +252,8 @@ class Coder:
                 yield b"".join(map(self.seen.__getitem__, some))
 
     def decode(self, ids: list[int]) -> str:
-        n, text_of = len(self.text_of), self.text_of
-        return b"".join([text_of[i] for i in ids if 0 <= i < n]).decode("utf-8", "replace")
+        """Text of ids that all are in the vocabulary."""
+        return b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def coder(path: str) -> Coder:
@@ -295,8 +297,14 @@ def decode(docs: DataFrame, path: str = "byte_bpe_50k.json", *, ids: str = "ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)
+        n = len(own.text_of)
         for batch in batches:
-            texts = (None if row is None else own.decode([i for i in row if i is not None]) for row in (x.as_py() for x in batch.column(ids)))
+            rows = batch.column(ids)
+            flat = rows.values.cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+            known = (flat >= 0) & (flat < n)
+            stops = np.append(0, np.cumsum(known))[rows.offsets.to_numpy()].tolist()
+            flat = flat[known]
+            texts = (own.decode(flat[i:j].tolist()) if there else None for i, j, there in zip(stops, stops[1:], rows.is_valid().to_pylist()))
             yield _appended(batch, out, pa.array(texts, pa.string()))
 
     return docs.mapInArrow(thrifty(run), _with(docs, out, T.StringType()))
