@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions.columns import corrupt_below, first_complete_key, fraction, known_true, mapped, member
@@ -75,7 +75,11 @@ def stage_attempts(raw: DataFrame) -> DataFrame:
 
 def normalize_attempts(raw: DataFrame) -> DataFrame:
     """One row per attempt: the one collected under the first handle."""
-    flat = stage_attempts(raw)
+    return first_collected(stage_attempts(raw))
+
+
+def first_collected(flat: DataFrame) -> DataFrame:
+    """Of the rows of an attempt the one collected under the first handle."""
     tail = [F.col(c).asc_nulls_last() for c in ("collected_via_handle", "creation_time_seconds", "verdict", "passed_test_count", "time_consumed_millis")]
     return first_per_key(flat, ["submission_id"], tail)
 
@@ -104,13 +108,24 @@ def normalize_metadata(rows: DataFrame, problems: DataFrame) -> DataFrame:
     return out
 
 
+def counters(*, true: tuple[str, ...] = (), null: tuple[str, ...] = (), extent: tuple[str, ...] = ()) -> list[Column]:
+    """Counts that one pass can keep, also while rows are written (observe): rows,
+    true flags, nulls, least and greatest values."""
+    return [
+        F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c)).alias(f"true_{c}") for c in true], *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null],
+        *[f(c).alias(f"{n}_{c}") for c in extent for n, f in (("first", F.min), ("last", F.max))],
+    ]
+
+
 def census(df: DataFrame, *, distinct: tuple[str, ...] = (), true: tuple[str, ...] = (), null: tuple[str, ...] = (), extent: tuple[str, ...] = ()) -> DataFrame:
-    """One row of counts in one pass: rows, distinct values, true flags, nulls,
-    least and greatest values."""
-    return df.agg(
-        F.count("*").alias("rows"), *[F.countDistinct(c).alias(f"distinct_{c}") for c in distinct], *[F.count_if(F.col(c)).alias(f"true_{c}") for c in true],
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null], *[f(c).alias(f"{n}_{c}") for c in extent for n, f in (("first", F.min), ("last", F.max))],
-    )
+    """One row of counters() and exact numbers of distinct values. Each distinct
+    count is an aggregate by itself over its one column: of a columnar source each
+    column is still read once, and no row is copied for every column (as several
+    distinct counts in one aggregate would)."""
+    out = df.agg(*counters(true=true, null=null, extent=extent))
+    for c in distinct:
+        out = out.join(df.agg(F.countDistinct(c).alias(f"distinct_{c}")))
+    return out
 
 
 def census_by(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

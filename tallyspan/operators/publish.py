@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspan.sources import store
 from tallyspan.sources.sinks import write_json
 
 
@@ -45,22 +45,21 @@ def export(df: DataFrame, name: str, folder: str, rule: Publication) -> str:
     rows = allowed(df, rule).limit(rule.most_rows + 1).collect()
     if len(rows) > rule.most_rows:
         raise ValueError(f"{name} has more than {rule.most_rows} rows")
-    path = os.path.join(folder, f"{name}.json")
-    write_json(path, {"table": name, "caveat": rule.caveat, "columns": list(rule.columns), "row_count": len(rows), "rows": [r.asDict() for r in rows]})
+    path = store.join(folder, f"{name}.json")
+    write_json(path, {"table": name, "caveat": rule.caveat, "columns": list(rule.columns), "row_count": len(rows), "rows": [r.asDict() for r in rows]}, df.sparkSession)
     return path
 
 
-def verify(folder: str, rules: dict[str, Publication], denied: Sequence[str] = (), equal_sums: Sequence[tuple[str, str]] = ()) -> list[str]:
-    """What is wrong with the files of a folder, read without a session: shape,
-    denied names, statistics of small cells, and counts that must add up alike."""
+def verify(folder: str, rules: dict[str, Publication], denied: Sequence[str] = (), equal_sums: Sequence[tuple[str, str]] = (), spark: SparkSession | None = None) -> list[str]:
+    """What is wrong with the files of a folder, read by themselves (without a
+    session from the local disk, else from any store): shape, denied names, statistics of small cells, and counts that must add up alike."""
     out, sums = [], {}
     for name, rule in rules.items():
-        path = os.path.join(folder, f"{name}.json")
-        if not os.path.exists(path):
+        path = store.join(folder, f"{name}.json")
+        if not store.exists(path, spark):
             out.append(f"{name}: no file")
             continue
-        with open(path, encoding="utf-8") as f:
-            table = json.load(f)
+        table = json.loads(store.read(path, spark))
         if table["columns"] != list(rule.columns):
             out.append(f"{name}: columns differ from the rule")
         if not str(table.get("caveat") or "").strip():
@@ -80,7 +79,7 @@ def verify(folder: str, rules: dict[str, Publication], denied: Sequence[str] = (
     return out
 
 
-def stale(folder: str, fresh: str, names: Sequence[str]) -> list[str]:
+def stale(folder: str, fresh: str, names: Sequence[str], spark: SparkSession | None = None) -> list[str]:
     """Tables whose committed file is not, byte for byte, what a fresh run wrote."""
-    read = lambda d, n: open(os.path.join(d, f"{n}.json"), "rb").read()
-    return [n for n in names if read(folder, n) != read(fresh, n)]
+    of = lambda d, n: store.read(store.join(d, f"{n}.json"), spark)
+    return [n for n in names if of(folder, n) != of(fresh, n)]

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tallyspan.collection import progress
 from tallyspan.functions.columns import blank_to_null, clean_text, corrupt_below, first_complete_key, fraction, full_match, mapped, member, percent, shard, surrogate_key
-from tallyspan.operators import history, normalize, observatory, quality, responses, rows, rules, snapshot
+from tallyspan.operators import history, normalize, observatory, publish, quality, responses, rows, rules, snapshot
+from tallyspan.plans import jobs
 from tallyspan.plans import tables as T
 from tallyspan.session import settled, shared_dir
-from tallyspan.sources import readers, sinks
+from tallyspan.sources import landing, ledger, readers, sinks, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -563,3 +564,114 @@ def null_safe_disagreement(spark, sf_dir):
     c = T.read(spark, sf_dir, "customer")
     x = F.nullif(F.floor("c_acctbal").cast("int") % 7, F.lit(0))
     return c.where(~x.eqNullSafe(F.nullif(F.col("c_nationkey") % 7, F.lit(0)))).select("c_custkey")
+
+
+_DIGEST = "sum(('0x' || substr(md5({x}), 1, 15))::BIGINT)::VARCHAR"
+_TWO = "SELECT {layout} AS layout, count(*)::BIGINT AS rows, {keys} AS keys, {state} AS state FROM orders"
+_SUMS = {"keys": _DIGEST.format(x="o_orderkey::VARCHAR || chr(31) || o_custkey::VARCHAR"), "state": _DIGEST.format(x="o_orderkey::VARCHAR || chr(31) || o_orderstatus || chr(31) || o_orderpriority")}
+
+
+@query(_TWO.format(layout="'sorted'", **_SUMS) + " UNION ALL " + _TWO.format(layout="'by year'", **_SUMS))
+def content_digest(spark, sf_dir):
+    """One table in two layouts: the same digests, whatever the files."""
+    o = T.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.year("o_orderdate").alias("year"))
+    sliced, by_year = _folder(spark, "sorted"), _folder(spark, "by-year")
+    sinks.sorted_slice(o, sliced, ["o_custkey", "o_orderkey"])
+    sinks.lake(o, by_year, "year")
+    groups = {"keys": ["o_orderkey", "o_custkey"], "state": ["o_orderkey", "o_orderstatus", "o_orderpriority"]}
+    of = lambda layout, path: sinks.content_digest(readers.parquet(spark, path), groups).withColumn("layout", F.lit(layout))
+    return of("sorted", sliced).unionByName(of("by year", by_year))
+
+
+@query("""WITH a AS (SELECT o_orderkey AS k, floor(o_totalprice)::BIGINT AS n, o_orderdate AS t FROM orders WHERE o_orderkey % 5 <> 0),
+b AS (SELECT o_orderkey AS k, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE floor(o_totalprice)::BIGINT END AS n, o_orderdate AS t FROM orders WHERE o_orderkey % 7 <> 0)
+SELECT coalesce(a.k, b.k)::VARCHAR AS path, CASE WHEN b.k IS NULL THEN 'new' WHEN a.k IS NULL THEN 'gone' ELSE 'changed' END AS state
+FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.n <> b.n OR a.t <> b.t""")
+def ledger_changes(spark, sf_dir):
+    """Orders as a zone's files, some of which a ledger lacks or has otherwise."""
+    o = T.read(spark, sf_dir, "orders")
+    size = F.floor("o_totalprice").cast("long")
+    files = lambda df, n: df.select(F.col("o_orderkey").cast("string").alias("path"), n.alias("length"), F.col("o_orderdate").alias("changed_at"))
+    return ledger.compare(files(o.where("o_orderkey % 5 <> 0"), size), files(o.where("o_orderkey % 7 <> 0"), F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(size)))
+
+
+@query("""SELECT year, part, count(*)::BIGINT AS n, sum(k)::BIGINT AS keys FROM (
+ SELECT year(o_orderdate)::BIGINT AS year, o_orderkey AS k, CASE WHEN year(o_orderdate) = 1996 THEN 'replaced' WHEN year(o_orderdate) >= 1998 THEN 'added' ELSE 'first' END AS part, o_orderstatus FROM orders)
+WHERE part <> 'replaced' OR o_orderstatus = 'F' OR o_orderstatus = 'O' GROUP BY 1, 2""")
+def lake_by_parts(spark, sf_dir):
+    """Years written first; then one replaced by itself, then the missing added."""
+    path = _folder(spark, "parts")
+    o = T.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus", F.year("o_orderdate").alias("year"))
+    sinks.lake(o.where("year < 1998").withColumn("part", F.lit("first")), path, "year")
+    sinks.lake_parts(o.where("year = 1996 and o_orderstatus in ('F', 'O')").withColumn("part", F.lit("replaced")), path, "year")
+    sinks.missing_parts(o.withColumn("part", F.lit("added")), path, "year")
+    return readers.parquet(spark, path).groupBy(F.col("year").cast("long").alias("year"), "part").agg(F.count("*").alias("n"), F.sum("k").alias("keys"))
+
+
+@query("""SELECT '_' || n_name AS name, count(*)::BIGINT AS n, sum(s_suppkey)::BIGINT AS keys FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey IN (1, 2) GROUP BY 1""")
+def key_from_path(spark, sf_dir):
+    """Suppliers as compressed JSON lines, a file for each nation in its region's
+    folder; nations come from the files' names, regions from the folders read."""
+    staged, zone = _folder(spark, "staged"), _folder(spark, "zone")
+    s, n = T.read(spark, sf_dir, "supplier"), T.read(spark, sf_dir, "nation")
+    own = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select("n_regionkey", "n_nationkey", F.col("s_suppkey").alias("key"))
+    own.repartition("n_regionkey", "n_nationkey").write.option("compression", "gzip").partitionBy("n_regionkey", "n_nationkey").json(staged)
+    names = {r.n_nationkey: r.n_name for r in n.collect()}
+    for path in landing.listed(staged, spark):
+        if path.endswith(".json.gz"):
+            region, nation = (int(x.split("=")[1]) for x in path.split("/")[-3:-1])
+            store.move(path, f"{zone}/{region}/{landing.safe_name('_' + names[nation])}.jsonl.gz", spark)
+    back = readers.json_lines(spark, landing.shard_globs(zone, ["1", "2"]), "key long", name_as="name")
+    return back.groupBy("name").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
+
+
+_SHOWN = "SELECT CASE WHEN c_custkey % 7 = 0 THEN '(undeclared)' ELSE n_name END AS country, count(*)::BIGINT AS members, CASE WHEN count(*) >= 20 THEN round(avg(round(c_acctbal)), 1) END AS mean FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"
+
+
+@query(f"""SELECT (row_number() OVER (ORDER BY members DESC, country) - 1)::BIGINT AS place, country, members, mean, (SELECT count(*) FROM ({_SHOWN}))::BIGINT AS row_count, 0::BIGINT AS faults, (CASE WHEN (SELECT count(*) FROM ({_SHOWN}) WHERE mean IS NOT NULL AND members < 1000000) > 0 THEN 1 ELSE 0 END)::BIGINT AS stricter FROM ({_SHOWN})""")
+def published_order(spark, sf_dir):
+    """A table of people exported behind its rule: places of its rows in the file,
+    and what the gate that reads only files finds, by this rule and a stricter one."""
+    folder, name = _folder(spark, "published"), "obs_country"
+    people = T.people(spark, sf_dir, "customer").select(F.when(F.col("country") == "", "(undeclared)").otherwise(F.col("country")).alias("country"), "rating")
+    mean = F.when(F.count("*") >= 20, F.round(F.avg("rating"), 1))
+    rule = publish.Publication(("country", "members", "mean"), ("-members", "country"), "As declared.", count="members", statistics=("mean",), least=20)
+    publish.export(people.groupBy("country").agg(F.count("*").alias("members"), mean.alias("mean")), name, folder, rule)
+    faults = publish.verify(folder, {name: rule}, denied=jobs.DENIED, spark=spark)
+    stricter = publish.verify(folder, {name: publish.Publication(rule.columns, rule.order, count="members", statistics=("mean",), least=1_000_000)}, spark=spark)
+    table = readers.json_array(spark, f"{folder}/{name}.json", "row_count long, rows array<struct<country: string, members: long, mean: double>>")
+    out = table.select("row_count", F.posexplode("rows").alias("place", "r")).select(F.col("place").cast("long").alias("place"), "r.*", "row_count")
+    return out.withColumns({"faults": F.lit(len(faults)).cast("long"), "stricter": F.lit(int(any("has statistics" in x for x in stricter))).cast("long")})
+
+
+_FACTS = "f AS (SELECT o_custkey AS u, l_partkey AS p, year(o_orderdate)::BIGINT AS y, l_returnflag = 'A' AS a FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey WHERE year(o_orderdate) BETWEEN 1996 AND 1997)"
+
+
+@query(f"""WITH {_FACTS}, u AS (SELECT c_custkey AS u, dense_rank() OVER (ORDER BY c_custkey::VARCHAR) AS uid FROM customer), p AS (SELECT p, dense_rank() OVER (ORDER BY p) AS pid FROM (SELECT DISTINCT p FROM f))
+SELECT uid::BIGINT AS user_id, pid::BIGINT AS problem_id, y AS submitted_year, a AS is_accepted, count(*)::BIGINT AS n FROM f JOIN u USING (u) JOIN p USING (p) GROUP BY 1, 2, 3, 4""")
+def slices_of_whole_years(spark, sf_dir):
+    """Users and facts under numbers in place of names, of two whole years."""
+    folder = _folder(spark, "slices")
+    o, c = T.read(spark, sf_dir, "orders"), T.read(spark, sf_dir, "customer")
+    l = T.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("problem_key"), (F.col("l_returnflag") == "A").alias("is_accepted"))
+    own = l.join(o, "o_orderkey").select(F.col("o_custkey").cast("string").alias("user_key"), "problem_key", F.year("o_orderdate").alias("submitted_year"), "is_accepted", F.lit(True).alias("is_person_level"), F.lit(False).alias("is_contest"))
+    users = c.select(F.col("c_custkey").cast("string").alias("user_key"), F.col("c_acctbal").alias("rating"), F.lit("X").alias("country"), F.lit("2020-01-01").cast("date").alias("registered_at"), F.lit(True).alias("is_current"))
+    jobs.slices_without_identities(own, users, folder, (1996, 1997))
+    back = readers.parquet(spark, f"{folder}/facts")
+    return back.groupBy("user_id", "problem_id", F.col("submitted_year").cast("long").alias("submitted_year"), "is_accepted").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT difference FROM (VALUES ('balance: ' || (SELECT count(*) FROM customer WHERE c_acctbal < 0)::VARCHAR || ' to ' || (SELECT count(*) FROM customer WHERE c_acctbal >= 0)::VARCHAR), ('rows: ' || (SELECT count(*) + 1 FROM customer)::VARCHAR || ' to ' || (SELECT count(*) FROM customer)::VARCHAR),
+ ('missing c_name'), ('extra c_nationkey'), ('retyped c_custkey: int to bigint')) t(difference)""")
+def manifest_compare(spark, sf_dir):
+    """A written slice's manifest against one that promises other pins, another
+    number of rows and another schema."""
+    path = _folder(spark, "pinned")
+    c = T.read(spark, sf_dir, "customer")
+    sinks.sorted_slice(c.select("c_custkey", "c_nationkey"), path, ["c_custkey"])
+    n = c.agg(F.count_if(F.col("c_acctbal") < 0).alias("bad"), F.count_if(F.col("c_acctbal") >= 0).alias("good"), F.count("*").alias("rows")).first()
+    sinks.write_manifest(path, sinks.artefact(spark, path) | {"balance": n["good"]}, spark)
+    found = sinks.artefact(spark, path) | {"balance": n["good"]}
+    found["schema"] = [x for x in found["schema"] if x[0] != "c_nationkey"] + [["c_nationkey", "x"]]
+    out = sinks.manifest_differences({"rows": n["rows"] + 1, "balance": n["bad"], "schema": [["c_custkey", "int"], ["c_name", "string"]]}, found) + sinks.verify_artefact(spark, path)
+    return quality.inline(spark, [(x,) for x in out], "difference string")

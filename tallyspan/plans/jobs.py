@@ -4,43 +4,119 @@ counts; what a run can check before it writes what others read, it checks."""
 
 from __future__ import annotations
 
-import glob
 import os
+import uuid
 from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.operators import normalize, observatory, responses
 from tallyspan.operators.publish import Publication, export, verify
 from tallyspan.operators.rows import number_keys
-from tallyspan.sources import landing, readers, sinks
+from tallyspan.session import settled
+from tallyspan.sources import landing, readers, sinks, store
+from tallyspan.sources import ledger as ledgers
+
+
+_FLAGS = ("is_person_level", "is_ghost", "is_accepted", "is_contest")
+_DISTINCT = ("submission_id", "problem_id", "handle", "collected_via_handle", "team_id")
 
 
 def attempts_to_lake(spark: SparkSession, source: str, lake: str, reports: str, shards: Iterable[str] | None = None) -> dict[str, Any]:
-    """Landing zone to lake, one row per attempt, in folders by year."""
+    """Landing zone to lake, one row per attempt, in folders by year. The zone is
+    read once: its rows and those that are kept are counted as they pass. They are
+    written beside the lake and take its place when the counts agree, so a run that
+    fails leaves the lake that there was."""
     files = landing.audited(source, spark)
-    raw = readers.json_lines(spark, landing.shard_globs(source, list(shards) if shards else None), readers.ATTEMPT_JSON, name_as="collected_via_handle")
-    sinks.lake(normalize.normalize_attempts(raw), lake, "submitted_year")
-    # Counts come from what was written; only the ids are read once more, which
-    # tells how many rows repeated one.
-    counts = normalize.census(
-        readers.parquet(spark, lake), distinct=("submission_id", "problem_id", "handle", "collected_via_handle", "team_id"), true=("is_person_level", "is_ghost", "is_accepted", "is_contest"),
-        null=("problem_id", "problem_rating", "verdict"), extent=("submitted_year",),
-    ).first().asDict()
-    counts |= {"files_read": files, "raw_rows": raw.select("id").count()}
-    counts["duplicate_rows"] = counts["raw_rows"] - counts["rows"]
-    sinks.report(reports, "attempts", counts)
+    if not files:
+        raise FileNotFoundError(f"the landing zone at {source} is empty")
+    chosen = sorted(shards) if shards else None
+    new = sinks.beside(lake)
+    counts = _written(spark, _raw(spark, landing.shard_globs(source, chosen)), new)
+    handles = {r[0] for r in readers.parquet(spark, new).select("collected_via_handle").distinct().toLocalIterator()}
+    listed = [f for f in landing.listed(source, spark) if f.endswith(".jsonl.gz") and (not chosen or f.split("/")[-2] in chosen)]
+    # A file may hold nothing but repeats of what others hold; only files that the
+    # lake does not name are opened again.
+    counts |= {"files_read": landing.files_with_rows(spark, listed, handles)[0], "files_on_disk": files}
+    store.swap_folder(new, lake, spark)
+    sinks.report(reports, "attempts", counts, spark)
     return counts
 
 
+def _raw(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return readers.json_lines(spark, paths, readers.ATTEMPT_JSON, name_as="collected_via_handle")
+
+
+def _written(spark: SparkSession, raw: DataFrame, path: str) -> dict[str, Any]:
+    """raw attempts normalised and written to a new folder, with their counts.
+    Distinct values are counted from what was written; an error if it is not what
+    passed."""
+    seen, kept = Observation(), Observation()
+    rows = normalize.normalize_attempts(raw.observe(seen, F.count(F.lit(1)).alias("raw_rows")))
+    own = normalize.counters(true=_FLAGS, null=("problem_id", "problem_rating", "verdict"), extent=("submitted_year",))
+    sinks.lake(rows.observe(kept, *own), path, "submitted_year")
+    counts = kept.get | {"raw_rows": seen.get["raw_rows"]}
+    back = normalize.census(readers.parquet(spark, path), distinct=_DISTINCT).first().asDict()
+    if back["rows"] != counts["rows"] or back["distinct_submission_id"] + bool(back["rows"] and _null_ids(spark, path)) != counts["rows"]:
+        store.delete(path, spark)
+        raise ValueError(f"{counts['rows']} rows passed; {back['rows']} of {back['distinct_submission_id']} ids were written")
+    return counts | back | {"duplicate_rows": counts["raw_rows"] - counts["rows"]}
+
+
+def _null_ids(spark: SparkSession, path: str) -> bool:
+    return not readers.parquet(spark, path).where("submission_id is null").isEmpty()
+
+
+def attempts_increment(spark: SparkSession, source: str, lake: str, reports: str, ledger: str) -> dict[str, Any]:
+    """Brings a lake up to date with its landing zone by a ledger of files. With
+    nothing changed, nothing is read. New files alone are read, and only the years
+    that their attempts are of are written again, merged with what the lake holds.
+    A file that changed or is gone takes a whole run, as the lake no longer has
+    what its rows had replaced; so does a lake that is missing. A zone that is
+    missing or empty is an error."""
+    files = ledgers.zone_files(spark, source)
+    on_disk, known = landing.audited(source, spark), ledgers.known_files(spark, ledger)
+    changes = settled(ledgers.compare(files, known))
+    states = {r.state: r.n for r in changes.groupBy("state").agg(F.count("*").alias("n")).collect()}
+    there = store.exists(lake, spark)
+    if there and not states:
+        return {"run": "skipped", "files_on_disk": on_disk}
+    run = uuid.uuid4().hex
+    if not there or set(states) != {"new"}:
+        counts = attempts_to_lake(spark, source, lake, reports) | {"run": "whole"}
+    else:
+        paths = [r.path for r in changes.select("path").toLocalIterator()]
+        seen = Observation()
+        new = settled(normalize.normalize_attempts(_raw(spark, paths).observe(seen, F.count(F.lit(1)).alias("raw_rows"))))
+        old = readers.parquet(spark, lake)
+        # An attempt is of the year that the lake has it in, until it is merged.
+        years = new.select("submitted_year").union(old.join(new.select("submission_id"), "submission_id", "left_semi").select("submitted_year")).distinct()
+        years = settled(years)
+        touched = old.join(years, old["submitted_year"].eqNullSafe(years["submitted_year"]), "left_semi")
+        merged = settled(normalize.first_collected(touched.select(*new.columns).unionByName(new)))
+        kept = Observation()
+        sinks.lake_parts(merged.observe(kept, F.count(F.lit(1)).alias("rows")), lake, "submitted_year")
+        _drop_empty_years(spark, lake, years, merged)
+        counts = {"run": "increment", "files_read": len(paths), "files_on_disk": on_disk, "raw_rows": seen.get["raw_rows"], "rows_in_years": kept.get["rows"], "years": sorted(r[0] for r in years.collect() if r[0] is not None)}
+        sinks.report(reports, "attempts_increment", counts, spark)
+    ledgers.record(files, known, ledger, run)
+    return counts
+
+
+def _drop_empty_years(spark: SparkSession, lake: str, years: DataFrame, merged: DataFrame) -> None:
+    """A year whose attempts all moved to others has no rows to replace it by."""
+    for r in years.join(merged.select("submitted_year").distinct(), "submitted_year", "left_anti").where("submitted_year is not null").collect():
+        store.delete(store.join(lake, f"submitted_year={r[0]}"), spark)
+
+
 def metadata_to_lake(spark: SparkSession, source: str, index_name: str, lake: str, reports: str) -> dict[str, Any]:
-    """Per-problem CSV files to lake. Files without rows must be empty, ids must
-    be unique and statuses known before anything is written."""
-    files = sorted(f for f in glob.glob(os.path.join(source, "*.csv")) if os.path.basename(f) != index_name)
+    """Per-problem CSV files to lake. Files without rows must be empty and ids must
+    be unique before anything is written; unknown statuses are counted."""
+    files = [f for f in landing.listed(source, spark) if f.endswith(".csv") and f.rsplit("/", 1)[-1] != index_name and f.rsplit("/", 1)[0].endswith(source.rstrip("/").rsplit("/", 1)[-1])]
     rows = readers.csv_files(spark, files, readers.METADATA_CSV, name_as="source_file")
-    index = readers.csv_files(spark, [os.path.join(source, index_name)], readers.INDEX_CSV)
+    index = readers.csv_files(spark, [store.join(source, index_name)], readers.INDEX_CSV)
     df = normalize.normalize_metadata(rows, index).persist()
     try:
         empty = landing.unread_files(files, df, "source_file")
@@ -50,11 +126,13 @@ def metadata_to_lake(spark: SparkSession, source: str, index_name: str, lake: st
         ).first().asDict()
         if counts["distinct_submission_id"] != counts["rows"]:
             raise ValueError(f"{counts['rows']} rows have {counts['distinct_submission_id']} ids")
-        sinks.lake(df.drop("source_file"), lake, "submitted_year")
+        new = sinks.beside(lake)
+        sinks.lake(df.drop("source_file"), new, "submitted_year")
+        store.swap_folder(new, lake, spark)
     finally:
         df.unpersist()
-    counts |= {"files": len(files), "empty_files": [os.path.basename(f) for f in empty]}
-    sinks.report(reports, "metadata", counts)
+    counts |= {"files": len(files), "empty_files": [f.rsplit("/", 1)[-1] for f in empty]}
+    sinks.report(reports, "metadata", counts, spark)
     return counts
 
 
@@ -124,9 +202,9 @@ def publish(facts: DataFrame, users: DataFrame, problems: DataFrame, folder: str
     return out
 
 
-def verify_published(folder: str) -> list[str]:
+def verify_published(folder: str, spark: SparkSession | None = None) -> list[str]:
     """What is wrong with the files of publish()."""
-    return verify(folder, PUBLICATIONS, denied=DENIED, equal_sums=SAME_PEOPLE)
+    return verify(folder, PUBLICATIONS, denied=DENIED, equal_sums=SAME_PEOPLE, spark=spark)
 
 
 def build_responses(facts: DataFrame, problems: DataFrame, path: str, *, cutoff: str, floor: int = 100_000, pins: dict[str, int] | None = None) -> dict[str, Any]:
@@ -149,7 +227,8 @@ def build_responses(facts: DataFrame, problems: DataFrame, path: str, *, cutoff:
     finally:
         matrix.unpersist()
     manifest = n | {"cutoff": cutoff, "base_rate": rate, "constant_brier": None if rate is None else rate * (1 - rate)} | sinks.artefact(spark, path)
-    sinks.write_manifest(path, manifest)
+    manifest["digest"] = sinks.digests(readers.parquet(spark, path))
+    sinks.write_manifest(path, manifest, spark)
     return manifest
 
 

@@ -10,11 +10,13 @@ import os
 import re
 import time
 import urllib.parse
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspan.sources import store
+
 #: Characters that stay in a file's name; the others are per cent coded.
 _SAFE = re.compile(r"[^A-Za-z0-9._-]")
 
@@ -66,13 +68,17 @@ def audited(root: str, spark: SparkSession | None = None) -> int:
     return len([f for f in files if not f.endswith(".crc")])
 
 
-def landing_changed(root: str, report_path: str, field: str = "files_read") -> bool:
+def landing_changed(root: str, report_path: str, spark: SparkSession | None = None, field: str = "files_on_disk") -> bool:
     """Whether the zone holds another number of files than the last report says
-    (true if there is no report). Inputs arrive as files and are read in batches."""
-    if not os.path.exists(report_path):
-        return True
-    with open(report_path, encoding="utf-8") as f:
-        return json.load(f).get(field) != audited(root)
+    (true if there is no report). A zone that is missing or empty is an error: a
+    wrong path would else look like a change for ever. See ledger for changes by
+    file."""
+    if not store.exists(root, spark):
+        raise FileNotFoundError(f"no landing zone at {root}")
+    files = audited(root, spark)
+    if not files:
+        raise FileNotFoundError(f"the landing zone at {root} is empty")
+    return not store.exists(report_path, spark) or json.loads(store.read(report_path, spark)).get(field) != files
 
 
 def renames(root: str, suffix: str = ".jsonl.gz") -> dict[str, str]:
@@ -96,19 +102,31 @@ def migrate(root: str, *, apply: bool = False, force: bool = False, quiet_second
     return plan
 
 
+def lines_by_file(spark: SparkSession, files: Sequence[str]) -> dict[str, int]:
+    """The number of lines that are not blank of each file, by one job over all."""
+    if not files:
+        return {}
+    counts = spark.read.text(list(files)).where("trim(value) <> ''").groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    # Rows name their files as URIs, whose odd letters are coded once more.
+    found = {_bare(urllib.parse.unquote(r.path)): r.n for r in counts.toLocalIterator()}
+    return {f: found.get(_bare(f), 0) for f in files}
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme and machine."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "", path)
+
+
 def unread_files(files: Iterable[str], rows: DataFrame, name_column: str) -> list[str]:
     """Files without rows. One line or less (a header) is an empty file and is
-    returned; more lines mean that rows were lost, which is an error."""
-    spark = rows.sparkSession
+    returned; more lines mean that rows were lost, which is an error. All files
+    that no row names are counted by one job."""
     seen = {r[0] for r in rows.select(name_column).distinct().toLocalIterator()}
-    empty = []
-    for path in sorted(files):
-        if path.rsplit("/", 1)[-1] in seen:
-            continue
-        if spark.read.text(path).where("trim(value) <> ''").limit(2).count() > 1:
-            raise ValueError(f"{path} has rows, and none was read")
-        empty.append(path)
-    return empty
+    missing = [f for f in sorted(files) if f.rsplit("/", 1)[-1] not in seen]
+    lines = lines_by_file(rows.sparkSession, missing)
+    if lost := [f for f in missing if lines[f] > 1]:
+        raise ValueError(f"{lost[0]} has rows, and none was read")
+    return missing
 
 
 def corpus_counts(attempts: DataFrame) -> dict[str, int]:
@@ -120,13 +138,26 @@ def corpus_counts(attempts: DataFrame) -> dict[str, int]:
     return row.asDict()
 
 
+def name_of(path: str, suffix: str = ".jsonl.gz") -> str:
+    """The name that a file is of, as readers.file_stem has it."""
+    return urllib.parse.unquote(path.rsplit("/", 1)[-1].removesuffix(suffix))
+
+
+def files_with_rows(spark: SparkSession, files: Iterable[str], seen: set[str], suffix: str = ".jsonl.gz") -> tuple[int, list[str]]:
+    """How many files hold rows, and which of these none of the names seen is of:
+    only files that no row names are looked into, by one job."""
+    files = sorted(files)
+    missing = [f for f in files if name_of(f, suffix) not in seen]
+    lines = lines_by_file(spark, missing)
+    unseen = [f for f in missing if lines[f]]
+    return len(files) - len(missing) + len(unseen), unseen
+
+
 def counted_corpus(attempts: DataFrame, files: Iterable[str], name_column: str, suffix: str = ".jsonl.gz") -> dict[str, int]:
     """corpus_counts() of rows that carry their file's name; an error where a file
     with rows was not read at all."""
-    spark = attempts.sparkSession
     seen = {r[0] for r in attempts.select(name_column).distinct().toLocalIterator()}
-    of = lambda path: urllib.parse.unquote(path.rsplit("/", 1)[-1].removesuffix(suffix))
-    gap = [f for f in sorted(files) if of(f) not in seen and spark.read.text(f).where("trim(value) <> ''").limit(1).count()]
+    _, gap = files_with_rows(attempts.sparkSession, files, seen, suffix)
     if gap:
         raise ValueError(f"{len(gap)} files have rows, and none was read, first {gap[0]}")
     return corpus_counts(attempts) | {"files": len(seen)}

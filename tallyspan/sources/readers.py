@@ -5,8 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyspan.session import settled
 
 #: Fixed format: one attempt as the judge's API delivers it.
 ATTEMPT_JSON = """
@@ -57,8 +60,57 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def json_envelope(spark: SparkSession, path: str, schema: str, field: str) -> DataFrame:
-    """A file that is one object with an array of records in a field."""
-    return json_array(spark, path, schema).select(F.explode(field).alias("r")).select("r.*")
+    """Files that are one object each, with an array of objects in a field: a row
+    for each of these, under the field's element type in schema. A file is read in
+    as many tasks as it has splits, on any store, lines or not.
+
+    Text is cut at closing braces, which splits may begin at. Whether a piece
+    begins inside a string, how deep in objects, and in which record, are sums over
+    all pieces before it: within a split a window's, and from split to split a sum
+    over one row for each split. Pieces of one record then meet, and are parsed.
+
+    Elements that are no objects are left out, null fields of elements are null,
+    and a field that is missing, null or empty gives no rows. Compressed files are
+    one split. The names of the envelope's fields may hold no quotes."""
+    value, place = F.col("value"), ["file", "block"]
+    text = spark.read.option("lineSep", "}").text(path)
+    pieces = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    plain = F.regexp_replace(value, r"(?s)\\.", "")  # without escaped letters
+    count = lambda x, sign: F.length(x) - F.length(F.replace(x, F.lit(sign), F.lit("")))
+    pieces = settled(_running(pieces.withColumn("quotes", count(plain, '"')), "quotes", "before"))
+    inside = F.col("before") % 2 == 1
+    outside = F.when(~inside, plain).when(F.col("quotes") > 0, F.regexp_replace(plain, '^[^"]*"', "")).otherwise("")
+    outside = F.regexp_replace(F.regexp_replace(outside, '"[^"]*"', ""), '"[^"]*$', "")
+    closes = ((F.col("before") + F.col("quotes")) % 2 == 0).cast("int")
+    pieces = pieces.withColumns({"closes": closes, "deeper": count(outside, "{") - closes}).drop("quotes", "before")
+    pieces = settled(_running(pieces, "deeper", "depth"))
+    ends = ((F.col("depth") + F.col("deeper") == 1) & (F.col("closes") == 1)).cast("int")
+    pieces = _running(pieces.withColumn("ends", ends), "ends", "record")
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*place[1:], "at", "value"))), lambda p: p["value"]), "}")
+    records = pieces.groupBy("file", "record").agg(whole.alias("text"), F.max("ends").alias("ends")).where("ends = 1")
+    # Before an element stands what ends the one before it, or the field's name.
+    string = r'"(?:[^"\\]++|\\.)*+"'
+    opening = F.when(F.col("record") == 0, F.regexp_replace("text", r"(?s)^[^{]*\{", "")).otherwise(F.col("text"))
+    head = F.regexp_extract("text", rf'(?s)^((?:[^"{{]++|{string})*+)\{{', 1)
+    records = records.withColumn("text", opening).withColumn("head", head)
+    named = rf'(?s)^.*({string})\s*:\s*(\[?)'
+    name = F.when(F.col("head").rlike(named), F.concat(F.regexp_extract("head", named, 1), F.regexp_extract("head", named, 2)))
+    records = settled(records.select("file", "record", name.alias("name"), F.concat(F.expr("substring(text, length(head) + 1)"), F.lit("}")).alias("text")))
+    until = F.lead("record").over(Window.partitionBy("file").orderBy("record"))
+    fields = records.where("name is not null").select("file", "name", F.col("record").alias("since"), until.alias("until"))
+    own = fields.where(F.col("name") == f'"{field}"[').alias("f")
+    same = (F.col("r.file") == F.col("f.file")) & (F.col("r.record") >= F.col("f.since")) & (F.col("f.until").isNull() | (F.col("r.record") < F.col("f.until")))
+    element = T.StructType.fromDDL(schema)[field].dataType.elementType
+    return records.alias("r").join(own, same).select(F.from_json("r.text", element).alias("r")).select("r.*")
+
+
+def _running(df: DataFrame, value: str, out: str) -> DataFrame:
+    """df with the sum of value over all earlier pieces of a file."""
+    within = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.groupBy("file", "block").agg(F.sum(value).alias("_n"))
+    sums = sums.select("file", "block", F.coalesce(F.sum("_n").over(splits), F.lit(0)).alias("_before"))
+    return df.join(sums, ["file", "block"]).withColumn(out, F.col("_before") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_before")
 
 
 def csv_files(spark: SparkSession, paths: Sequence[str], schema: str, *, name_as: str | None = None) -> DataFrame:

@@ -6,11 +6,15 @@ import gzip
 import json
 import os
 import tempfile
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyspan.sources import store
 
 
 def lake(df: DataFrame, path: str, partition: str, codec: str = "snappy") -> None:
@@ -21,6 +25,25 @@ def lake(df: DataFrame, path: str, partition: str, codec: str = "snappy") -> Non
     df.hint("rebalance", partition).write.mode("overwrite").option("compression", codec).partitionBy(partition).parquet(path)
 
 
+def lake_parts(df: DataFrame, path: str, partition: str, codec: str = "snappy") -> None:
+    """Parquet in folders by a column, where only the folders that df has rows for
+    are replaced and all others stay."""
+    df.hint("rebalance", partition).write.mode("overwrite").options(compression=codec, partitionOverwriteMode="dynamic").partitionBy(partition).parquet(path)
+
+
+def missing_parts(df: DataFrame, path: str, partition: str, codec: str = "snappy") -> None:
+    """Adds the folders that are not there yet; those that are, stay as they are."""
+    if store.exists(path, df.sparkSession):
+        there = df.sparkSession.read.parquet(path).select(F.col(partition).alias("_there")).distinct()
+        df = df.join(there, F.col(partition).eqNullSafe(F.col("_there")), "left_anti")
+    df.hint("rebalance", partition).write.mode("append").option("compression", codec).partitionBy(partition).parquet(path)
+
+
+def beside(path: str) -> str:
+    """A new folder next to another."""
+    return f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+
+
 def sorted_slice(df: DataFrame, path: str, order: Sequence[str], codec: str = "zstd") -> None:
     """Parquet under a total order over all files: ranges are written side by
     side, each sorted, which also lets equal values compress well."""
@@ -32,20 +55,14 @@ def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
-def write_json(path: str, value: Any) -> None:
-    """JSON by way of a temporary file and a rename, so no reader sees a part."""
-    folder = os.path.dirname(path) or "."
-    os.makedirs(folder, exist_ok=True)
-    fd, temporary = tempfile.mkstemp(dir=folder, suffix=".tmp")
-    with os.fdopen(fd, "w", encoding="utf-8") as f:
-        json.dump(value, f, indent=2, sort_keys=False, default=str, ensure_ascii=False)
-        f.write("\n")
-    os.replace(temporary, path)
+def write_json(path: str, value: Any, spark: SparkSession | None = None) -> None:
+    """JSON in one piece, so no reader sees a part; see store for paths."""
+    store.write(path, (json.dumps(value, indent=2, sort_keys=False, default=str, ensure_ascii=False) + "\n").encode(), spark)
 
 
-def report(folder: str, name: str, counts: dict[str, Any]) -> str:
-    path = os.path.join(folder, f"{name}_{datetime.now(timezone.utc):%Y%m%d_%H%M%S}.json")
-    write_json(path, counts)
+def report(folder: str, name: str, counts: dict[str, Any], spark: SparkSession | None = None) -> str:
+    path = store.join(folder, f"{name}_{datetime.now(timezone.utc):%Y%m%d_%H%M%S}.json")
+    write_json(path, counts, spark)
     return path
 
 
@@ -59,41 +76,74 @@ def artefact(spark: SparkSession, path: str) -> dict[str, Any]:
     return {"rows": df.count(), "schema": described(df)}
 
 
-def write_manifest(path: str, manifest: dict[str, Any]) -> tuple[str, str]:
+def _manifests(path: str) -> tuple[str, str]:
+    return f"{path.rstrip('/')}.manifest.json", store.join(path, "_manifest.json")
+
+
+def write_manifest(path: str, manifest: dict[str, Any], spark: SparkSession | None = None) -> tuple[str, str]:
     """The manifest beside an artefact, and the same bytes as a sidecar inside its
     folder, under a name that readers of the folder skip."""
-    beside = f"{path.rstrip('/')}.manifest.json"
-    write_json(beside, manifest)
-    sidecar = os.path.join(path, "_manifest.json")
-    with open(beside, "rb") as f, open(sidecar, "wb") as g:
-        g.write(f.read())
-    return beside, sidecar
+    near, sidecar = _manifests(path)
+    write_json(near, manifest, spark)
+    store.write(sidecar, store.read(near, spark), spark)
+    return near, sidecar
 
 
-def sidecar_differences(path: str) -> list[str]:
+def sidecar_differences(path: str, spark: SparkSession | None = None) -> list[str]:
     """What is wrong with an artefact's manifest and sidecar: one is missing, or
     they are not the same bytes."""
-    names = (f"{path.rstrip('/')}.manifest.json", os.path.join(path, "_manifest.json"))
-    out = [f"no {n}" for n in names if not os.path.exists(n)]
-    if not out:
-        a, b = (open(n, "rb").read() for n in names)
-        out += ["manifest and sidecar differ"] * (a != b)
+    names = _manifests(path)
+    out = [f"no {n}" for n in names if not store.exists(n, spark)]
+    if not out and store.read(names[0], spark) != store.read(names[1], spark):
+        out.append("manifest and sidecar differ")
     return out
 
 
-def verify_artefact(spark: SparkSession, path: str) -> list[str]:
+def verify_artefact(spark: SparkSession, path: str, content: bool = False) -> list[str]:
     """What differs between an artefact, read from its footers, and the rows and
-    schema that its manifest promises; also of manifest and sidecar."""
-    out = sidecar_differences(path)
-    beside = f"{path.rstrip('/')}.manifest.json"
-    if os.path.exists(beside):
-        with open(beside, encoding="utf-8") as f:
-            promised = json.load(f)
+    schema that its manifest promises; also of manifest and sidecar. With content,
+    the rows are read, and the promised digests compared too."""
+    out, near = sidecar_differences(path, spark), _manifests(path)[0]
+    if store.exists(near, spark):
+        promised = json.loads(store.read(near, spark))
         found = artefact(spark, path)
+        if content and "digest" in promised:
+            groups = {k: v["columns"] for k, v in promised["digest"].items()}
+            found["digest"] = digests(spark.read.parquet(path), groups)
         out += manifest_differences({k: promised.get(k) for k in found}, found)
     return out
 
 
+def content_digest(df: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
+    """One row: the number of rows, and for each group of columns a digest of its
+    content that no order of rows, columns of other groups, files or codecs change:
+    the sum over rows of 60 bits of an md5, as text. Sums are of decimals, which
+    hold 10**20 rows. Null and empty differ; of numbers the text form counts."""
+    of = lambda columns: F.conv(F.substring(F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])), 1, 15), 16, 10)
+    sums = [F.coalesce(F.sum(of(columns).cast("decimal(28,0)")), F.lit(0)).cast("string").alias(name) for name, columns in groups.items()]
+    return df.agg(F.count("*").alias("rows"), *sums)
+
+
+def digests(df: DataFrame, groups: dict[str, Sequence[str]] | None = None) -> dict[str, dict[str, Any]]:
+    """content_digest() as a manifest has it; each column is a group by itself
+    where none are named, so a difference names its column, and all columns one."""
+    groups = groups or {c: [c] for c in df.columns} | {"(row)": df.columns}
+    names = {f"g{i}": list(columns) for i, columns in enumerate(groups.values())}
+    row = content_digest(df, names).first()
+    return {k: {"columns": list(columns), "sum": row[f"g{i}"]} for i, (k, columns) in enumerate(groups.items())}
+
+
+def stale_content(spark: SparkSession, committed: str, fresh: str) -> list[str]:
+    """What differs in content between two artefacts, whatever their files: rows,
+    schema, and the columns whose values are not the same."""
+    a, b = spark.read.parquet(committed), spark.read.parquet(fresh)
+    out = schema_differences(described(a), described(b))
+    if out:
+        return out
+    x, y = digests(a), digests(b)
+    return [f"content of {k}" for k in x if x[k] != y[k]]
+
+
 def json_lines_file(rows: list[dict[str, Any]], path: str) -> None:
     """Records as one compressed file of JSON lines, by way of a temporary file
     and a rename: for results small enough for the driver."""

@@ -212,5 +212,5 @@ def test_census_by_values(spark):
 
 def test_landing_change(zone, tmp_path):
     assert landing_changed(zone, str(tmp_path / "none.json"))
-    path = sinks.report(str(tmp_path / "r"), "run", {"files_read": 2})
+    path = sinks.report(str(tmp_path / "r"), "run", {"files_on_disk": 2})
     assert not landing_changed(zone, path)
