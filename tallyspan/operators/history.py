@@ -13,7 +13,8 @@ from tallyspan.functions.columns import OPENING, surrogate_key
 def versions(states: DataFrame, key: str, since: str, attributes: Sequence[str]) -> DataFrame:
     """(sk, key, attributes, valid_from, valid_to, is_current) from one row per
     key and time. The first version opens at the sentinel, each ends where the
-    next begins, the last is open."""
+    next begins, the last is open. Each state is a version, also one that changed
+    nothing."""
     order = Window.partitionBy(key).orderBy(since)
     opening = F.lit(OPENING).cast("timestamp_ntz")
     start = F.when(F.lag(since).over(order).isNull(), opening).otherwise(F.col(since))

@@ -143,16 +143,18 @@ def _carried(facts: DataFrame, v: DataFrame, key: str, at: str, keep: Sequence[s
 
 def number_keys(df: DataFrame, key: str, out: str) -> DataFrame:
     """Dense numbers of a key in its order, from 1; rows with a null key stay and
-    have none. Only distinct keys meet in one place, and of these only the count
-    of each range: ranges are numbered apart and shifted by the ranges before.
-    Ranges are drawn by a sample, so they are settled before anything counts."""
+    have none, apart from the join, where all of them would meet in one task. Only
+    distinct keys meet in one place, and of these only the count of each range:
+    ranges are numbered apart and shifted by the ranges before. Ranges are drawn by
+    a sample, so they are settled before anything counts."""
     keys = in_ranges(df.select(key).where(F.col(key).isNotNull()).distinct(), key)
     sizes = keys.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shifts = sizes.select("_part", before.alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(key))
-    numbered = keys.withColumn("_in", inside).join(shifts, "_part").select(key, (F.col("_before") + F.col("_in")).cast("long").alias(out))
-    return df.join(numbered, key, "left")
+    numbered = keys.withColumn("_in", inside).join(shifts, "_part").select(F.col(key).alias("_key"), (F.col("_before") + F.col("_in")).cast("long").alias(out))
+    met = df.where(F.col(key).isNotNull()).join(numbered, F.col(key) == F.col("_key")).drop("_key")
+    return met.unionByName(df.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast("long")))
 
 
 def missing_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

@@ -341,13 +341,14 @@ def existence_flag(spark, sf_dir):
 UNION ALL SELECT 'accepted:lang', 'error', count(*) FILTER (WHERE lang NOT IN ('en', 'de'))::BIGINT FROM documents
 UNION ALL SELECT 'range:n_chars', 'warn', count(*) FILTER (WHERE n_chars < 100 OR n_chars > 5000)::BIGINT FROM documents
 UNION ALL SELECT 'unique:text', 'error', count(*)::BIGINT FROM (SELECT text FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1)
+UNION ALL SELECT 'unique:doc_id', 'error', count(*)::BIGINT FROM (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING count(*) > 1)
 UNION ALL SELECT 'references:doc_id', 'error', count(*)::BIGINT FROM documents WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)""")
 def data_checks(spark, sf_dir):
     docs, labels = T.read(spark, sf_dir, "documents"), T.read(spark, sf_dir, "labels")
     met = docs.join(labels, "doc_id", "left")
     checks = [quality.not_null("quality"), quality.accepted("lang", ["en", "de"]), quality.in_range("n_chars", 100, 5000, severity="warn")]
-    # One label per document at most, so the join keeps every row once.
-    return quality.row_checks(met, checks).unionByName(quality.unique(docs, "text")).unionByName(quality.references(docs, "doc_id", labels, "doc_id"))
+    # A second label would count its document twice, so that is a check by itself.
+    return quality.row_checks(met, checks).unionByName(quality.unique(labels, "doc_id")).unionByName(quality.unique(docs, "text")).unionByName(quality.references(docs, "doc_id", labels, "doc_id"))
 
 
 @query("""SELECT 'lineitem_rows' AS "check", count(*)::BIGINT AS n FROM lineitem HAVING count(*) <> 13
