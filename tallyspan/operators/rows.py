@@ -50,10 +50,11 @@ def as_of(facts: DataFrame, versions: DataFrame, *, key: str, version_key: str,
     Versions of a key may overlap (a fact has a row for each), but not in a key
     that crowds, which is an error. Null keys and times find nothing."""
     v = versions.select(F.col(version_key).alias("_key"), *keep, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"))
-    cuts = settled(bucket_cuts(v, few, crowd))
+    many = settled(many_versions(v, few))
     inside = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
-    if cuts.isEmpty():
+    if many.isEmpty():
         return facts.join(v, (F.col(key) == F.col("_key")) & inside).drop("_key", "_from", "_to")
+    cuts = settled(bucket_cuts(v, few, crowd, many))
     by_bucket = bucketed_facts(facts, cuts, key=key, at=at)
     crowded = not cuts.where("_crowded").isEmpty()
     if crowded:
@@ -77,14 +78,21 @@ def _bucket(at: Column) -> Column:
     return F.least(F.col("_last"), F.greatest(F.lit(0).cast("long"), F.floor((_micros(at) - F.col("_lo")) / F.col("_width")).cast("long") + 1))
 
 
-def bucket_cuts(v: DataFrame, few: int, crowd: int) -> DataFrame:
+def many_versions(v: DataFrame, few: int) -> DataFrame:
+    """(_key, _n, _lo, _hi) of the keys with more than few versions, the first of
+    which ends at _lo, and the last of which begins at _hi."""
+    ends = F.min(_micros(F.col("_to"))).alias("_lo"), F.max(_micros(F.col("_from"))).alias("_hi")
+    return v.groupBy("_key").agg(F.count("*").alias("_n"), *ends).where((F.col("_n") > few) & F.col("_key").isNotNull() & F.col("_lo").isNotNull())
+
+
+def bucket_cuts(v: DataFrame, few: int, crowd: int, many: DataFrame | None = None) -> DataFrame:
     """(_key, _lo, _width, _last, _crowded) of the keys with more than few
     versions: where their buckets begin, how wide they are, the last one's number,
     and whether one of them holds more than crowd versions. A key whose versions
     overlap has wider buckets, so that versions are still in three at most on
     average."""
-    n = v.groupBy("_key").agg(F.count("*").alias("_n"), F.min(_micros(F.col("_to"))).alias("_lo"), F.max(_micros(F.col("_from"))).alias("_hi")).where((F.col("_n") > few) & F.col("_key").isNotNull())
-    n = n.select("_key", "_n", "_lo", ((F.greatest("_hi", F.col("_lo") + 1) - F.col("_lo")) / F.col("_n")).alias("_width"), F.col("_n").alias("_last")).where("_lo is not null")
+    n = many if many is not None else many_versions(v, few)
+    n = n.select("_key", "_n", "_lo", ((F.greatest("_hi", F.col("_lo") + 1) - F.col("_lo")) / F.col("_n")).alias("_width"), F.col("_n").alias("_last"))
     spread = v.join(n, "_key").groupBy("_key").agg(F.sum(_last_bucket() - _bucket(F.col("_from")) + 1).alias("_cells"))
     wider = F.greatest(F.lit(1.0), F.col("_cells") / (3 * F.col("_n")))
     cuts = n.join(spread, "_key").select("_key", "_lo", (F.col("_width") * wider).alias("_width"), F.ceil(F.col("_last") / wider).alias("_last"))
