@@ -153,7 +153,8 @@ class Bitmap:
 @shipped
 def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """df without the rows whose id is in ids (column of that name). Rows surely
-    outside are not shuffled; the rest meet the ids in an exact anti-join."""
+    outside are not shuffled; the rest meet the ids in an exact anti-join. Rows of a
+    null id stay, null ids take nothing out; of repeated rows all stay or go."""
     gone = written(ids.select(column).where(F.col(column).isNotNull()).distinct(), "gone")
     bitmap = Bitmap(gone, column)
     return bitmap.split(df, False).union(bitmap.split(df, True).join(gone, column, "left_anti").select(*df.columns))
@@ -189,7 +190,9 @@ def give_back() -> None:
 def smallest_hashes(df: DataFrame, key: str, most: int, rows: int | None = None) -> DataFrame:
     """The ``most`` rows of least hash of key (ties by key), from df of ``rows``
     rows (counted where not given). Rows above a hash below which nearly all of
-    the sought lie are left out first, so few rows of each task meet in one."""
+    the sought lie are left out first, so few rows of each task meet in one. Null
+    keys hash alike and sort first among equals; of rows with one key any may be
+    the last; fewer rows than ``most``: all."""
     n = df.count() if rows is None else rows
     h = F.xxhash64(key)
     share = (most + 8 * most**0.5 + 64) / max(n, 1)
@@ -212,7 +215,9 @@ def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> list:
 
 def join_unique(df: DataFrame, other: DataFrame, key: str, hot: list, how: str = "inner") -> DataFrame:
     """df joined with other, which has one row for each key. Rows of hot keys
-    stay where they are, as the few rows of other that they meet are broadcast."""
+    stay where they are, as the few rows of other that they meet are broadcast.
+    Null keys meet nothing (a left join keeps their rows); repeated rows of df each
+    meet the one row of their key."""
     if not hot:
         return df.join(other, key, how)
     few = F.coalesce(F.col(key).isin(hot), F.lit(False))
