@@ -17,6 +17,11 @@ moves up, and sequences cut the rounds where they come to lie.
 
 When targets differ from what the queues hold, the run falls into phases: one
 ends when a targeted queue is empty, and the rest share what it no longer takes.
+Towards the end, where few queues are left, windows are of these alone. Targets
+are brought to whole rates, each within 0.5 % of its weight, and queues end at
+ticks of these rates. Sums over queues then give the place of any quantum, so what
+the driver and each task hold is a few numbers for each source, of 64 bits at up
+to 2^50 quanta (2.8 * 10^17 tokens in quanta of 256).
 
 Stage 1 tokenizes each document once and writes its ids (two bytes each) with
 its place within (partition, source). Stage 2 adds the sums of earlier
@@ -133,58 +138,99 @@ def _tokenize(name: str, end_id: int):
     return run
 
 
+#: Quanta that one run can hold: below it, floors of products over sums are exact.
+MOST_QUANTA = 1 << 50
+
+
+def whole_rates(weights: np.ndarray) -> np.ndarray:
+    """Integers in the proportion of the weights, each within 0.5 %: the smallest
+    of a hundred scales that has it. A weight above zero has at least 1; those below
+    2^-40 of all weights together count as much as that."""
+    some = weights[weights > 0]
+    if not len(some):
+        return np.zeros(len(weights), dtype=np.int64)
+    most = (1 << 40) / some.sum()
+    for times in range(1, 101):
+        exact = weights * min(times / some.min(), most)
+        whole = np.where(weights > 0, np.maximum(1, np.rint(exact)), 0)
+        if (abs(whole - exact) <= 0.005 * exact).all():
+            break
+    return whole.astype(np.int64)
+
+
+def floor_share(x: np.ndarray, part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """floor(x * part / whole) for 0 <= x, part <= whole < 2^50. The quotient of
+    floating point is off by one at most, and its remainder, taken modulo 2^64, says
+    by how much."""
+    q = (x.astype(np.float64) * part / whole).astype(np.int64)
+    return q + (x * part - q * whole) // whole
+
+
 class Credit:
-    """What each queue has spent after h quanta; see the module's text. Arrays of
-    queues for each phase: one, and one for each targeted queue."""
+    """What each queue has spent after h quanta; see the module's text.
+
+    A targeted queue spends its rate, a whole number, at every tick until it ends;
+    the last tick may find less. So queues are placed by the tick at which they end,
+    untargeted ones last, and what the queues of any run of places take between two
+    ticks follows from sums over places of totals and of rates. These sums, and a
+    few numbers for each tick at which queues end, are all that is kept: memory and
+    time are linear in queues."""
 
     def __init__(self, totals: list[int], weights: list[float] | None = None) -> None:
-        self.total = sum(totals)
-        self.kind = np.int64 if self.total < 3_000_000_000 else object
-        begins, before, takes = [], [], []
-        spent, left, at = [0] * len(totals), list(totals), 0
-        while any(left):
-            live = [i for i, x in enumerate(left) if x]
-            share = [0.0] * len(totals)
-            for i in live:
-                share[i] = (weights[i] if weights else totals[i]) or 0.0
-            if weights is None or not sum(share):
-                take = list(left)
-            else:
-                scale = min(left[i] / share[i] for i in live if share[i])
-                take = [min(left[i], int(share[i] * scale)) for i in range(len(totals))]
-                ended = min((i for i in live if share[i]), key=lambda i: left[i] / share[i])
-                take[ended] = left[ended]
-            begins.append(at)
-            before.append(spent)
-            takes.append(take)
-            spent = [a + b for a, b in zip(spent, take)]
-            left = [a - b for a, b in zip(left, take)]
-            at += sum(take)
-        self.queues = len(totals)
-        self.begins = np.array(begins or [0], dtype=self.kind)
-        self.before = np.array(before or [[0] * len(totals)], dtype=self.kind)
-        sums = lambda rows: np.array([[0, *row] for row in rows], dtype=self.kind).cumsum(1)
-        self.sums, self.ahead = sums(takes or [[0] * len(totals)]), sums(self.before.tolist())
+        self.total, self.queues = sum(totals), len(totals)
+        if self.total >= MOST_QUANTA or self.total * (self.queues + 1) >= 1 << 63:
+            raise ValueError(f"{self.total} quanta of {self.queues} queues: pack them in parts, or with longer quanta")
+        size = np.array(totals, dtype=np.int64)
+        rate = whole_rates(np.array([0.0] * len(totals) if weights is None else weights, dtype=np.float64))
+        ends = np.maximum(1, -(-size // np.maximum(rate, 1))) * (rate > 0)
+        ends = np.where(rate > 0, ends, ends.max(initial=0) + 1)
+        order = np.argsort(ends, kind="stable")
+        self.place = np.empty(len(order), dtype=np.int64)
+        self.place[order] = np.arange(len(order))
+        sums = lambda x: np.concatenate([np.zeros(1, np.int64), np.cumsum(x[order])])
+        self.sizes, self.rates = sums(size), sums(rate)
+        self.until, self.low = np.unique(ends[order], return_index=True) if totals else (np.ones(1, np.int64), np.zeros(1, np.int64))
+        self.high = np.append(self.low[1:], len(order))
+        self.since = np.append(0, self.until[:-1])
+        self.begins = self._before(np.arange(len(self.low)), np.full(len(self.low), self.queues))
+        self.takes = self._taken(np.arange(len(self.low)), np.full(len(self.low), self.queues))
+
+    def _before(self, phase: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Quanta that the queues of the first ``at`` places have spent before a phase."""
+        low = self.low[phase]
+        return self.sizes[np.minimum(at, low)] + self.since[phase] * (self.rates[np.maximum(at, low)] - self.rates[low])
+
+    def _taken(self, phase: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Quanta that the queues of the first ``at`` places take in a phase."""
+        low, high, since = self.low[phase], self.high[phase], self.since[phase]
+        end = np.minimum(np.maximum(at, low), high)
+        ending = self.sizes[end] - self.sizes[low] - since * (self.rates[end] - self.rates[low])
+        return ending + (self.until[phase] - since) * (self.rates[np.maximum(at, high)] - self.rates[high])
 
     def spent(self, queue: int | np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(quanta of the queue, quanta of the queues before it) among the first h."""
-        h = np.asarray(h, dtype=self.kind)
-        queue = np.broadcast_to(queue, h.shape)
+        """(quanta of the queue, quanta of the queues placed before it) among the first h."""
+        h = np.asarray(h, dtype=np.int64)
+        if not self.queues:
+            return h * 0, h * 0
+        at = self.place[np.broadcast_to(queue, h.shape)]
         phase = np.searchsorted(self.begins, h, "right") - 1
-        x, ahead = np.minimum(h - self.begins[phase], self.sums[phase, -1]), self.ahead[phase, queue]
+        x, ahead = np.minimum(h - self.begins[phase], self.takes[phase]), self._before(phase, at)
+        own = self._before(phase, at + 1) - ahead
         lo, hi = np.zeros(h.shape, np.int64), np.full(h.shape, self.queues)
+        below, above = np.zeros(h.shape, np.int64), self.takes[phase]
         while (hi - lo > 1).any():
             mid = np.where(hi - lo > 1, (lo + hi) // 2, hi)
-            base = self.sums[phase, lo]
-            y = x * (self.sums[phase, mid] - base) // np.maximum(self.sums[phase, hi] - base, 1)
-            left = queue < mid
+            middle = self._taken(phase, mid)
+            y = floor_share(x, middle - below, np.maximum(above - below, 1))
+            left = at < mid
             ahead, x = np.where(left, ahead, ahead + y), np.where(left, y, x - y)
             lo, hi = np.where(left, lo, mid), np.where(left, mid, hi)
-        return self.before[phase, queue] + x, ahead
+            below, above = np.where(left, below, middle), np.where(left, middle, above)
+        return own + x, ahead
 
     def window(self, queue: int | np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
         """The round of ``length`` quanta that holds the queue's quantum at a position."""
-        at = np.asarray(at, dtype=self.kind)
+        at = np.asarray(at, dtype=np.int64)
         lo = at * 0
         hi = at * 0 + (self.total - 1) // length
         while (lo < hi).any():
@@ -202,32 +248,41 @@ class Layout:
         self.tokens = tokens
         units = [-(-n // self.quantum) for n in tokens]
         self.credit = Credit(units, weights)
-        self.kind = np.int64 if sum(tokens) < 1 << 40 else object
         # Rounds in which queues end on a quantum that is short, and by how much.
-        short = [i for i, n in enumerate(tokens) if n % self.quantum]
-        ends = self.credit.window(np.array(short, dtype=np.int64), np.array([units[i] - 1 for i in short], dtype=self.credit.kind), self.runs) if short else []
-        order = sorted(zip(map(int, ends), short))
-        self.lacks_at = np.array([r * (len(tokens) + 1) + q for r, q in order], dtype=self.kind)
-        self.lacks = np.array([0, *np.cumsum([self.quantum - tokens[q] % self.quantum for _, q in order], dtype=np.int64)], dtype=self.kind)
+        short = np.array([i for i, n in enumerate(tokens) if n % self.quantum], dtype=np.int64)
+        ends = self.credit.window(short, np.array([units[i] - 1 for i in short], dtype=np.int64), self.runs)
+        keys = ends * (len(tokens) + 1) + self.credit.place[short]
+        order = np.argsort(keys)
+        self.lacks_at = keys[order]
+        self.lacks = np.append(0, np.cumsum([self.quantum - tokens[q] % self.quantum for q in short[order]], dtype=np.int64))
 
     def pieces(self, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """(row, first token, end, place in the stream) of the pieces of documents
         that lie at ``first`` in their queues, in order, cut at ends of sequences."""
         q, runs, credit = self.quantum, self.runs, self.credit
-        r0 = credit.window(queue, first // q, runs)
-        many = (credit.window(queue, (first + n - 1) // q, runs) - r0 + 1).astype(np.int64)
+        q0, q1 = first // q, (first + n - 1) // q
+        r0, r1 = credit.window(queue, q0, runs), credit.window(queue, q1, runs)
+        # The rounds in which a document may lie: those from its first to its last,
+        # or, where its queue comes up more rarely, those of its quanta.
+        rare = r1 - r0 > q1 - q0
+        many = np.where(rare, q1 - q0, r1 - r0) + 1
         row = np.repeat(np.arange(len(n)), many)
-        rnd = r0[row] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        rnd, seldom = r0[row] + step, np.flatnonzero(rare[row])
+        rnd[seldom] = credit.window(queue[row[seldom]], q0[row[seldom]] + step[seldom], runs)
+        fresh = np.ones(len(row), dtype=bool)
+        fresh[1:] = (row[1:] != row[:-1]) | (rnd[1:] != rnd[:-1])
+        row, rnd = row[fresh], rnd[fresh]
         own0, before0 = credit.spent(queue[row], rnd * runs)
         own1, before1 = credit.spent(queue[row], np.minimum((rnd + 1) * runs, credit.total))
         low, high = np.maximum(first[row], own0 * q), np.minimum(first[row] + n[row], own1 * q)
-        lacking = self.lacks[np.searchsorted(self.lacks_at, np.asarray(rnd * (len(self.tokens) + 1) + queue[row], dtype=self.kind))]
+        lacking = self.lacks[np.searchsorted(self.lacks_at, rnd * (len(self.tokens) + 1) + credit.place[queue[row]])]
         place = (rnd * runs + before1 - before0 - own0) * q - lacking + low
-        some = np.asarray(high > low, dtype=bool)
+        some = high > low
         row, low, high, place = row[some], low[some], high[some], place[some]
         # Runs of one document that follow each other are one.
         new = np.ones(len(row), dtype=bool)
-        new[1:] = (row[1:] != row[:-1]) | np.asarray(place[1:] != (place + high - low)[:-1], dtype=bool)
+        new[1:] = (row[1:] != row[:-1]) | (place[1:] != (place + high - low)[:-1])
         begin = np.flatnonzero(new)
         row, low, place, high = row[begin], low[begin], place[begin], high[np.append(begin[1:], len(new)) - 1] if len(begin) else high
         s0 = place // self.length
@@ -245,7 +300,7 @@ def _cut(layout: Layout, kind: str):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            queue, first, n = (np.asarray(batch.column(c).to_pylist(), dtype=k) for c, k in (("queue", np.int64), ("first", layout.kind), ("n", np.int64)))
+            queue, first, n = (np.asarray(batch.column(c).to_pylist(), dtype=k) for c, k in (("queue", np.int64), ("first", np.int64), ("n", np.int64)))
             row, low, high, seq, off = layout.pieces(queue, first, n)
             ids, crc, last, data = batch.column("ids"), [], -1, b""
             for i, a, b in zip(row.tolist(), low.tolist(), high.tolist()):
@@ -288,8 +343,8 @@ def pack(
     targets: weight by source, or a function that gives it; sources without one
     weigh nothing until the targeted are used up. None: the sources' own shares,
     so that all queues end together and every window is a sample of the whole.
-    Every source has a queue of its own; the driver and the tasks keep a number
-    for each source, and one for each source and target. Where ``most_queues`` is
+    Every source has a queue of its own; the driver and the tasks keep some
+    numbers for each source. Where ``most_queues`` is
     given, all sources but the targeted and the ``most_queues`` - 1 largest share
     the last queue; no row is left out.
     """

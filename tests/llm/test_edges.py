@@ -142,13 +142,72 @@ def test_credit_shares_every_window():
     assert abs(spent[1][0] - 60) < 3 and list(spent[:, 2]) == [1000, 1000, 50]
 
 
-def test_big_integers_agree():
-    from tallyspan.llm.packing import Credit
+def test_big_totals_stay_in_64_bits():
+    """Beyond 10^14 quanta: the places of Python's integers, by the same rule."""
+    from fractions import Fraction
+
+    from tallyspan.llm.packing import Credit, floor_share, whole_rates
+
+    big = Credit([700 * 10**11, 300 * 10**11])
+    assert big.spent(0, np.array([10**14]))[0].dtype == np.int64 and big.spent(0, np.array([10**14]))[0][0] == 700 * 10**11
+    assert big.window(1, np.array([300 * 10**11 - 1]), 2048)[0] == (10**14 - 1) // 2048
+    assert Credit([700, 300]).window(0, np.array([0, 699]), 100).tolist() == [0, 9]
+    rng = np.random.default_rng(1)
+    whole = rng.integers(1, 1 << 50, 20_000)
+    x, part = (rng.random((2, 20_000)) * whole).astype(np.int64)
+    part[:100] = whole[:100]
+    assert floor_share(x, part, whole).tolist() == [int(Fraction(int(a) * int(b), int(c))) for a, b, c in zip(x, part, whole)]
+    goal = Credit([3 * 10**13, 10**13, 5], [1.0, 3.0, 0.0])
+    h = np.array([4 * 10**12, 13333333333336, 10**13 + 10**13 // 3 + 30, 4 * 10**13 + 5])
+    assert np.allclose(goal.spent(1, h)[0], [3 * 10**12, 10**13, 10**13, 10**13], atol=9) and goal.spent(2, h)[0].tolist() == [0, 0, 0, 5]
+    assert whole_rates(np.array([4.0, 0.0, 3.0, 1.5])).tolist() == [8, 0, 6, 3] and whole_rates(np.zeros(2)).tolist() == [0, 0]
+    with pytest.raises(ValueError):
+        Credit([1 << 50])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pieces_of_targeted_queues_are_the_turns_of_their_quanta(seed):
+    """Against all turns in a list: who is served at each quantum, from spent()
+    alone; every token once, without gaps, rare and used-up queues as well."""
+    from tallyspan.llm.packing import Layout
+
+    rng = np.random.default_rng(seed)
+    tokens = [int(x) for x in rng.choice([1, 3, 40, 700, 2000], 30)]
+    weights = [float(x) for x in rng.choice([0.0, 0.01, 1.0, 2.5, 80.0], 30)]
+    layout = Layout(tokens, weights, 64, 8)
+    h = np.arange(layout.credit.total + 1)
+    spent = np.stack([layout.credit.spent(q, h)[0] for q in range(30)])
+    assert (spent.sum(0) == h).all() and (np.diff(spent, axis=1) >= 0).all()
+    stream, seen = [], [0] * 30
+    for a in range(0, layout.credit.total, 8):
+        for q in np.argsort(layout.credit.place):
+            n = min(int(spent[q, min(a + 8, layout.credit.total)]) * layout.quantum, tokens[q]) - seen[q]
+            stream += [(int(q), seen[q] + i) for i in range(n)]
+            seen[q] += n
+    cuts = [(q, a, min(n, a + int(rng.integers(1, 300)))) for q, n in enumerate(tokens) for a in range(0, n, 300)]
+    cuts = [(q, a, b - a) for q, a, b in cuts] + [(q, b, min(n, a + 300) - b) for (q, a, b), n in ((c, tokens[c[0]]) for c in cuts) if min(n, a + 300) > b]
+    queue, first, n = (np.array(x, dtype=np.int64) for x in zip(*cuts))
+    got = {}
+    for row, low, high, seq, off in zip(*(x.tolist() for x in layout.pieces(queue, first, n))):
+        for i in range(high - low):
+            got[seq * 64 + off + i] = (cuts[row][0], cuts[row][1] + low + i)
+    assert [got[i] for i in range(len(got))] == stream
+
+
+def test_twenty_thousand_targeted_sources():
+    """What a task holds is some numbers for each source, and shares are kept."""
+    import pickle
+
+    from tallyspan.llm.packing import Layout
 
-    small, big = Credit([700, 300]), Credit([700 * 10**12, 300 * 10**12])
-    assert big.kind is object and big.spent(0, np.array([10**15], dtype=object))[0][0] == 700 * 10**12
-    assert big.window(1, np.array([300 * 10**12 - 1], dtype=object), 2048)[0] == (10**15 - 1) // 2048
-    assert small.window(0, np.array([0, 699]), 100).tolist() == [0, 9]
+    rng = np.random.default_rng(2)
+    tokens = ((rng.pareto(1.1, 20_000) * 1e6).astype(np.int64) + 5_000_000).tolist()
+    weights = [1.0 + i % 4 for i in range(20_000)]
+    layout = Layout(tokens, weights, 2048, 8)
+    assert len(pickle.dumps(layout)) < 2_000_000
+    h = np.array([layout.credit.begins[1] // 2])
+    for q in (0, 1, 777, 19_999):
+        assert abs(layout.credit.spent(q, h)[0][0] - h[0] * weights[q] / sum(weights)) < 16
 
 
 # --- URL lists
