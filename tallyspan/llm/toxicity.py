@@ -2,16 +2,19 @@
 
 P(grade > k) = sigmoid(w . x - theta_k): one weight vector for all thresholds
 theta_1 <= theta_2 <= ...; x holds the presence of single words and steps of
-their share of the text. The expected severity is the sum of P(grade > k).
+the share of marked words in the text. The expected severity is the sum of
+P(grade > k).
 
-The vocabulary are words that stand out in toxic texts (log odds and their z
-value, counted over the sample), at most ``most_terms`` of them, of highest z.
+The vocabulary are at most ``most_terms`` words, for toxic texts or for clean ones,
+under a ridge. The first of them, the marked words, stand out in toxic texts (log
+odds and their z value, counted over the sample); the others are those of
+``least_docs`` texts or more whose odds differ most surely, z of either sign.
 
 Where labels have a column of grades, these are fitted. Labels that only say toxic
-or not get their grades out of fold: the sample is dealt to two folds, each has a
-vocabulary of its own, and a toxic text is of grade 2 where the share of its words
-that the *other* fold's vocabulary holds is above the median of toxic texts, of
-grade 1 else. So no text has a hand in the words that grade it, and the features
+or not get their grades out of fold: the sample is dealt to two folds, each has
+marked words of its own, and a toxic text is of grade 2 where the share of its words
+that the *other* fold marks is above the median of toxic texts, of grade 1 else. So
+no text has a hand in the words that grade it, and the features
 that are fitted to its grade come from another vocabulary. Clean texts are of
 grade 0.
 
@@ -21,15 +24,15 @@ text is scored, whole, in one pass without a shuffle.
 
 Edge cases. Null or empty text: no features, scored by the thresholds alone.
 Repeated ids: each row is scored; with several labels the row that is more toxic
-counts. No labels, or of one kind only: nothing is toxic, severity 0. Ties: words
-of equal z by their bytes, shares equal to the median are of grade 1, labels of
-equal hash by id. Long texts are read whole. Other columns are ignored.
+counts. No labels, or of one kind only, or no marked words: nothing is toxic,
+severity 0. Ties: words of equal z by their bytes, shares equal to the median are
+of grade 1, labels of equal hash by id. Long texts are read whole. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,7 +45,7 @@ from tallyspan.llm.common import as_bytes, shipped, smallest_hashes, thrifty, wr
 SCORES = "doc_id long, severity int, expected_severity double, p_toxic double, toxic boolean, n_words long"
 #: Words are runs of letters, digits and non-ASCII bytes, A-Z lowered.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256))
-#: Shares of vocabulary words from which each step feature is on.
+#: Shares of marked words from which each step feature is on.
 SHARES = (0.0005, 0.002, 0.005, 0.01, 0.03)
 
 
@@ -55,12 +58,15 @@ class Model:
     vocabulary: dict[bytes, int]
     weights: np.ndarray
     thresholds: np.ndarray
+    #: How many words, the first, are marked; None: all.
+    marked: int | None = None
 
     def features(self, found: list[bytes]) -> list[int]:
         hits = [i for i in map(self.vocabulary.get, found) if i is not None]
         if not hits:
             return []
-        share = len(hits) / len(found)
+        marked = len(hits) if self.marked is None else sum(i < self.marked for i in hits)
+        share = marked / len(found)
         return [*sorted(set(hits)), *(len(self.vocabulary) + k for k, s in enumerate(SHARES) if share >= s)]
 
     def above(self, features: list[int]) -> np.ndarray:
@@ -68,12 +74,12 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - self.weights[features].sum(), -50, 50)))
 
 
-def fit_cumulative_link(rows: list[list[int]], grades: np.ndarray, n_features: int, *, ridge: float = 0.02, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_cumulative_link(rows: Sequence[Sequence[int]], grades: np.ndarray, n_features: int, *, ridge: float = 0.02, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by gradient ascent of the penalised log
     likelihood (Adam), on rows of active feature numbers."""
     top = int(grades.max(initial=0))
     n, at = len(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    cols = np.fromiter((c for r in rows for c in r), dtype=np.int64, count=len(at))
+    cols = np.concatenate([np.zeros(0, np.int64), *[np.asarray(r, dtype=np.int64) for r in rows]])
     base = [np.clip((grades > k).mean(), 1e-4, 1 - 1e-4) for k in range(top)]
     theta = np.log((1 - np.array(base)) / np.array(base))
     params = np.concatenate([np.zeros(n_features), [theta[0]], np.log(np.maximum(np.diff(theta), 1e-3))])
@@ -129,13 +135,18 @@ def sample(docs: DataFrame, labels: DataFrame, most_labels: int, grade: str | No
     return written(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic", fold, "grade"), "toxicity-sample")
 
 
-def _standing_out(counts: DataFrame, folds: range, clean: int, toxic: int, most_terms: int, least_z: float, least_odds: float, least_share: float) -> list[bytes]:
-    """Words of toxic texts of some folds, by falling z value."""
+def _terms(
+    counts: DataFrame, folds: range | list[int], clean: int, toxic: int, most_terms: int, least_z: float, least_odds: float, least_share: float, least_docs: int
+) -> list[tuple[bytes, bool]]:
+    """(word, whether it is marked) over some folds, marked words first, by falling
+    size of z; at most most_terms."""
     c, t = (sum(F.col(f"n{f}{k}") for f in folds) + 0.5 for k in (0, 1))
     odds = F.log(t / (F.lit(toxic + 1.0) - t)) - F.log(c / (F.lit(clean + 1.0) - c))
     spread = F.sqrt(1 / t + 1 / c + 1 / (F.lit(toxic + 1.0) - t) + 1 / (F.lit(clean + 1.0) - c))
-    known = counts.where(t >= max(3.0, least_share * toxic) + 0.5).select("term", odds.alias("odds"), (odds / spread).alias("z"))
-    return [bytes(r["term"]) for r in known.where((F.col("z") >= least_z) & (F.col("odds") >= least_odds)).orderBy(F.desc("z"), "term").limit(most_terms).collect()]
+    z = odds / spread
+    marked = (t >= max(3.0, least_share * toxic) + 0.5) & (z >= least_z) & (odds >= least_odds)
+    known = counts.select("term", marked.alias("marked"), F.abs(z).alias("z")).where(F.col("marked") | (t + c >= least_docs + 1.0))
+    return [(bytes(r["term"]), r["marked"]) for r in known.orderBy(F.desc("marked"), F.desc("z"), "term").limit(most_terms).collect()]
 
 
 @shipped
@@ -149,9 +160,10 @@ def fit(
     least_z: float = 3.0,
     least_odds: float = 3.0,
     least_share: float = 0.01,
+    least_docs: int = 5,
 ) -> Model:
     """The model from labels (doc_id, toxic, and the column ``grade`` names) and
-    docs (doc_id, text). A term must occur in least_share of the toxic texts,
+    docs (doc_id, text). A marked word must occur in least_share of the toxic texts,
     which keeps out the chance words of single texts and their copies; it is low,
     as each language has terms of its own and some languages are rare."""
     rows = sample(docs, labels, most_labels, grade)
@@ -164,27 +176,29 @@ def fit(
     counts = rows.select("text", "fold", "toxic").mapInArrow(thrifty(_term_counts), "term binary, " + ", ".join(f"{x} long" for x in names))
     counts = written(counts.groupBy("term").agg(*[F.sum(x).alias(x) for x in names]), "toxicity-terms")
 
-    def vocabulary(folds) -> dict[bytes, int]:
+    def terms(folds) -> list[tuple[bytes, bool]]:
         clean, toxic = totals(folds)
-        return {w: i for i, w in enumerate(_standing_out(counts, folds, clean, toxic, most_terms, least_z, least_odds, least_share))} if clean and toxic else {}
+        return _terms(counts, folds, clean, toxic, most_terms, least_z, least_odds, least_share, least_docs) if clean and toxic else []
 
-    whole = vocabulary(range(FOLDS))
-    if not whole:
+    chosen = terms(range(FOLDS))
+    marked = sum(m for _, m in chosen)
+    if not marked:
         return none
-    others = [vocabulary([g for g in range(FOLDS) if g != f]) for f in range(FOLDS)] if grade is None else [{}] * FOLDS
+    whole = {w: i for i, (w, _) in enumerate(chosen)}
+    others = [{w for w, m in terms([g for g in range(FOLDS) if g != f]) if m} for f in range(FOLDS)] if grade is None else [set()] * FOLDS
 
     def features(batches):
-        own = Model(whole, np.zeros(0), np.zeros(0))
+        own = Model(whole, np.zeros(0), np.zeros(0), marked)
         for batch in batches:
             out, share = [], []
             for text, fold in zip(as_bytes(batch.column("text")), batch.column("fold").to_pylist()):
                 found = words(text)
-                out.append(own.features(found))
+                out.append(np.array(own.features(found), dtype=np.int32).tobytes())
                 share.append(sum(w in others[fold] for w in found) / max(1, len(found)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), batch.column("toxic"), batch.column("grade"), pa.array(share, pa.float64())], names=["x", "toxic", "grade", "share"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column("toxic"), batch.column("grade"), pa.array(share, pa.float64())], names=["x", "toxic", "grade", "share"])
 
-    got = rows.select("text", "toxic", "fold", "grade").mapInArrow(thrifty(features), "x array<int>, toxic int, grade int, share double").collect()
-    got.sort(key=lambda r: (r["toxic"], r["share"], r["grade"] or 0, r["x"]))
+    got = rows.select("text", "toxic", "fold", "grade").mapInArrow(thrifty(features), "x binary, toxic int, grade int, share double").collect()
+    got.sort(key=lambda r: (r["toxic"], r["share"], r["grade"] or 0, bytes(r["x"])))
     label = np.array([r["toxic"] for r in got])
     if grade is None:
         share = np.array([r["share"] for r in got])
@@ -192,8 +206,8 @@ def fit(
         grades = label + ((label == 1) & (share > (np.median(seen) if len(seen) else 1.0)))
     else:
         grades = np.maximum(np.array([r["grade"] or 0 for r in got]), label)
-    weights, thresholds = fit_cumulative_link([r["x"] for r in got], grades.astype(np.int64), len(whole) + len(SHARES))
-    return Model(whole, weights, thresholds)
+    weights, thresholds = fit_cumulative_link([np.frombuffer(r["x"], np.int32) for r in got], grades.astype(np.int64), len(whole) + len(SHARES))
+    return Model(whole, weights, thresholds, marked)
 
 
 @shipped

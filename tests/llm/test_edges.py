@@ -584,7 +584,8 @@ def test_toxicity(spark, docs, nothing):
         rows.append((i, " ".join(text), int(bad)))
     train = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = fit(train.drop("toxic"), train.select("doc_id", "toxic"))
-    assert set(model.vocabulary) == {b"scum"} and model.thresholds[0] <= model.thresholds[1]
+    assert list(model.vocabulary)[: model.marked] == [b"scum"] and model.thresholds[0] <= model.thresholds[1]
+    assert set(model.vocabulary) == {b"scum", *(w.encode() for w in plain)} and min(model.weights) < 0  # words of both signs
     got = {r.doc_id: r for r in score(train.select("doc_id", "text"), model).collect()}
     assert all(got[i].toxic == bool(b) for i, _, b in rows)
     assert got[0].expected_severity > got[4].expected_severity > got[1].expected_severity
@@ -681,6 +682,33 @@ def test_cumulative_link_is_at_its_optimum(top):
             assert ordinal_objective(p[:5], p[5:], rows, grades) < best + 1e-5
 
 
+def test_toxicity_vocabulary_is_that_of_plain_counts(spark):
+    """Marked words, then the words of surest odds of either sign, against counts in
+    Python; ties by bytes, no more than most_terms."""
+    from tallyspan.llm.toxicity import fit, words
+
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(rng.choice(["vile"] * (i % 3 == 0) + [f"w{k}" for k in range(60)] + ["kind"] * (3 * (i % 3 > 0)), 30)), int(i % 3 == 0)) for i in range(300)]
+    rows += [(900, "vile", None), (901, None, 0), (902, "", 1)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit(train.drop("toxic"), train.select("doc_id", "toxic"), most_terms=25)
+    count = [Counter(), Counter()]
+    for _, text, bad in rows:
+        if bad is not None:
+            count[bad].update(set(words((text or "").encode())))
+    n = [sum(b == k for _, _, b in rows) for k in (0, 1)]
+    found = []
+    for w in count[0] | count[1]:
+        c, t = count[0][w] + 0.5, count[1][w] + 0.5
+        odds = np.log(t / (n[1] + 1 - t)) - np.log(c / (n[0] + 1 - c))
+        z = odds / np.sqrt(1 / t + 1 / c + 1 / (n[1] + 1 - t) + 1 / (n[0] + 1 - c))
+        marked = t >= max(3, 0.01 * n[1]) + 0.5 and z >= 3 and odds >= 3
+        if marked or t + c - 1 >= 5:
+            found.append((not marked, -round(abs(z), 9), w))
+    assert list(model.vocabulary) == [w for _, _, w in sorted(found)[:25]]
+    assert model.marked == sum(not m for m, _, _ in found) and b"kind" in model.vocabulary and model.weights[model.vocabulary[b"kind"]] < 0
+
+
 def test_toxicity_scores_by_the_formula(spark):
     from tallyspan.llm.toxicity import SHARES, Model, fit, score
 
@@ -927,7 +955,8 @@ def test_pipeline_equals_a_plain_version(spark, sf_dir):
             for d, r in before.items():
                 w = re.findall(rb"[a-z0-9\x80-\xff]+", bytes(c + 32 if 65 <= c <= 90 else c for c in raw(r.text)))
                 hits = [model.vocabulary[x] for x in w if x in model.vocabulary]
-                on = [len(model.vocabulary) + i for i, s in enumerate(toxicity.SHARES) if hits and len(hits) / len(w) >= s]
+                marked = sum(i < model.marked for i in hits)
+                on = [len(model.vocabulary) + i for i, s in enumerate(toxicity.SHARES) if hits and marked / len(w) >= s]
                 if sum(model.weights[i] for i in {*hits, *on}) < model.thresholds[0]:
                     want.add(d)
             assert kept == want and len(want) < len(before) and model.vocabulary
