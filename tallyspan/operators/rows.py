@@ -165,6 +165,32 @@ def number_keys(df: DataFrame, key: str, out: str) -> DataFrame:
     return met.unionByName(df.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast("long")))
 
 
+def group_median(df: DataFrame, key: str, value: str, out: str = "median", accuracy: int = 10_000) -> DataFrame:
+    """(key, out): the exact median of each group, in bounded memory for groups of
+    any size; F.median holds a count of each distinct value of a group in one buffer.
+
+    A sketch of at most ``accuracy`` values a group brackets the median: of n values
+    the bounds are of ranks within 4 n / accuracy of the middle. Values below are
+    counted alone, those between by value, and only these are ranked. Values that
+    repeat cost a row each once. Nulls are no values; a group without any has a null
+    median, and a null key is a group. NaN counts as the greatest value."""
+    rows = df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
+    off = 3.0 / accuracy
+    bounds = F.percentile_approx("_v", [0.5 - off, 0.5 + off], accuracy)
+    stats = rows.groupBy("_k").agg(F.count("_v").alias("_n"), bounds.alias("_b")).select(F.col("_k").alias("_key"), "_n", F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"))
+    near = rows.join(stats, F.col("_k").eqNullSafe(F.col("_key")))
+    near = near.where("_v <= _high").withColumn("_v", F.when(F.col("_v") >= F.col("_low"), F.col("_v")))
+    counted = near.groupBy("_key", "_v").agg(F.count("*").alias("_c"), F.max("_n").alias("_n"))
+    upto = F.sum("_c").over(Window.partitionBy("_key").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("_upto", upto)
+    at = lambda rank: F.max(F.when((F.col("_upto") - F.col("_c") < rank) & (F.col("_upto") >= rank), F.col("_v")))
+    middle = ranked.groupBy("_key").agg(at(F.floor((F.col("_n") + 1) / 2)).alias("_a"), at(F.floor(F.col("_n") / 2) + 1).alias("_b"))
+    found = F.when(F.col("_a").isNull() | F.col("_b").isNull(), F.raise_error(F.lit("a median lies outside its bracket"))).otherwise((F.col("_a") + F.col("_b")) / 2)
+    medians = middle.select(F.col("_key").alias("_k"), found.alias(out))
+    groups = stats.select("_key")
+    return groups.join(medians, F.col("_key").eqNullSafe(F.col("_k")), "left").select(F.col("_key").alias(key), out)
+
+
 def missing_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Distinct keys of df that other lacks (EXCEPT; safe where NOT IN is not)."""
     return df.select(key).subtract(other.select(key))

@@ -567,6 +567,13 @@ def null_safe_disagreement(spark, sf_dir):
     return c.where(~x.eqNullSafe(F.nullif(F.col("c_nationkey") % 7, F.lit(0)))).select("c_custkey")
 
 
+@query("""SELECT l_returnflag, round(median(l_extendedprice), 3)::DOUBLE AS median_price FROM lineitem GROUP BY l_returnflag""")
+def median_of_hot_groups(spark, sf_dir):
+    """Three groups that hold all rows, with nearly as many values as rows."""
+    lines = T.read(spark, sf_dir, "lineitem")
+    return rows.group_median(lines, "l_returnflag", "l_extendedprice", "median_price").withColumn("median_price", F.round("median_price", 3))
+
+
 _DIGEST = "sum(('0x' || substr(md5({x}), 1, 15))::BIGINT)::VARCHAR"
 _TWO = "SELECT {layout} AS layout, count(*)::BIGINT AS rows, {keys} AS keys, {state} AS state FROM orders"
 _SUMS = {"keys": _DIGEST.format(x="o_orderkey::VARCHAR || chr(31) || o_custkey::VARCHAR"), "state": _DIGEST.format(x="o_orderkey::VARCHAR || chr(31) || o_orderstatus || chr(31) || o_orderpriority")}

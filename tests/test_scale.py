@@ -139,3 +139,32 @@ def test_cohort_ranks_no_whole_group(spark, sf_dir):
     shuffled = rows.sample_per_group(df, "g", "k", {"g": 1000}, seed=1)
     met = shuffled.select(F.md5(F.concat(F.lit("1|"), "k")).alias("h")).agg(F.max("h")).first()[0]
     assert df.where(F.md5(F.concat(F.lit("1|"), F.col("k").cast("string"))) <= met).count() == 1000
+
+
+def test_medians_of_groups_are_exact(spark):
+    """Small groups, one value often, ties at the middle, no values, null keys; and a
+    sketch so coarse that most values are left to it."""
+    from statistics import median
+
+    rnd = random.Random(6)
+    data = [("one", 5.0), ("two", 1.0), ("two", 4.0), ("none", None), (None, 2.0), (None, 9.0), (None, None)]
+    data += [("hot", rnd.choice([rnd.gauss(0, 1e6), 7.0])) for _ in range(20_001)] + [("same", 3.0)] * 4000 + [("steps", float(i // 2000)) for i in range(4000)]
+    data += [("few", rnd.randint(0, 9) / 4) for _ in range(999)] + [("long", rnd.expovariate(1.0) ** 9) for _ in range(10_000)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(7)
+    by = defaultdict(list)
+    for k, v in data:
+        by[k] += [] if v is None else [v]
+    want = {k: median(v) if v else None for k, v in by.items()}
+    for accuracy in (100, 10_000):
+        got = rows.group_median(df, "k", "v", accuracy=accuracy).collect()
+        assert len(got) == len(want) and {r.k: r.median for r in got} == want
+    assert rows.group_median(df.limit(0), "k", "v").count() == 0
+
+
+def test_median_ranks_few_values_of_a_hot_group(spark):
+    """Of a million values in one group, a thousandth is ranked, none in a buffer."""
+    df = spark.range(1_000_000).select(F.lit("g").alias("k"), (F.xxhash64("id") / 1e9).alias("v")).repartition(4)
+    got = rows.group_median(df, "k", "v")
+    assert got.first().median == df.select(F.median("v")).first()[0]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "median(" not in plan and "percentile(" not in plan
