@@ -9,14 +9,18 @@ follows edit distance rather than overlap.
 One permutation serves all signatures. A k-mer's hash has a bin (one for each
 signature) and an offset; signature j takes the least offsets of bin j, and goes
 on to the next bins, round the end, where bin j has too few. A first occurrence
-stands in the bin of its hash, the c-th further one in a bin that is hashed from
-the k-mer and c; the offset is that of the k-mer.
-
-As an offset does not depend on the occurrence, k-mers of large offsets can be
-left aside before anything is sorted: in a text of many k-mers only those below
+stands at the bin and offset of its k-mer's hash. The c-th further one has a hash
+of its own, of the k-mer and c: its bin is of that hash, and its offset is that
+hash's or the k-mer's, whichever is larger. So the occurrences of one k-mer are
+spread over offsets, and a text that repeats a line is not signed by the one
+k-mer of least offset alone.
+
+As no occurrence has a lesser offset than its k-mer, k-mers of large offsets can
+be left aside before anything is sorted: in a text of many k-mers only those below
 an offset that leaves about ``spare`` to each bin are sorted and numbered. Where
-some bin is then short of k-mers, as in a text that repeats itself, all k-mers of
-the text are sorted and numbered instead. So the result is that of all k-mers.
+some bin then has too few below that offset, as in a text that repeats itself,
+all k-mers of the text are sorted and numbered instead. So the result is that of
+all k-mers.
 
 All is done by array functions within a row. A long value holds 33 bits of hash
 over 30 bits of place, sorts as a primitive, and a bin's begin is found by binary
@@ -72,9 +76,10 @@ def _numbered(df: DataFrame, kmers: Column, out: str, offset: int) -> DataFrame:
     df = df.withColumn(f"{out}_runs", F.when(last >= 0, starts))
     runs = F.col(f"{out}_runs")
     occurrence = F.flatten(F.transform(runs, lambda s, j: F.sequence(F.lit(1), F.coalesce(F.get(runs, j + 1), last + 1) - s)))
-    keep = F.lit((((1 << offset) - 1) << POS) | PLACE)
-    bins = (1 << (HASH - offset)) - 1
-    moved = F.zip_with(again, occurrence, lambda v, o: F.shiftleft(F.xxhash64(_key(v), o).bitwiseAND(F.lit(bins)), POS + offset).bitwiseOR(v.bitwiseAND(keep)))
+    low, high = F.lit((1 << offset) - 1), F.lit((1 << HASH) - (1 << offset))
+    own = lambda v, o: F.xxhash64(_key(v), o)
+    at = lambda v, o: own(v, o).bitwiseAND(high).bitwiseOR(F.greatest(own(v, o).bitwiseAND(low), _key(v).bitwiseAND(low)))
+    moved = F.zip_with(again, occurrence, lambda v, o: F.shiftleft(at(v, o), POS).bitwiseOR(v.bitwiseAND(F.lit(PLACE))))
     first = F.filter(ordered, lambda v, t: ~same(v, t))
     df = df.withColumn(out, F.when(last >= 0, F.sort_array(F.concat(first, moved))).otherwise(F.col(ordered)))
     return df.drop(ordered, again, f"{out}_runs")
@@ -103,7 +108,8 @@ def with_signatures(df: DataFrame, text: str, out: str, *, k: int = 6, length: i
     few = F.get(F.transform(F.array(F.shiftleft(most, POS)), lambda m: F.filter(kmers, lambda v: v.bitwiseAND(low) < m)), F.lit(0))
     df = _numbered(df, F.when(F.size(kmers) > spare * signatures, few).otherwise(F.col(kmers)), some, offset)
     df = df.withColumn(begins, _begins(some, points))
-    ends = F.zip_with(begins, points, lambda b, p: F.coalesce(F.get(some, b + (length - 1)) - p < (1 << (POS + offset)), F.lit(False)))
+    # Above the bound, values of some are not complete.
+    ends = F.zip_with(begins, points, lambda b, p: F.coalesce(F.get(some, b + (length - 1)) - p < F.shiftleft(most, POS), F.lit(False)))
     df = df.withColumn("_short", (F.size(kmers) > spare * signatures) & ~F.coalesce(F.forall(ends, lambda x: x), F.lit(False)))
     df = _numbered(df, F.when(F.col("_short"), F.col(kmers)), order, offset)
     df = df.withColumn(order, F.when(F.col("_short"), F.col(order)).otherwise(F.col(some)))
