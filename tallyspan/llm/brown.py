@@ -15,9 +15,14 @@ the end token is a token, and its class stands before the first word.
    raised the likelihood by less than ``least_gain`` of what it was.
 4. All rarer and unknown words have classes of their form (length, punctuation,
    non-ASCII), so that a class is known wherever a word is seen.
-5. Transitions are smoothed by a constant. Emissions use absolute discounting:
-   a known word has (count - D) / class tokens, and the D of each known word of
-   the class adds up to the share of its unknown word.
+5. Transitions are smoothed by the frequency of classes. Emissions use absolute
+   discounting: a known word has (count - D) / class tokens. What the D of the
+   known words leave of each class, be it exchanged or of a form, belongs to the
+   unknown word, whatever class that would have: its probability is the sum over
+   all classes of P(class | class before) times the part left of it, shared among
+   forms like the different words of training. So the probabilities of known words
+   and unknown forms add up to one after any class, at every size, and a class
+   after an unknown word is that after its form.
 
 Scoring: counts of the ``head`` most frequent words (a bound on what is
 broadcast) are looked up where the text is; rarer words of each text are joined
@@ -109,6 +114,7 @@ class Model:
     class_tokens: np.ndarray = field(default_factory=lambda: np.zeros(0))
     class_words: np.ndarray = field(default_factory=lambda: np.zeros(0))
     steps: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    form_words: np.ndarray = field(default_factory=lambda: np.zeros(FORMS))  # different words by form
 
     @property
     def head(self) -> dict[bytes, int]:
@@ -126,6 +132,17 @@ class Model:
         found[rare] = -1 - forms(words.take(pa.array(rare)))
         return found
 
+    def transitions(self, smooth: float) -> np.ndarray:
+        """P(class | class before), smoothed by P(class)."""
+        weight = smooth * self.all_classes
+        usual = (self.steps.sum(0) + smooth) / (self.steps.sum() + weight)
+        return (self.steps + weight * usual) / (self.steps.sum(1, keepdims=True) + weight)
+
+    def unknown(self, smooth: float, discount: float) -> tuple[np.ndarray, np.ndarray]:
+        """(P(unknown | class before), P(form | unknown))."""
+        left = np.where(self.class_tokens > 0, discount * self.class_words / np.maximum(self.class_tokens, 1.0), 1.0)
+        return self.transitions(smooth) @ left, (self.form_words + smooth) / (self.form_words.sum() + smooth * FORMS)
+
     def class_of(self, numbers: np.ndarray) -> np.ndarray:
         if not len(self.classes):
             return self.n_classes - numbers
@@ -479,26 +496,27 @@ def fit(learn: DataFrame, *, classes: int = 48, core: int = 1024, middle: int =
     model.class_words[k + 1 :] -= np.bincount(own_forms, minlength=FORMS)
     for r in counts.select("word").mapInArrow(all_forms, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         model.class_words[k + 1 + r["cell"]] += r["n"]
+        model.form_words[r["cell"]] += r["n"]
+    model.form_words[form(END)] -= END in words
     return model, counts
 
 
-_LOCAL = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<int>, forms array<int>"
+_LOCAL = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<int>, forms array<int>, unseen array<double>"
 
 
 @shipped
 def score(docs: DataFrame, model: Model, counts: DataFrame, *, fold: int = 10, base: float = 0.1, smooth: float = 0.1, discount: float = 0.6) -> DataFrame:
     """Scores of every row of docs (doc_id, text)."""
-    size = model.all_classes
-    step = np.log10((model.steps + smooth) / (model.steps.sum(1, keepdims=True) + smooth * size)) if model.total else np.full((size, size), -np.log10(size))
+    step = np.log10(model.transitions(smooth))
     mass = np.maximum(model.class_tokens, 1.0)
     emit = np.log10(np.maximum(model.counts - discount, 1e-9) / mass[model.classes]) if len(model.counts) else np.zeros(0)
-    unknown = np.log10(np.maximum(discount * model.class_words, discount) / np.maximum(mass, model.class_words))
+    unknown, of_form = map(np.log10, model.unknown(smooth, discount))
     base_log = np.log10(model.counts + base)
     floor = float(np.log10(model.total + base * (model.distinct + 1)))
-    sent = docs.sparkSession.sparkContext.broadcast((model, step, emit, base_log))
+    sent = docs.sparkSession.sparkContext.broadcast((model, step, emit, base_log, unknown))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, step_, emit_, log_ = sent.value
+        own, step_, emit_, log_, unknown_ = sent.value
         uid = TaskContext.get().partitionId() << 40
         for batch in gathered(batches):
             rows = batch.num_rows
@@ -513,12 +531,14 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, *, fold: int = 10, b
             value, base_ = step_[before, c], np.zeros(len(x))
             value[known] += emit_[x[known]]
             base_[known] = log_[x[known]]
-            # The rare words of each text, each once, with their numbers of times.
+            # The rare words of each text, each once, with their numbers of times and
+            # what they add in place of their forms' transitions if they are unknown.
             at = np.flatnonzero(~known)
-            key, times = np.unique(np.repeat(np.arange(rows), n)[at] * len(words) + ids[at], return_counts=True)
+            key, place, times = np.unique(np.repeat(np.arange(rows), n)[at] * len(words) + ids[at], return_inverse=True, return_counts=True)
+            unseen = np.bincount(place, weights=(unknown_[before] - step_[before, c])[at], minlength=len(key))
             ends = pa.array(np.searchsorted(key // len(words), np.arange(rows + 1)), pa.int32())
             word = key % len(words)
-            lists = [pa.ListArray.from_arrays(ends, v) for v in (words.take(pa.array(word)).cast(pa.binary()), pa.array(times, pa.int32()), pa.array(-1 - number[word], pa.int32()))]
+            lists = [pa.ListArray.from_arrays(ends, v) for v in (words.take(pa.array(word)).cast(pa.binary()), pa.array(times, pa.int32()), pa.array(-1 - number[word], pa.int32()), pa.array(unseen, pa.float64()))]
             sums = [np.add.reduceat(v, begin) for v in (known.astype(np.int64), base_, value)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(uid + np.arange(rows)), batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(n), *map(pa.array, sums), *lists],
@@ -530,16 +550,17 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, *, fold: int = 10, b
     local = written(docs.select("doc_id", held, "text").mapInArrow(run, _LOCAL), "lm-local")
 
     # Rare words: joined with their counts, added up for each text.
-    rare = local.select("uid", F.explode(F.arrays_zip("words", "times", "forms")).alias("x")).select("uid", F.col("x.words").alias("word"), F.col("x.times").alias("times"), F.col("x.forms").alias("form"))
+    rare = local.select("uid", F.explode(F.arrays_zip("words", "times", "forms", "unseen")).alias("x"))
+    rare = rare.select("uid", F.col("x.words").alias("word"), F.col("x.times").alias("times"), F.col("x.forms").alias("form"), F.col("x.unseen").alias("unseen"))
     c = F.coalesce("c", F.lit(0))
-    of = F.when(F.octet_length("word") == 0, model.n_classes).otherwise(F.col("form") + model.n_classes + 1)
-    lookup = lambda a: F.element_at(F.array(*[F.lit(float(x)) for x in a]), (of + 1).cast("int"))
-    emitted = F.when(c > 0, F.log10(c - discount) - lookup(np.log10(mass))).otherwise(lookup(unknown))
+    lookup = lambda a: F.element_at(F.array(*[F.lit(float(x)) for x in a]), F.col("form") + 1)
+    forms_mass = np.log10(mass[model.n_classes + 1 :])
+    emitted = F.when(c > 0, F.col("times") * (F.log10(c - discount) - lookup(forms_mass))).otherwise(F.col("unseen") + F.col("times") * lookup(of_form))
     joined = rare.join(counts, "word", "left")
     sums = joined.groupBy("uid").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10(c + base)).alias("more_base"), F.sum(F.col("times") * emitted).alias("more_score")
+        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10(c + base)).alias("more_base"), F.sum(emitted).alias("more_score")
     )
-    out = local.drop("words", "times", "forms").join(sums, "uid", "left")
+    out = local.drop("words", "times", "forms", "unseen").join(sums, "uid", "left")
     zero = F.lit(0.0)
     total = F.col("score") + F.coalesce("more_score", zero)
     return out.select(

@@ -411,15 +411,15 @@ def test_brown_probabilities_add_up(spark):
     rng = np.random.default_rng(3)
     texts = [(" ".join(rng.choice([f"w{i}" for i in range(30)] + ["Ab-c", "é"], 20)),) for _ in range(40)]
     model, counts = fit(spark.createDataFrame(texts, "text string"), core=10, middle=5, classes=3, head=20)
-    step = (model.steps + 0.1) / (model.steps.sum(1, keepdims=True) + 0.1 * model.all_classes)
-    mass = {}
+    step = model.transitions(0.1)
+    known = np.zeros(len(step))
     for r in counts.collect():
         w = bytes(r.word)
         k = model.classes[model.head[w]] if w in model.head else model.n_classes + 1 + form(w)
-        mass[k] = mass.get(k, 0.0) + (r.c - 0.6) / model.class_tokens[k]
-    for k in mass:
-        assert abs(mass[k] + 0.6 * model.class_words[k] / model.class_tokens[k] - 1) < 1e-9
-    assert np.allclose(step.sum(1), 1) and model.classes[model.head[END]] == model.n_classes
+        known[k] += (r.c - 0.6) / model.class_tokens[k]
+    unknown, of_form = model.unknown(0.1, 0.6)
+    assert np.allclose(step @ known + unknown * of_form.sum(), 1, atol=1e-9)
+    assert np.allclose(step.sum(1), 1) and model.classes[model.head[END]] == model.n_classes and (unknown > 0).all()
 
 
 @pytest.mark.parametrize("options", [{}, {"head": 12, "core": 6, "middle": 3, "classes": 3}])
@@ -436,7 +436,7 @@ def test_brown_scores_equal_a_plain_model(docs, spark, options):
     assert {bytes(r.word): r.c for r in counts.collect()} == c
     k = model.n_classes
     of = lambda w: int(model.classes[model.head[w]]) if w in model.head else k + 1 + form(w)
-    steps, mass, known = Counter(), Counter(), Counter()
+    steps, mass, known, shapes = Counter(), Counter(), Counter(), Counter(form(w) for w in c if w)
     for t in train:
         before = k
         for w in t:
@@ -447,12 +447,20 @@ def test_brown_scores_equal_a_plain_model(docs, spark, options):
         known[of(w)] += 1
     out = Counter(a for (a, _), n in steps.items() for _ in range(n))
 
+    size, tokens = model.all_classes, sum(mass.values())
+
+    def step(a, b):
+        return (steps[a, b] + 0.1 * size * (mass[b] + 0.1) / (tokens + 0.1 * size)) / (out[a] + 0.1 * size)
+
     def total(t):
         before, at = k, 0.0
         for w in words(t):
             b = of(w)
-            at += log10((steps[before, b] + 0.1) / (out[before] + 0.1 * model.all_classes))
-            at += log10((c[w] - 0.6) / mass[b]) if w in c else log10(max(0.6 * known[b], 0.6) / max(mass[b], known[b], 1))
+            if w in c:
+                at += log10(step(before, b) * (c[w] - 0.6) / mass[b])
+            else:
+                left = sum(step(before, x) * (0.6 * known[x] / mass[x] if mass[x] else 1) for x in range(size))
+                at += log10(left * (shapes[form(w)] + 0.1) / (sum(shapes.values()) + 0.1 * 16))
             before = b
         return at
 
