@@ -88,5 +88,7 @@ def denied_in_catalogue(spark: SparkSession, denied: Sequence[str], prefix: str
 
 
 def inline(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A relation of given rows, under a declared schema."""
-    return spark.createDataFrame(list(rows), schema)
+    """A relation of given rows, under a declared schema. Spark cannot tell its size,
+    so a join would deal the other side by a key that has a few values here, each of
+    them one task's; as the driver holds all rows already, it is sent to all tasks."""
+    return F.broadcast(spark.createDataFrame(list(rows), schema))

@@ -45,3 +45,15 @@ def test_entry_point(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_orders_are_not_dealt_by_the_keys_of_an_inline_relation(spark, sf_dir, threshold):
+    """Three keys would be three tasks for all orders; only labels' counts move."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plan = QUERIES["inline_values"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BuildRight" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(label") == 1
