@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.columns import OPENING, surrogate_key
@@ -52,3 +52,20 @@ def outside(facts: DataFrame, dim: DataFrame, at: str) -> DataFrame:
     """Facts whose time lies outside the version their sk names."""
     v = dim.select("sk", F.col("valid_from").alias("_from"), F.coalesce("valid_to", F.lit("9999-12-31").cast("timestamp_ntz")).alias("_to"))
     return facts.join(v, "sk").where((F.col(at) < F.col("_from")) | (F.col(at) >= F.col("_to"))).drop("_from", "_to")
+
+
+def count_outside(facts: DataFrame, dim: DataFrame, at: str, *, key: str, many: DataFrame, opens: Mapping[str, Column]) -> DataFrame:
+    """One row with a count for each name of ``opens``: facts whose time lies outside
+    the version their sk names, if that began at this column of dim. One join serves
+    all of them.
+
+    facts are as as_of() gives them, with the dimension's key: their sk names a version
+    of that key. Where no key has more than a few versions (``many``, as of
+    rows.keys_of_many(), is empty), facts meet all versions of their key; as_of() and
+    versions() have dealt both sides by key, and none is dealt again by its sk, of
+    which a row is twice as wide. Else they meet by sk."""
+    end = F.coalesce("valid_to", F.lit("9999-12-31").cast("timestamp_ntz"))
+    v = dim.select(F.col(key).alias("_key"), F.col("sk").alias("_sk"), end.alias("_to"), *[c.alias(f"_{name}") for name, c in opens.items()])
+    own, named = F.col(key) == F.col("_key"), F.col("sk") == F.col("_sk")
+    met = facts.join(v, own if many.isEmpty() else named)
+    return met.agg(*[F.count_if(named & ((F.col(at) < F.col(f"_{name}")) | (F.col(at) >= F.col("_to")))).alias(name) for name in opens])

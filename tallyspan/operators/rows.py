@@ -35,7 +35,7 @@ def enrich(df: DataFrame, other: DataFrame, on: str | Sequence[str], flag: str)
 FEW, CROWD = 32, 16
 
 
-def as_of(facts: DataFrame, versions: DataFrame, *, key: str, version_key: str, at: str, keep: Sequence[str], few: int = FEW, crowd: int = CROWD) -> DataFrame:
+def as_of(facts: DataFrame, versions: DataFrame, *, key: str, version_key: str, at: str, keep: Sequence[str], few: int = FEW, crowd: int = CROWD, many: DataFrame | None = None) -> DataFrame:
     """Each fact with the version of its key that was valid at its time
     (valid_from <= at < valid_to, open if null); facts without one go.
 
@@ -48,9 +48,10 @@ def as_of(facts: DataFrame, versions: DataFrame, *, key: str, version_key: str,
     the last version is carried along, in ranges that may cut a key.
 
     Versions of a key may overlap (a fact has a row for each), but not in a key
-    that crowds, which is an error. Null keys and times find nothing."""
-    v = versions.select(F.col(version_key).alias("_key"), *keep, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"))
-    many = settled(many_versions(v, few))
+    that crowds, which is an error. Null keys and times find nothing. ``many`` are
+    the keys with more than ``few`` versions, if keys_of_many() has looked already."""
+    v = _versions(versions, version_key, keep)
+    many = keys_of_many(versions, version_key, few) if many is None else many
     inside = (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
     if many.isEmpty():
         return facts.join(v, (F.col(key) == F.col("_key")) & inside).drop("_key", "_from", "_to")
@@ -78,6 +79,15 @@ def _bucket(at: Column) -> Column:
     return F.least(F.col("_last"), F.greatest(F.lit(0).cast("long"), F.floor((_micros(at) - F.col("_lo")) / F.col("_width")).cast("long") + 1))
 
 
+def _versions(versions: DataFrame, key: str, keep: Sequence[str] = ()) -> DataFrame:
+    return versions.select(F.col(key).alias("_key"), *keep, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"))
+
+
+def keys_of_many(versions: DataFrame, version_key: str, few: int = FEW) -> DataFrame:
+    """The keys with more than few versions, looked for once for all joins on them."""
+    return settled(many_versions(_versions(versions, version_key), few))
+
+
 def many_versions(v: DataFrame, few: int) -> DataFrame:
     """(_key, _n, _lo, _hi) of the keys with more than few versions, the first of
     which ends at _lo, and the last of which begins at _hi."""

@@ -179,8 +179,8 @@ def scd2_build(spark, sf_dir):
     return T.customer_versions(spark, sf_dir)
 
 
-def _facts(spark, sf_dir):
-    return rows.as_of(T.line_facts(spark, sf_dir), T.customer_versions(spark, sf_dir), key="customer", version_key="customer", at="l_shipdate", keep=["sk", "priority"])
+def _facts(spark, sf_dir, many=None):
+    return rows.as_of(T.line_facts(spark, sf_dir), T.customer_versions(spark, sf_dir), key="customer", version_key="customer", at="l_shipdate", keep=["sk", "priority"], many=many)
 
 
 @query(f"""WITH {_VERSIONS}, {_LINES}, {_ASOF}
@@ -209,10 +209,10 @@ late AS (SELECT sk, valid_from + INTERVAL 30 DAY AS valid_from, coalesce(valid_t
 SELECT (SELECT count(*) FROM facts JOIN dim USING (sk) WHERE l_shipdate < dim.valid_from OR l_shipdate >= coalesce(dim.valid_to, TIMESTAMP '9999-12-31'))::BIGINT AS outside_own,
  (SELECT count(*) FROM facts JOIN late USING (sk) WHERE l_shipdate < late.valid_from OR l_shipdate >= late.valid_to)::BIGINT AS outside_late""")
 def asof_violations(spark, sf_dir):
-    facts, dim = _facts(spark, sf_dir).select("sk", "l_shipdate"), T.customer_versions(spark, sf_dir)
-    late = dim.withColumn("valid_from", F.col("valid_from") + F.expr("INTERVAL 30 DAYS"))
-    own = history.outside(facts, dim, "l_shipdate").agg(F.count("*").alias("outside_own"))
-    return own.join(history.outside(facts, late, "l_shipdate").agg(F.count("*").alias("outside_late")))
+    dim = T.customer_versions(spark, sf_dir)
+    many = rows.keys_of_many(dim, "customer")
+    facts, begun = _facts(spark, sf_dir, many).select("customer", "sk", "l_shipdate"), F.col("valid_from")
+    return history.count_outside(facts, dim, "l_shipdate", key="customer", many=many, opens={"outside_own": begun, "outside_late": begun + F.expr("INTERVAL 30 DAYS")})
 
 
 @query("""WITH facts AS (SELECT year(o_orderdate) AS year, o_custkey, o_orderpriority, o_orderstatus FROM orders),

@@ -57,3 +57,17 @@ def test_orders_are_not_dealt_by_the_keys_of_an_inline_relation(spark, sf_dir, t
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BuildRight" in plan and "SortMergeJoin" not in plan
     assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(label") == 1
+
+
+def test_facts_are_not_dealt_again_by_the_sk_they_were_given(spark, sf_dir):
+    """Lines are dealt by order and by customer, versions by day and by customer,
+    whose result serves the as-of join and the count."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["asof_violations"](spark, sf_dir)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(sk" not in plan and "hashpartitioning(_sk" not in plan
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 5

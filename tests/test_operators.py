@@ -26,6 +26,23 @@ def test_versions_and_as_of(spark):
     assert history.outside(got, dim, "at").count() == 0
 
 
+def test_facts_outside_are_counted_for_few_versions_and_many(spark):
+    states = spark.createDataFrame([(k, DAY(i), "x") for k in range(3) for i in range(0, 10 * (k + 1), 3)], "k int, since timestamp_ntz, a string")
+    dim = history.versions(states, "k", "since", ["a"]).cache()
+    facts = spark.createDataFrame([(i % 4, DAY(i % 37)) for i in range(300)] + [(1, None), (None, DAY(1))], "who int, at timestamp_ntz")
+    given = rows.as_of(facts, dim, key="who", version_key="k", at="at", keep=["sk"]).withColumnRenamed("who", "k")
+    # Facts a day off their version's begin are moved out of it.
+    moved = given.withColumn("at", F.when(F.dayofmonth("at") % 5 == 0, F.col("at") - F.expr("INTERVAL 3 DAYS")).otherwise(F.col("at")))
+    opens = {"own": F.col("valid_from"), "late": F.col("valid_from") + F.expr("INTERVAL 2 DAYS")}
+    want = tuple(history.outside(moved, dim.withColumn("valid_from", c), "at").count() for c in opens.values())
+    assert 0 < want[0] < want[1] < moved.count()
+    for few in (100, 2):
+        many = rows.keys_of_many(dim, "k", few)
+        assert many.isEmpty() == (few == 100)
+        assert tuple(history.count_outside(moved, dim, "at", key="k", many=many, opens=opens).first()) == want
+    assert tuple(history.count_outside(moved.limit(0), dim, "at", key="k", many=many, opens=opens).first()) == (0, 0)
+
+
 def test_version_rules_can_fail(spark):
     good = [("a", DAY(0), DAY(5), False), ("a", DAY(5), None, True)]
     for bad, check in (
